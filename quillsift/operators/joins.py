@@ -42,10 +42,11 @@ def matched_keys(incoming: DataFrame, target: DataFrame, key: Sequence[str]) ->
     """Keys of ``incoming`` that ``target`` holds.
 
     The target is the left side of a semi join: a small batch is then broadcast to it and the
-    target is read once, keys only, without being shuffled.
+    target is read once, keys only, without being shuffled. The batch's keys are made distinct
+    first, as a key with many copies could not be split on that side of the join.
     """
     keys = list(key)
-    return target.select(*keys).join(incoming.select(*keys), keys, "left_semi")
+    return target.select(*keys).join(incoming.select(*keys).distinct(), keys, "left_semi")
 
 
 def anti_join_new(incoming: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:

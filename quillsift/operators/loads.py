@@ -32,8 +32,9 @@ def load_new_only(
 
     ``skipped`` holds every incoming row whose key was already loaded.
     """
-    fresh = dedup_keep_first(anti_join_new(incoming, target, key), key, order)
-    added = fresh.select(*target.columns)
+    # Copies go before the join: a key with very many of them then joins as one row.
+    unique = dedup_keep_first(incoming, key, order)
+    added = anti_join_new(unique, target, key).select(*target.columns)
     return Load(target.unionByName(added), added, semi_join_skipped(incoming, target, key))
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quillsift.functions import clean_amount, clean_quantity, clean_text, parse_mixed_dates
 from quillsift.operators.aggregates import report_category_clean
 from quillsift.operators.dedup import dedup_keep_first
-from quillsift.operators.joins import anti_join_new, matched_keys
+from quillsift.operators.joins import anti_join_new, join_left_flag, matched_keys
 from quillsift.operators.projections import project_ordered
 from quillsift.operators.quality import (
     FAILED,
@@ -59,9 +59,19 @@ def batch_order(df: DataFrame) -> list[Column]:
 
 def new_orders(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of unknown order ids, one per id, with typed columns and validity."""
-    fresh = anti_join_new(batch, stored, ["order_id"])
-    unique = dedup_keep_first(fresh, ["order_id"], batch_order(batch))
-    return flag_valid(clean_numbers(unique), ecommerce_rules())
+    # Copies go first: a resent order with very many copies then joins as one row.
+    unique = dedup_keep_first(batch, ["order_id"], batch_order(batch))
+    fresh = anti_join_new(unique, stored, ["order_id"])
+    return flag_valid(clean_numbers(fresh), ecommerce_rules())
+
+
+def batch_counts(batch: DataFrame, stored: DataFrame) -> Row:
+    """Rows of the batch, and those of them whose order is stored already."""
+    known = matched_keys(batch, stored, ["order_id"])
+    flagged = join_left_flag(batch.select("order_id"), known, ["order_id"], "is_known")
+    return flagged.agg(
+        F.count("*").alias("extracted"), F.count_if("is_known").alias("skipped")
+    ).head()
 
 
 class Ecommerce(NamedTuple):
@@ -87,20 +97,17 @@ def ecommerce(spark: SparkSession, batch: DataFrame, store: str, stage_folder: s
     rejected = reject_reason(with_status(staged, "rejected"), ORDER_REASON)
 
     # Counted before the load, while the stored table is still the one the batch was checked with.
-    extracted = batch.count()
-    skipped = batch.join(
-        matched_keys(batch, known, ["order_id"]), ["order_id"], "left_semi"
-    ).count()
+    counts = batch_counts(batch, known)
     # The stage holds new ids only, each once.
     loaded = append_rows(spark, clean_path, clean)
     append_new(spark, rejected_path, rejected, ["order_id"])
     stored = read_stored(spark, clean_path, ECOMMERCE_CLEAN)
-    summary = run_summary(staged, loaded).withColumn("rows_extracted", F.lit(extracted))
+    summary = run_summary(staged, loaded).withColumn("rows_extracted", F.lit(counts.extracted))
     return Ecommerce(
         stored,
         read_stored(spark, rejected_path, rejected.schema),
         report_category_clean(stored),
         summary,
-        skipped,
-        extracted - skipped - staged.count(),
+        counts.skipped,
+        counts.extracted - counts.skipped - staged.count(),
     )

@@ -11,9 +11,11 @@ from pyspark.sql import types as T
 
 from quillsift.functions import to_number
 from quillsift.operators.audit import Run, audit_columns
-from quillsift.operators.joins import join_split
+from quillsift.operators.joins import join_left_flag
 from quillsift.operators.loads import Load, load_new_only, upsert_replace
+from quillsift.operators.ordering import union_ragged
 from quillsift.operators.quality import ORDER_REASON, required, validate
+from quillsift.plans.staging import STATUS, stage, with_status
 from quillsift.sources.snapshots import append_new, read_snapshot, write_snapshot
 from quillsift.streaming.ledger import file_ledger
 
@@ -24,16 +26,26 @@ class Lookup(NamedTuple):
     rejected: DataFrame
 
 
-def orders_lookup(orders: DataFrame, customers: DataFrame) -> Lookup:
+def orders_lookup(orders: DataFrame, customers: DataFrame, folder: str) -> Lookup:
     """Orders with their customer; unknown customers and missing ids are kept apart.
 
-    Ids are validated before the join, where a missing one would match nothing.
+    Ids are validated before the join, so that rows without one, which can match nothing, are not
+    shuffled. One left join and one write serve all three outputs.
     """
     # Ids of a column with gaps arrive as "101.0".
     typed = orders.withColumn("customer_id", to_number(F.col("customer_id")).try_cast("bigint"))
     valid, rejected = validate(typed, required("customer_id"), ORDER_REASON)
-    matched, unmatched = join_split(valid, customers, ["customer_id"])
-    return Lookup(matched, unmatched, rejected)
+    flagged = join_left_flag(valid, customers, ["customer_id"])
+    found = F.when(F.col("customer_found"), "matched").otherwise("unmatched")
+    parts = union_ragged(
+        flagged.withColumn(STATUS, found), rejected.withColumn(STATUS, F.lit("rejected"))
+    )
+    staged = stage(parts, folder)
+    return Lookup(
+        with_status(staged, "matched").select(*flagged.columns),
+        with_status(staged, "unmatched").select(*valid.columns, "customer_found"),
+        with_status(staged, "rejected").select(*rejected.columns),
+    )
 
 
 def incremental(target: DataFrame, batches: Iterable[DataFrame]) -> Load:

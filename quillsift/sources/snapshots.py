@@ -83,13 +83,12 @@ def append_new(
     where keys are unique already. Only new rows are written. A rerun after a crash finds the keys
     already there and adds the rest, so the load can be repeated.
     """
-    fresh = anti_join_new(incoming, read_stored(spark, path, incoming.schema), key)
-    if order:
-        fresh = dedup_keep_first(fresh, key, order)
-    return append_rows(spark, path, fresh)
+    unique = dedup_keep_first(incoming, key, order) if order else incoming
+    stored = read_stored(spark, path, incoming.schema)
+    return append_rows(spark, path, anti_join_new(unique, stored, key))
 
 
-def upsert_partitions(
+def stage_upsert(
     spark: SparkSession,
     path: str,
     incoming: DataFrame,
@@ -99,12 +98,7 @@ def upsert_partitions(
     stage: str,
     partition_name: str = "key_range",
 ) -> None:
-    """Upsert into a large stored table, rewriting only the partitions the batch touches.
-
-    ``partition`` must be a function of the key, for instance a range of order ids, so that a key
-    never moves between partitions. The new content of the touched partitions is staged in full
-    first and then put in place, which can be repeated from the stage after a crash.
-    """
+    """Write the new content of the partitions a batch touches to a stage of its own."""
     placed = incoming.withColumn(partition_name, partition)
     # One value per touched partition, fewer than the partition list the driver holds anyway; as
     # literals they prune the stored table to those folders.
@@ -113,11 +107,37 @@ def upsert_partitions(
     current = stored.where(F.col(partition_name).isin(*touched))
     merged = upsert_replace(current, placed, key, latest)
     merged.write.mode("errorifexists").partitionBy(partition_name).parquet(stage)
+
+
+def install_stage(
+    spark: SparkSession, path: str, stage: str, schema: T.StructType, partition_name: str
+) -> None:
+    """Put staged partitions in place of the stored ones; may be repeated after a crash."""
     (
-        spark.read.schema(placed.schema)
+        spark.read.schema(schema)
         .parquet(stage)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_name)
         .parquet(path)
     )
+
+
+def upsert_partitions(
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    key: Sequence[str],
+    latest: Sequence[str],
+    partition: Column,
+    stage: str,
+    partition_name: str = "key_range",
+) -> None:
+    """Upsert into a large stored table, rewriting only the partitions the batch touches.
+
+    ``partition`` must be a function of the key, for instance a range of order ids, so that a key
+    never moves between partitions.
+    """
+    stage_upsert(spark, path, incoming, key, latest, partition, stage, partition_name)
+    schema = incoming.withColumn(partition_name, partition).schema
+    install_stage(spark, path, stage, schema, partition_name)

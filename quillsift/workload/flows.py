@@ -218,7 +218,7 @@ def _flow_orders_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup = customer.select(
         F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name")
     )
-    result = order_flows.orders_lookup(orders, lookup)
+    result = order_flows.orders_lookup(orders, lookup, run_folder(spark, "orders_lookup"))
     parts = [
         df.select("order_id", F.lit(name).alias("part"))
         for name, df in result._asdict().items()
@@ -293,11 +293,12 @@ def _upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files -------------------------------------------------------------------------------------
 
 
-def _as_files(spark: SparkSession, sf_dir: str, folder: str, count: int) -> DataFrame:
-    """The product feed as CSV files of the sales schema."""
+def _as_files(spark: SparkSession, sf_dir: str, folder: str) -> int:
+    """The product feed as CSV files of the sales schema, one per core; returns their number."""
     feed = inputs.product_sales_raw(spark, sf_dir).select(*SALES_RAW.fieldNames())
-    write_csv(feed.repartition(count, "order_id"), folder)
-    return feed
+    files = spark.sparkContext.defaultParallelism
+    write_csv(feed.repartition(files), folder)
+    return files
 
 
 _FEED_TOTALS = """SELECT count(*) AS row_count,
@@ -321,7 +322,7 @@ def _feed_totals(loaded: DataFrame) -> DataFrame:
 def _file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loaded twice; the second run finds nothing to do."""
     folder = run_folder(spark, "file_ledger")
-    _as_files(spark, sf_dir, f"{folder}/in", 6)
+    _as_files(spark, sf_dir, f"{folder}/in")
     arguments = (f"{folder}/in", SALES_RAW, f"{folder}/table", f"{folder}/ledger")
     file_ledger(spark, *arguments, RUN)
     again = file_ledger(spark, *arguments, NEXT_RUN).count()
@@ -333,19 +334,18 @@ def _file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("file_ledger_stream", _FEED_TOTALS, ["product_sales_raw"])
 def _file_ledger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same as a stream, two files to a batch, started twice."""
+    """The same as a stream of several batches, started twice."""
     folder = run_folder(spark, "file_ledger_stream")
-    _as_files(spark, sf_dir, f"{folder}/in", 4)
+    per_batch = max(1, _as_files(spark, sf_dir, f"{folder}/in") // 2)
+    paths = (f"{folder}/table", f"{folder}/checkpoint")
     for _ in range(2):
-        file_ledger_stream(
-            spark, f"{folder}/in", SALES_RAW, f"{folder}/table", f"{folder}/checkpoint", 2
-        )
+        file_ledger_stream(spark, f"{folder}/in", SALES_RAW, *paths, per_batch)
     return _feed_totals(read_loaded(spark, f"{folder}/table", SALES_RAW))
 
 
 @query(
     "chunked_load",
-    """SELECT 2 AS chunks, count(*) FILTER (WHERE ok) AS valid_rows,
+    """SELECT count(*) FILTER (WHERE ok) AS valid_rows,
               count(*) FILTER (WHERE NOT ok) AS rejected_rows
        FROM (SELECT COALESCE(quantity > 0 AND unit_price > 0, FALSE) AS ok
              FROM product_sales_raw) AS judged""",
@@ -353,7 +353,7 @@ def _file_ledger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _chunked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "chunked_load")
-    _as_files(spark, sf_dir, f"{folder}/in", 4)
+    files = _as_files(spark, sf_dir, f"{folder}/in")
     loaded = chunked_load(
         spark,
         f"{folder}/in",
@@ -361,9 +361,9 @@ def _chunked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         quantity_price_rules(),
         f"{folder}/table",
         f"{folder}/checkpoint",
-        2,
+        max(1, files // 2),
     )
-    return chunk_counts(loaded)
+    return chunk_counts(loaded).drop("chunks")
 
 
 @query(

@@ -90,37 +90,32 @@ def _write_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, path, staff.schema)
 
 
-def _pages_of_ten(orders: DataFrame, wrap: bool) -> DataFrame:
-    """Orders as JSON text, ten to a document, as a paged web API returns them."""
-    record = F.struct("order_id", "customer_id", "status")
-    page = orders.groupBy(F.expr("order_id div 10").alias("page")).agg(
-        F.collect_list(record).alias("data")
-    )
-    return page.select(F.to_json(F.struct("data") if wrap else F.col("data")).alias("value"))
+def _json_documents(orders: DataFrame, wrap: bool) -> DataFrame:
+    """Each order as a JSON document of two records: the order, and its event of creation."""
+    order = F.struct("order_id", "customer_id", "status")
+    event = F.struct("order_id", "customer_id", F.lit("created").alias("status"))
+    data = F.array(order, event).alias("data")
+    return orders.select(F.to_json(F.struct(data) if wrap else data).alias("value"))
+
+
+_RECORDS_SQL = """SELECT order_id, customer_id, status FROM orders_in
+                  UNION ALL SELECT order_id, customer_id, 'created' FROM orders_in"""
 
 
 _RECORD = schema(order_id=BIGINT, customer_id=BIGINT, status=TEXT)
 
 
-@query(
-    "read_json_records",
-    "SELECT order_id, customer_id, status FROM orders_in",
-    ["orders_in"],
-)
+@query("read_json_records", _RECORDS_SQL, ["orders_in"])
 def _read_json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_folder(spark, "read_json_records")
-    _pages_of_ten(inputs.orders(spark, sf_dir), wrap=False).write.text(path)
+    _json_documents(inputs.orders(spark, sf_dir), wrap=False).write.text(path)
     return readers.read_json_records(spark, path, _RECORD, lines=True)
 
 
-@query(
-    "read_json_nested",
-    "SELECT order_id, customer_id, status FROM orders_in",
-    ["orders_in"],
-)
+@query("read_json_nested", _RECORDS_SQL, ["orders_in"])
 def _read_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = run_folder(spark, "read_json_nested")
-    _pages_of_ten(inputs.orders(spark, sf_dir), wrap=True).write.text(path)
+    _json_documents(inputs.orders(spark, sf_dir), wrap=True).write.text(path)
     return readers.read_json_nested(spark, path, _RECORD, lines=True)
 
 
