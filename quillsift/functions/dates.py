@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -22,15 +23,33 @@ MONTH_PATTERNS = {
 }
 
 
+# What the letters of a numeric date pattern stand for.
+_DIGITS = {"yyyy": r"\d{4}", "MM": r"\d{2}", "M": r"\d{1,2}", "dd": r"\d{2}", "d": r"\d{1,2}"}
+
+
+def date_shape(pattern: str) -> str | None:
+    """Regular expression of the text a numeric pattern can read, None for other patterns."""
+    parts = re.findall(r"[A-Za-z]+|[^A-Za-z]+", pattern)
+    if any(p[0].isalpha() and p not in _DIGITS for p in parts):
+        return None
+    return r"\A" + "".join(_DIGITS.get(p) or re.escape(p) for p in parts) + r"\z"
+
+
 def parse_date(c: Column, pattern: str = "yyyy-M-d") -> Column:
-    """Date, or NULL for text in another form."""
-    return F.try_to_date(c, pattern)
+    """Date, or NULL for text in another form.
+
+    Text of another shape is sorted out before parsing: a failed parse raises and catches an
+    exception inside the engine for every row, which costs far more than the check.
+    """
+    shape = date_shape(pattern)
+    parsed = F.try_to_date(c, pattern)
+    return parsed if shape is None else F.when(c.rlike(shape), parsed)
 
 
 def parse_mixed_dates(c: Column, patterns: Sequence[str] = MIXED_DATE_PATTERNS) -> Column:
     """Date by the first pattern that fits, or NULL."""
     text = strip_text(c)
-    return F.coalesce(*[F.try_to_date(text, p) for p in patterns])
+    return F.coalesce(*[parse_date(text, p) for p in patterns])
 
 
 def date_parts(c: Column, prefix: str = "") -> list[Column]:

@@ -45,8 +45,10 @@ def clean_quantity(c: Column) -> Column:
     The sign and a decimal point are read, not deleted: ``-3`` stays negative, ``2.0`` is 2, and
     a value with a fraction is NULL, to be rejected rather than truncated.
     """
-    bare = F.regexp_replace(strip_text(c.cast("string")), r"(?i)\s*units?\z", "")
-    number = bare.try_cast("decimal(20,6)")
+    text = strip_text(c.cast("string"))
+    bare = F.regexp_replace(text, r"(?i)\s*units?\z", "")
+    # Plain numbers, the usual case, are read without the regular expression.
+    number = F.coalesce(text.try_cast("decimal(20,6)"), bare.try_cast("decimal(20,6)"))
     return F.when(number == F.floor(number), number.try_cast("int"))
 
 

@@ -49,9 +49,16 @@ def matched_keys(incoming: DataFrame, target: DataFrame, key: Sequence[str]) ->
     return target.select(*keys).join(incoming.select(*keys).distinct(), keys, "left_semi")
 
 
-def anti_join_new(incoming: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key the target lacks; keys are joined, never collected."""
-    return incoming.join(matched_keys(incoming, target, key), list(key), "left_anti")
+def anti_join_new(
+    incoming: DataFrame, target: DataFrame, key: Sequence[str], keys_from: DataFrame | None = None
+) -> DataFrame:
+    """Incoming rows whose key the target lacks; keys are joined, never collected.
+
+    Where ``incoming`` is costly, as after deduplication, ``keys_from`` names the plain input that
+    has the same keys, so that only its key columns are read again.
+    """
+    known = matched_keys(incoming if keys_from is None else keys_from, target, key)
+    return incoming.join(known, list(key), "left_anti")
 
 
 def semi_join_skipped(incoming: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:

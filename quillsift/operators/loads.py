@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from quillsift.operators.dedup import dedup_keep_first
 from quillsift.operators.filters import holds
-from quillsift.operators.joins import anti_join_new, matched_keys, semi_join_skipped
+from quillsift.operators.joins import anti_join_new, semi_join_skipped
 
 _HIT = "_change_row"
 
@@ -34,7 +34,7 @@ def load_new_only(
     """
     # Copies go before the join: a key with very many of them then joins as one row.
     unique = dedup_keep_first(incoming, key, order)
-    added = anti_join_new(unique, target, key).select(*target.columns)
+    added = anti_join_new(unique, target, key, keys_from=incoming).select(*target.columns)
     return Load(target.unionByName(added), added, semi_join_skipped(incoming, target, key))
 
 
@@ -92,7 +92,7 @@ def upsert_update(
             for c in update
         }
     ).select(*target.columns)
-    inserts = winners.join(matched_keys(winners, target, keys), keys, "left_anti")
+    inserts = anti_join_new(winners, target, keys, keys_from=incoming)
     return changed.unionByName(inserts.select(*target.columns))
 
 

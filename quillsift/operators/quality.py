@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillsift.operators.filters import holds
+from quillsift.operators.filters import filter_and, holds
 from quillsift.operators.ordering import union_ragged
 
 REASON, FAILED, OK = "reject_reason", "failed_rules", "is_valid"
@@ -45,15 +46,23 @@ ORDER_REASON = "null or invalid order data"
 COLUMN_REASON = "null or invalid value in required columns"
 
 
-def flag_valid(df: DataFrame, rules: Rules) -> DataFrame:
-    """Add ``is_valid`` and the list of failed rules.
+def all_hold(rules: Rules) -> Column:
+    """Whether every rule holds. An unknown rule, as any comparison with a missing value is, has
+    failed; otherwise the row would be in neither half of the split."""
+    return reduce(Column.__and__, [holds(rule) for rule in rules.values()])
 
-    A rule that is unknown, as any comparison with a missing value is, has failed; otherwise the
-    row would be in neither half of the split.
-    """
-    failures = [F.when(~holds(rule), F.lit(name)) for name, rule in rules.items()]
-    failed = F.array_compact(F.array(*failures))
-    return df.withColumn(FAILED, failed).withColumn(OK, F.size(FAILED) == 0)
+
+def failures(rules: Rules) -> Column:
+    """Names of the failed rules."""
+    names = [F.when(~holds(rule), F.lit(name)) for name, rule in rules.items()]
+    return F.array_compact(F.array(*names))
+
+
+def flag_valid(df: DataFrame, rules: Rules) -> DataFrame:
+    """Add ``is_valid`` and the list of failed rules, which is put together for rejects only."""
+    none = F.array().cast("array<string>")
+    failed = F.when(all_hold(rules), none).otherwise(failures(rules))
+    return df.withColumns({FAILED: failed, OK: all_hold(rules)})
 
 
 def reject_reason(df: DataFrame, reason: str) -> DataFrame:
@@ -63,13 +72,13 @@ def reject_reason(df: DataFrame, reason: str) -> DataFrame:
 def validate(df: DataFrame, rules: Rules, reason: str) -> tuple[DataFrame, DataFrame]:
     """Valid rows as they came, and rejected rows with the reason and the failed rules.
 
-    Both halves are plain filters over the same input without a shuffle. To write both from one
-    pass, stage ``flag_valid`` instead (see ``plans.staging``).
+    Both halves are plain filters over the same input, without a shuffle; those of the valid half
+    can reach the scan. To write both from one pass, stage ``flag_valid`` instead (see
+    ``plans.staging``).
     """
-    flagged = flag_valid(df, rules)
-    valid = flagged.where(OK).select(*df.columns)
-    rejected = reject_reason(flagged.where(~F.col(OK)), reason)
-    return valid, rejected.select(*df.columns, REASON, FAILED)
+    valid = filter_and(df, *rules.values())
+    rejected = df.where(~all_hold(rules)).withColumn(FAILED, failures(rules))
+    return valid, reject_reason(rejected, reason).select(*df.columns, REASON, FAILED)
 
 
 def validate_columns(

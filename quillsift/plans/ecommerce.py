@@ -61,7 +61,7 @@ def new_orders(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of unknown order ids, one per id, with typed columns and validity."""
     # Copies go first: a resent order with very many copies then joins as one row.
     unique = dedup_keep_first(batch, ["order_id"], batch_order(batch))
-    fresh = anti_join_new(unique, stored, ["order_id"])
+    fresh = anti_join_new(unique, stored, ["order_id"], keys_from=batch)
     return flag_valid(clean_numbers(fresh), ecommerce_rules())
 
 

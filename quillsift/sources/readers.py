@@ -13,6 +13,12 @@ from pyspark.sql import types as T
 from quillsift.functions import blank_to_null, file_basename, parse_date
 
 
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A table without rows, which the optimiser knows to be empty and drops from joins."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*columns).where(F.lit(False))
+
+
 def rows_to_df(
     spark: SparkSession,
     rows: Sequence[Mapping[str, Any]] | Mapping[str, Sequence[Any]],
@@ -66,7 +72,7 @@ def read_csv_optional(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
 
 
 def read_json_records(

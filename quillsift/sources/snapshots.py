@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from quillsift.operators.dedup import dedup_keep_first
 from quillsift.operators.joins import anti_join_new
 from quillsift.operators.loads import upsert_replace
+from quillsift.sources.readers import empty_table
 
 _VERSION = "version="
 
@@ -39,7 +40,7 @@ def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataF
     """The newest snapshot, or an empty table before the first one."""
     folder = latest_snapshot(spark, root)
     if folder is None:
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return spark.read.schema(schema).parquet(folder)
 
 
@@ -59,7 +60,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A stored table under its declared schema, or an empty one before the first load."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return spark.read.schema(schema).parquet(path)
 
 
@@ -85,7 +86,7 @@ def append_new(
     """
     unique = dedup_keep_first(incoming, key, order) if order else incoming
     stored = read_stored(spark, path, incoming.schema)
-    return append_rows(spark, path, anti_join_new(unique, stored, key))
+    return append_rows(spark, path, anti_join_new(unique, stored, key, incoming))
 
 
 def stage_upsert(

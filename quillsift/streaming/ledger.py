@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from quillsift.operators.audit import Run
 from quillsift.schemas import LEDGER
-from quillsift.sources.readers import file_inventory, read_many
+from quillsift.sources.readers import empty_table, file_inventory, read_many
 from quillsift.sources.snapshots import read_stored
 
 SOURCE = "source_file"
@@ -54,7 +54,7 @@ def file_ledger(
     # Names only, as many as the file listing Spark itself keeps on the driver.
     fresh = {r.file_name: r.path for r in pending_files(spark, pattern, ledger).toLocalIterator()}
     if not fresh:
-        return spark.createDataFrame([], LEDGER)
+        return empty_table(spark, LEDGER)
     rows = read_many(spark, list(fresh.values()), schema, source_column=SOURCE)
     (
         rows.write.mode("overwrite")

@@ -14,6 +14,11 @@ def test_clean_text_strips_what_python_strips(one):
     assert one(qf.strip_text, values[:3]) == [v.strip() for v in values[:3]]
 
 
+def test_strip_agrees_with_python_on_every_character(one):
+    values = [f"{chr(i)}x{chr(i)}" for i in range(1, 0x3100)]
+    assert one(qf.strip_text, values) == [v.strip() for v in values]
+
+
 def test_strip_handles_long_inner_runs(one):
     text = "a" + " " * 50_000 + "b"
     assert one(qf.strip_text, [text + "  "]) == [text]
