@@ -5,6 +5,7 @@ A path is never overwritten by a plan that reads it.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from quillsift.operators.loads import upsert_replace
 from quillsift.sources.readers import empty_table
 
 _VERSION = "version="
+LOAD = "load"
 
 
 def _names(spark: SparkSession, pattern: str) -> list[str]:
@@ -61,14 +63,18 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     """A stored table under its declared schema, or an empty one before the first load."""
     if not path_exists(spark, path):
         return empty_table(spark, schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def append_rows(spark: SparkSession, path: str, rows: DataFrame) -> int:
-    """Append rows known to be new and return how many the stored table gained."""
-    had = read_stored(spark, path, rows.schema).count()
-    rows.write.mode("append").parquet(path)
-    return read_stored(spark, path, rows.schema).count() - had
+    """Append rows known to be new and return how many were written.
+
+    Each load gets a folder of its own below the table, so that counting what was written reads
+    the footers of the new files and not of the whole table.
+    """
+    folder = f"{path}/{LOAD}={uuid.uuid4().hex}"
+    rows.write.mode("errorifexists").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder).count()
 
 
 def append_new(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import batched
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillsift.operators.audit import Run
 from quillsift.schemas import LEDGER
-from quillsift.sources.readers import empty_table, file_inventory, read_many
+from quillsift.sources.readers import file_inventory, read_many
 from quillsift.sources.snapshots import read_stored
 
 SOURCE = "source_file"
@@ -38,32 +40,29 @@ def pending_files(spark: SparkSession, pattern: str | list[str], ledger: str) ->
     return found.join(done.select("file_name"), "file_name", "left_anti")
 
 
-def file_ledger(
+def _load_files(
     spark: SparkSession,
-    pattern: str | list[str],
+    paths: dict[str, str],
     schema: T.StructType,
     target: str,
     ledger: str,
     run: Run,
-) -> DataFrame:
-    """Load the files not loaded before and return their new ledger rows.
+) -> None:
+    """Load some files, then enter them in the ledger.
 
     Each file owns the partition named after it. Overwriting that partition first and writing the
     ledger second makes a crash between the two harmless: the file is loaded again, not twice.
     """
-    # Names only, as many as the file listing Spark itself keeps on the driver.
-    fresh = {r.file_name: r.path for r in pending_files(spark, pattern, ledger).toLocalIterator()}
-    if not fresh:
-        return empty_table(spark, LEDGER)
-    rows = read_many(spark, list(fresh.values()), schema, source_column=SOURCE)
+    rows = read_many(spark, list(paths.values()), schema, source_column=SOURCE)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(SOURCE)
         .parquet(target)
     )
-    names = spark.createDataFrame([(n,) for n in fresh], "file_name STRING")
-    stored = read_loaded(spark, target, schema).where(F.col(SOURCE).isin(*fresh))
+    names = spark.createDataFrame([(n,) for n in paths], "file_name STRING")
+    # The names as literals limit the count to the partitions just written.
+    stored = read_loaded(spark, target, schema).where(F.col(SOURCE).isin(*paths))
     counts = stored.groupBy(F.col(SOURCE).alias("file_name")).agg(F.count("*").alias("n"))
     entries = names.join(counts, "file_name", "left").select(
         "file_name",
@@ -72,4 +71,25 @@ def file_ledger(
         F.coalesce("n", F.lit(0)).alias("rows_loaded"),
     )
     entries.write.mode("append").parquet(ledger)
-    return read_ledger(spark, ledger).join(names, "file_name", "left_semi")
+
+
+def file_ledger(
+    spark: SparkSession,
+    pattern: str | list[str],
+    schema: T.StructType,
+    target: str,
+    ledger: str,
+    run: Run,
+    files_per_batch: int = 1000,
+) -> DataFrame:
+    """Load the files not loaded before and return their new ledger rows.
+
+    Files are loaded a batch at a time, all rows of a batch in one job. A crash loses at most the
+    batch at work, and no list of names grows with the number of files found.
+    """
+    done = read_ledger(spark, ledger).select("file_name")
+    pending = pending_files(spark, pattern, ledger).select("file_name", "path")
+    for batch in batched(pending.toLocalIterator(), files_per_batch):
+        paths = {r.file_name: r.path for r in batch}
+        _load_files(spark, paths, schema, target, ledger, run)
+    return read_ledger(spark, ledger).join(done, "file_name", "left_anti")

@@ -157,9 +157,14 @@ def test_ledger_skips_loaded_files(spark, folder):
     second = ledger.file_ledger(spark, f"{folder}/in", *arguments, RUN2)
     assert {(r.file_name, r.rows_loaded) for r in second.collect()} == {("b.csv", 50), ("empty.csv", 0)}
     assert ledger.file_ledger(spark, f"{folder}/in", *arguments, RUN2).count() == 0
+    for name in ("c", "d", "e"):
+        put(spark, f"{folder}/in/{name}.csv", feed(1, 2))
+    third = ledger.file_ledger(spark, f"{folder}/in", *arguments, RUN2, files_per_batch=2)
+    assert third.count() == 3
     loaded = ledger.read_loaded(spark, f"{folder}/table", SALES_RAW)
-    assert loaded.count() == 150
-    assert {r.source_file for r in loaded.select("source_file").distinct().collect()} == {"2024-01-01.csv", "b.csv"}
+    assert loaded.count() == 156
+    names = {r.source_file for r in loaded.select("source_file").distinct().collect()}
+    assert names == {"2024-01-01.csv", "b.csv", "c.csv", "d.csv", "e.csv"}
 
 
 def test_crash_before_the_ledger_entry_loads_once(spark, folder):
