@@ -21,11 +21,15 @@ class Run(NamedTuple):
         now = dt.datetime.now(dt.timezone.utc).replace(microsecond=0, tzinfo=None)
         return cls(str(uuid.uuid4()), now)
 
+    def stamp(self) -> Column:
+        """The load time as a column; text keeps it apart from every time zone setting."""
+        return F.lit(self.loaded_at.isoformat(sep=" ")).cast("timestamp_ntz")
+
 
 def audit_columns(df: DataFrame, run: Run, source: str | Column) -> DataFrame:
     return df.withColumns(
         {
-            "loaded_at": F.lit(run.loaded_at).cast("timestamp_ntz"),
+            "loaded_at": run.stamp(),
             "source_file": source if isinstance(source, Column) else F.lit(source),
             "run_id": F.lit(run.run_id),
         }

@@ -2,9 +2,10 @@
 
 ``percentile`` and ``median`` keep every distinct value of a group in one task's buffer, and a
 window sorts the group there. Here equal values are counted first, map-side included, so copies
-cost nothing. The distinct values are then cut into slices by a monotone rule; a running total
-over the slices gives each slice its starting rank, and ranks inside a slice need only that slice.
-A slice and the list of slices are both bounded by the column's type, whatever the row count.
+cost nothing. The distinct values are then cut into slices by a monotone rule, and slices of wide
+types into finer ones. A running total over the slices of one parent gives each slice its starting
+rank, so that ranks inside a slice need only that slice. For whole numbers, decimals and dates
+no window sees more than a few million rows, whatever the row count.
 """
 
 from __future__ import annotations
@@ -20,62 +21,79 @@ from pyspark.sql.window import Window
 _VALUE, _COUNT, _SLICE = "_value", "_copies", "_slice"
 _SLICE_COUNT, _BELOW, _TOTAL = "_slice_copies", "_below", "_total"
 
+# Decimal digits that one level of slices tells apart.
+_DIGITS = 6
 
-def slice_of(value: Column, dtype: T.DataType) -> Column:
-    """Slice number of a value; never decreasing in the value."""
+
+def _decimal_slice(value: Column, step: int) -> Column:
+    """Multiples of ``10 ** step`` below the value."""
+    scaled = value * Decimal(10**-step) if step < 0 else value / Decimal(10**step)
+    return F.floor(scaled).cast("decimal(38,0)")
+
+
+def slice_levels(value: Column, dtype: T.DataType) -> list[Column]:
+    """Slice numbers of a value from coarse to fine; none decreases as the value grows."""
     if isinstance(dtype, T.DecimalType):
-        # Half of the digits choose the slice, the other half lie within it.
-        step = dtype.precision // 2 - dtype.scale
-        scaled = value / F.lit(Decimal(10**step)) if step >= 0 else value * F.lit(Decimal(10**-step))
-        return F.floor(scaled).cast("decimal(38,0)")
+        left = range(dtype.precision - _DIGITS, 0, -_DIGITS) or [0]
+        return [_decimal_slice(value, digits - dtype.scale) for digits in left]
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         # Slices of about 0.02% relative width.
-        return F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * 4096).cast("bigint")
+        return [F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * 4096).cast("bigint")]
     if isinstance(dtype, T.DateType):
-        return F.floor(F.unix_date(value) / 1024).cast("bigint")
+        return [F.floor(F.unix_date(value) / 1024).cast("bigint")]
     if isinstance(dtype, T.TimestampType):
-        return F.shiftright(F.unix_micros(value), 30)
+        return slice_levels(F.unix_micros(value), T.LongType())
     if isinstance(dtype, T.LongType):
-        return F.shiftright(value, 22)
+        return [F.shiftright(value, 42), F.shiftright(value, 21)]
     if isinstance(dtype, T.IntegralType):
-        return F.shiftright(value.cast("bigint"), 12)
+        return [F.shiftright(value.cast("bigint"), 12)]
     raise TypeError(f"no ranks for values of type {dtype.simpleString()}")
 
 
-def _counted(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
-    """One row per key and distinct value with its number of copies and its slice.
+def _counted(df: DataFrame, keys: Sequence[str], column: str) -> tuple[DataFrame, list[str]]:
+    """One row per key and distinct value with its number of copies, and its slice columns.
 
     Rows without a key are left out. A missing value stays as a row with 0 copies, so that a
     group of missing values is not lost; having no copies, it moves no rank.
     """
-    dtype = df.schema[column].dataType
     keyed = df.na.drop(subset=list(keys)) if keys else df
     rows = keyed.select(*keys, F.col(column).alias(_VALUE))
     counted = rows.groupBy(*keys, _VALUE).agg(F.count(_VALUE).alias(_COUNT))
-    return counted.withColumn(_SLICE, F.coalesce(slice_of(F.col(_VALUE), dtype), F.lit(0)))
-
-
-def _slice_starts(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per key and slice: rows in it, rows in lower slices, and rows of the key."""
-    # Without keys the window runs in one task over the bounded list of slices.
-    within = Window.partitionBy(*(keys or [F.lit(0)]))
-    lower = within.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        counted.groupBy(*keys, _SLICE)
-        .agg(F.sum(_COUNT).alias(_SLICE_COUNT))
-        .withColumns(
-            {
-                _BELOW: F.coalesce(F.sum(_SLICE_COUNT).over(lower), F.lit(0)),
-                _TOTAL: F.sum(_SLICE_COUNT).over(within),
-            }
-        )
-    )
+    levels = slice_levels(F.col(_VALUE), df.schema[column].dataType)
+    slices = {f"{_SLICE}_{n}": F.coalesce(s, F.lit(0)) for n, s in enumerate(levels)}
+    return counted.withColumns(slices), list(slices)
+
 
+def _slice_starts(
+    counted: DataFrame, keys: Sequence[str], slices: Sequence[str], wanted: Column | None = None
+) -> DataFrame:
+    """Per finest slice: rows in it, rows of its key below it, and all rows of its key.
 
-def _rank_bounds(keys: Sequence[str]) -> tuple[Column, Column]:
+    ``wanted`` keeps, level by level, only the slices that matter.
+    """
+    starts = None
+    for level, column in enumerate(slices):
+        parent = [*keys, *slices[:level]]
+        # Without keys the top window runs in one task over the bounded list of top slices.
+        within = Window.partitionBy(*(parent or [F.lit(0)]))
+        lower = within.orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum(_SLICE_COUNT).over(lower), F.lit(0))
+        sums = counted.groupBy(*parent, column).agg(F.sum(_COUNT).alias(_SLICE_COUNT))
+        if starts is None:
+            total = F.sum(_SLICE_COUNT).over(within)
+            starts = sums.withColumns({_BELOW: before, _TOTAL: total})
+        else:
+            placed = sums.join(starts.select(*parent, _BELOW, _TOTAL), parent)
+            starts = placed.withColumn(_BELOW, F.col(_BELOW) + before)
+        if wanted is not None:
+            starts = starts.where(wanted)
+    return starts.drop(_SLICE_COUNT)
+
+
+def _rank_bounds(keys: Sequence[str], slices: Sequence[str]) -> tuple[Column, Column]:
     """First and last zero-based rank taken by the copies of a value."""
     upto = (
-        Window.partitionBy(*keys, _SLICE)
+        Window.partitionBy(*keys, *slices)
         .orderBy(_VALUE)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -103,8 +121,7 @@ def exact_percentiles(
     """
     dtype = df.schema[column].dataType
     keys = list(keys)
-    counted = _counted(df, keys, column)
-    starts = _slice_starts(counted, keys)
+    counted, slices = _counted(df, keys, column)
 
     def inside(rank: Column) -> Column:
         return (rank >= F.col(_BELOW)) & (rank < F.col(_BELOW) + F.col(_SLICE_COUNT))
@@ -114,8 +131,9 @@ def exact_percentiles(
         low, high, _ = _position(share)
         wanted = wanted | inside(low) | inside(high)
     # At most two slices per share and key go on to the value-level ranks.
-    near = counted.join(starts.where(wanted), [*keys, _SLICE])
-    first, last = _rank_bounds(keys)
+    starts = _slice_starts(counted, keys, slices, wanted)
+    near = counted.join(starts, [*keys, *slices])
+    first, last = _rank_bounds(keys, slices)
     ranked = near.withColumns({"_first": first, "_last": last})
 
     def value_at(rank: Column) -> Column:
@@ -168,9 +186,9 @@ def window_rank_avg(
     value and joined back, so neither a large group nor a frequent value is held by one task.
     """
     keys = list(keys)
-    counted = _counted(df, keys, column)
-    placed = counted.join(_slice_starts(counted, keys), [*keys, _SLICE])
-    first, last = _rank_bounds(keys)
+    counted, slices = _counted(df, keys, column)
+    placed = counted.join(_slice_starts(counted, keys, slices), [*keys, *slices])
+    first, last = _rank_bounds(keys, slices)
     average = ((first + last) / 2 + 1).cast("double")
     ranks = placed.select(*keys, F.col(_VALUE).alias(column), average.alias(name))
     return df.join(ranks, [*keys, column], "left").select(*df.columns, name)

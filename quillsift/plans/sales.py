@@ -84,9 +84,7 @@ def sales_report(
     Orders whose id is stored already are left alone, in both tables, so a rerun adds nothing.
     """
     staged = stage(flagged_sales(raw), stage_folder)
-    clean = transform_sales(with_status(staged, "valid")).withColumn(
-        "loaded_at", F.lit(run.loaded_at).cast("timestamp_ntz")
-    )
+    clean = transform_sales(with_status(staged, "valid")).withColumn("loaded_at", run.stamp())
     clean = project_ordered(clean, SALES_REPORT_CLEAN.fieldNames())
     rejected = reject_reason(with_status(staged, "rejected"), SALES_REASON)
     loaded = append_new(spark, f"{store}/sales_clean", clean, ["order_id"], clean.columns[1:])

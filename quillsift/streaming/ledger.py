@@ -67,7 +67,7 @@ def _load_files(
     entries = names.join(counts, "file_name", "left").select(
         "file_name",
         F.lit("success").alias("status"),
-        F.lit(run.loaded_at).cast("timestamp_ntz").alias("loaded_at"),
+        run.stamp().alias("loaded_at"),
         F.coalesce("n", F.lit(0)).alias("rows_loaded"),
     )
     entries.write.mode("append").parquet(ledger)

@@ -164,7 +164,7 @@ _AUDITED_SQL = f"""(SELECT *, 'v1' AS source_file, 'run-1' AS run_id,
 
 @query(
     "audit_columns",
-    f"SELECT order_id, loaded_at, source_file, run_id FROM {_AUDITED_SQL} AS audited",
+    f"SELECT order_id, CAST(loaded_at AS VARCHAR) AS loaded_at, source_file, run_id FROM {_AUDITED_SQL} AS audited",
     ["orders_in"],
 )
 def _audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,7 +184,7 @@ def _audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "latest_load",
-    f"SELECT max(loaded_at) AS latest_load FROM {_AUDITED_SQL} AS audited",
+    f"SELECT CAST(max(loaded_at) AS VARCHAR) AS latest_load FROM {_AUDITED_SQL} AS audited",
     ["orders_in"],
 )
 def _latest_load(spark: SparkSession, sf_dir: str) -> DataFrame:

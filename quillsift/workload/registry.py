@@ -18,7 +18,8 @@ ORACLE: dict[str, str] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Types both engines return alike: whole numbers as BIGINT, decimals as DOUBLE, dates as text."""
+    """Types both engines return alike: whole numbers as BIGINT, decimals as DOUBLE, dates and
+    times as text."""
 
     def shown(field: T.StructField):
         c = F.col(f"`{field.name}`")
@@ -26,7 +27,7 @@ def plain(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(field.dataType, T.IntegralType):
             c = c.cast("bigint")
-        elif isinstance(field.dataType, T.DateType):
+        elif isinstance(field.dataType, (T.DateType, T.TimestampNTZType)):
             c = c.cast("string")
         return c.alias(field.name)
 

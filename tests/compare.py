@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections import Counter
 from pathlib import Path
 
@@ -23,8 +22,6 @@ def oracle(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _value(v):
     if isinstance(v, float) and v != v:
         return None
-    if isinstance(v, dt.datetime):
-        return v.replace(tzinfo=None)
     return v
 
 
@@ -60,7 +57,7 @@ def difference(spark, con, function, sql: str, sf_dir: str) -> str | None:
         extra, missing = list((a - b).items())[:3], list((b - a).items())[:3]
         return f"rows {len(got)} / {len(want)}; only spark {extra}; only sql {missing}"
     types = {type(v) for row in a for v in row} | {type(v) for row in b for v in row}
-    odd = types - {int, str, float, bool, type(None), dt.datetime}
+    odd = types - {int, str, float, bool, type(None)}
     if odd:
         return f"types {odd}"
     kinds = [[{type(v) for v in col if v is not None} for col in zip(*rows, strict=True)] for rows in (a, b)]

@@ -98,3 +98,26 @@ def test_describe_agrees_with_pandas(spark):
         for ours, theirs in [("count", "count"), ("mean", "mean"), ("std", "std"), ("min", "min"),
                              ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("max", "max")]:
             assert got[column][ours] == pytest.approx(want.loc[theirs, column], rel=1e-9)
+
+
+WIDE = [("bigint", 2**62), ("decimal(38,2)", 2**62), ("decimal(20,4)", 10**9), ("decimal(4,4)", 0)]
+
+
+@pytest.mark.parametrize(("dtype", "spread"), WIDE)
+def test_wide_types(spark, dtype, spread):
+    """Values spread over the whole type, and over a small part of it."""
+    rng = np.random.default_rng(6)
+    for high in {spread, 900}:
+        whole = [int(v) for v in rng.integers(-high, high + 1, 801)]
+        values = [Decimal(v % 2000 - 1000) / 10**4 for v in whole] if spread == 0 else whole
+        df = spark.createDataFrame([(i, str(v)) for i, v in enumerate(values)], "id INT, t STRING")
+        df = df.selectExpr("id", f"CAST(t AS {dtype}) AS v", "'a' AS g")
+        middle = exact_median(df, "v").head()[0]
+        assert float(middle) == float(sorted(values)[400])
+        got = {r.id: r["rank"] for r in window_rank_avg(df, ["g"], "v").collect()}
+        want = pd.Series([float(v) for v in values]).rank() if high < 2**53 else None
+        for i, value in enumerate(values):
+            below = sum(v < value for v in values)
+            same = sum(v == value for v in values)
+            assert got[i] == below + (same + 1) / 2
+            assert want is None or got[i] == want[i]
