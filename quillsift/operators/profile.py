@@ -68,7 +68,7 @@ def profile_describe(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
         F.min("v").alias("min"),
         F.max("v").alias("max"),
     )
-    quartiles = exact_percentiles(values, "v", QUARTILES, ["column_name"])
+    quartiles = exact_percentiles(values, "v", QUARTILES, ["column_name"], few_groups=True)
     return basic.join(quartiles, "column_name")
 
 

@@ -1,11 +1,14 @@
 """Exact percentiles and ranks that do not gather a group in one task.
 
 ``percentile`` and ``median`` keep every distinct value of a group in one task's buffer, and a
-window sorts the group there. Here equal values are counted first, map-side included, so copies
-cost nothing. The distinct values are then cut into slices by a monotone rule, and slices of wide
-types into finer ones. A running total over the slices of one parent gives each slice its starting
-rank, so that ranks inside a slice need only that slice. For whole numbers, decimals and dates
-no window sees more than a few million rows, whatever the row count.
+window sorts the group there. Here values are cut into slices by a monotone rule, and slices of
+wide types into finer ones. A running total over the slices of one parent gives each slice its
+starting rank, so that ranks inside a slice need only that slice. For whole numbers, decimals and
+dates no window sees more than a few million rows, whatever the row count.
+
+With many groups, equal values are counted first, map-side included, so that copies cost nothing.
+With few groups, percentiles count slices straight from the rows, which shuffles next to nothing,
+and then look again at the rows of the slices that hold the wanted ranks.
 """
 
 from __future__ import annotations
@@ -50,26 +53,36 @@ def slice_levels(value: Column, dtype: T.DataType) -> list[Column]:
     raise TypeError(f"no ranks for values of type {dtype.simpleString()}")
 
 
-def _counted(df: DataFrame, keys: Sequence[str], column: str) -> tuple[DataFrame, list[str]]:
-    """One row per key and distinct value with its number of copies, and its slice columns.
+def _sliced(
+    df: DataFrame, keys: Sequence[str], column: str, count_first: bool
+) -> tuple[DataFrame, list[str]]:
+    """Keys, value, number of copies and slices, and the names of the slice columns.
 
     Rows without a key are left out. A missing value stays as a row with 0 copies, so that a
     group of missing values is not lost; having no copies, it moves no rank.
     """
     keyed = df.na.drop(subset=list(keys)) if keys else df
     rows = keyed.select(*keys, F.col(column).alias(_VALUE))
-    counted = rows.groupBy(*keys, _VALUE).agg(F.count(_VALUE).alias(_COUNT))
+    if count_first:
+        rows = rows.groupBy(*keys, _VALUE).agg(F.count(_VALUE).alias(_COUNT))
+    else:
+        rows = rows.withColumn(_COUNT, F.col(_VALUE).isNotNull().cast("bigint"))
     levels = slice_levels(F.col(_VALUE), df.schema[column].dataType)
     slices = {f"{_SLICE}_{n}": F.coalesce(s, F.lit(0)) for n, s in enumerate(levels)}
-    return counted.withColumns(slices), list(slices)
+    return rows.withColumns(slices), list(slices)
 
 
 def _slice_starts(
-    counted: DataFrame, keys: Sequence[str], slices: Sequence[str], wanted: Column | None = None
+    rows: DataFrame,
+    keys: Sequence[str],
+    slices: Sequence[str],
+    wanted: Column | None = None,
+    few_groups: bool = False,
 ) -> DataFrame:
-    """Per finest slice: rows in it, rows of its key below it, and all rows of its key.
+    """Per finest slice: rows below it in its key, and all rows of its key.
 
-    ``wanted`` keeps, level by level, only the slices that matter.
+    ``wanted`` keeps, level by level, only the slices that matter. With few groups these are a
+    handful, and rows outside them are passed over before the next level is counted.
     """
     starts = None
     for level, column in enumerate(slices):
@@ -78,7 +91,9 @@ def _slice_starts(
         within = Window.partitionBy(*(parent or [F.lit(0)]))
         lower = within.orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
         before = F.coalesce(F.sum(_SLICE_COUNT).over(lower), F.lit(0))
-        sums = counted.groupBy(*parent, column).agg(F.sum(_COUNT).alias(_SLICE_COUNT))
+        if starts is not None and few_groups:
+            rows = rows.join(F.broadcast(starts.select(*parent)), parent, "left_semi")
+        sums = rows.groupBy(*parent, column).agg(F.sum(_COUNT).alias(_SLICE_COUNT))
         if starts is None:
             total = F.sum(_SLICE_COUNT).over(within)
             starts = sums.withColumns({_BELOW: before, _TOTAL: total})
@@ -112,16 +127,22 @@ def _position(share: float) -> tuple[Column, Column, Column]:
 
 
 def exact_percentiles(
-    df: DataFrame, column: str, shares: Mapping[str, float], keys: Sequence[str] = ()
+    df: DataFrame,
+    column: str,
+    shares: Mapping[str, float],
+    keys: Sequence[str] = (),
+    few_groups: bool | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles per key, e.g. ``{"median": 0.5}``.
 
     A group whose values are all missing keeps its row, with NULL. A median of decimals stays a
-    decimal; other percentiles are doubles.
+    decimal; other percentiles are doubles. Say ``few_groups`` only where the number of groups is
+    bounded, as without keys: two slices per share and group are then broadcast.
     """
     dtype = df.schema[column].dataType
     keys = list(keys)
-    counted, slices = _counted(df, keys, column)
+    few = not keys if few_groups is None else few_groups
+    rows, slices = _sliced(df, keys, column, count_first=not few)
 
     def inside(rank: Column) -> Column:
         return (rank >= F.col(_BELOW)) & (rank < F.col(_BELOW) + F.col(_SLICE_COUNT))
@@ -131,8 +152,15 @@ def exact_percentiles(
         low, high, _ = _position(share)
         wanted = wanted | inside(low) | inside(high)
     # At most two slices per share and key go on to the value-level ranks.
-    starts = _slice_starts(counted, keys, slices, wanted)
-    near = counted.join(starts, [*keys, *slices])
+    starts = _slice_starts(rows, keys, slices, wanted, few)
+    if few:
+        near = (
+            rows.join(F.broadcast(starts), [*keys, *slices])
+            .groupBy(*keys, *slices, _VALUE, _BELOW, _TOTAL)
+            .agg(F.sum(_COUNT).alias(_COUNT))
+        )
+    else:
+        near = rows.join(starts, [*keys, *slices])
     first, last = _rank_bounds(keys, slices)
     ranked = near.withColumns({"_first": first, "_last": last})
 
@@ -186,7 +214,7 @@ def window_rank_avg(
     value and joined back, so neither a large group nor a frequent value is held by one task.
     """
     keys = list(keys)
-    counted, slices = _counted(df, keys, column)
+    counted, slices = _sliced(df, keys, column, count_first=True)
     placed = counted.join(_slice_starts(counted, keys, slices), [*keys, *slices])
     first, last = _rank_bounds(keys, slices)
     average = ((first + last) / 2 + 1).cast("double")
