@@ -16,6 +16,16 @@ from quillsift.operators.filters import holds
 _MARK = "_lookup_mark"
 
 
+def splittable(side: DataFrame) -> DataFrame:
+    """Prepare the smaller side of a join with a skewed one.
+
+    Spark splits a skewed partition only where both sides come straight out of a shuffle made for
+    the join. A side grouped or joined by the same key already has no such shuffle, and the hot key
+    would stay in one task; rebalancing the side, which is small, brings the shuffle back.
+    """
+    return side.hint("rebalance")
+
+
 def join_inner(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     return left.join(right, list(key), "inner")
 
@@ -54,13 +64,17 @@ def anti_join_new(
 ) -> DataFrame:
     """Incoming rows whose key the target lacks; keys are joined, never collected.
 
-    Where ``incoming`` is costly, as after deduplication, ``keys_from`` names the plain input that
-    has the same keys, so that only its key columns are read again.
+    Where ``incoming`` has been deduplicated, ``keys_from`` names the plain input with the same
+    keys, so that only its key columns are read again.
     """
-    known = matched_keys(incoming if keys_from is None else keys_from, target, key)
+    if keys_from is None:
+        known = splittable(matched_keys(incoming, target, key))
+    else:
+        known = matched_keys(keys_from, target, key)
     return incoming.join(known, list(key), "left_anti")
 
 
 def semi_join_skipped(incoming: DataFrame, target: DataFrame, key: Sequence[str]) -> DataFrame:
     """Incoming rows whose key the target already holds."""
-    return incoming.join(matched_keys(incoming, target, key), list(key), "left_semi")
+    known = splittable(matched_keys(incoming, target, key))
+    return incoming.join(known, list(key), "left_semi")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsift.operators.joins import splittable
 from quillsift.operators.ranks import window_rank_avg
 
 __all__ = [
@@ -29,7 +30,7 @@ def window_group(df: DataFrame, keys: Sequence[str], name: str, aggregate: Colum
     """The group's aggregate on every row; NULL on a row without a group."""
     keys = list(keys)
     per_group = df.na.drop(subset=keys).groupBy(*keys).agg(aggregate.alias(name))
-    return df.join(per_group, keys, "left").select(*df.columns, name)
+    return df.join(splittable(per_group), keys, "left").select(*df.columns, name)
 
 
 def window_group_mean(
@@ -56,7 +57,7 @@ def group_filter(
         .where(F.col("_measure") > limit)
         .select(*keys)
     )
-    return df.join(passing, keys, "left_semi")
+    return df.join(splittable(passing), keys, "left_semi")
 
 
 def group_filter_mean(

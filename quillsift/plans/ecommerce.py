@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillsift.functions import clean_amount, clean_quantity, clean_text, parse_mixed_dates
 from quillsift.operators.aggregates import report_category_clean
 from quillsift.operators.dedup import dedup_keep_first
-from quillsift.operators.joins import anti_join_new, join_left_flag, matched_keys
+from quillsift.operators.joins import anti_join_new, join_left_flag, matched_keys, splittable
 from quillsift.operators.projections import project_ordered
 from quillsift.operators.quality import (
     FAILED,
@@ -67,7 +67,7 @@ def new_orders(batch: DataFrame, stored: DataFrame) -> DataFrame:
 
 def batch_counts(batch: DataFrame, stored: DataFrame) -> Row:
     """Rows of the batch, and those of them whose order is stored already."""
-    known = matched_keys(batch, stored, ["order_id"])
+    known = splittable(matched_keys(batch, stored, ["order_id"]))
     flagged = join_left_flag(batch.select("order_id"), known, ["order_id"], "is_known")
     return flagged.agg(
         F.count("*").alias("extracted"), F.count_if("is_known").alias("skipped")

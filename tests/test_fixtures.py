@@ -8,11 +8,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from quillsift import functions as qf
 from quillsift import schemas
 from quillsift.operators import aggregates, filters, joins, loads, ordering, quality, windows
 from quillsift.operators.audit import Run
 from quillsift.plans import employees, orders, sales
 from quillsift.plans.ecommerce import ecommerce
+from quillsift.sources.generate import gen_dirty_orders, order_ids
 from quillsift.sources.readers import rows_to_df
 
 RUN1 = Run("run-1", dt.datetime(2026, 1, 1, 8))
@@ -297,3 +299,58 @@ def test_ecommerce_three_days(spark, folder):
     assert (row.customer_name, row.product_category, row.quantity_clean) == ("ann", "home", 5)
     assert (row.amount_clean, row.order_date) == (Decimal("1050.00"), dt.date(2024, 1, 15))
     assert row.amount == "$1,050.00"
+
+
+def test_sales_report_twice(spark, folder):
+    """Reports, stored rejects, and a second run that adds nothing."""
+
+    def row(i, **changes):
+        base = {
+            "order_id": i,
+            "customer": " Ann ",
+            "region": "SOUTH",
+            "product_category": "Home ",
+            "product_name": "Lamp",
+            "quantity": 2.0,
+            "unit_price": Decimal("10.25"),
+            "order_date": "2024-01-15",
+        }
+        return {**base, **changes}
+
+    rows = [
+        row(1),
+        row(2, region=" south", customer="Bob", quantity=1.0),
+        row(3, product_category="Toys", unit_price=Decimal("0.10"), quantity=3.0),
+        row(3, product_category="Toys", unit_price=Decimal("0.10"), quantity=3.0),
+        row(4, customer=None),
+        row(5, quantity=None),
+        row(6, unit_price=Decimal("-1.00")),
+    ]
+    raw = rows_to_df(spark, rows, schemas.SALES_REPORT_RAW)
+    for attempt, loaded in enumerate([3, 0]):
+        result = sales.sales_report(spark, raw, f"{folder}/store", f"{folder}/s{attempt}", RUN1)
+        summary = result.summary.head()
+        assert tuple(summary)[:5] == ("success", 7, 4, 3, loaded)
+        assert summary.errors == []
+        assert [tuple(r) for r in result.by_category.collect()] == [
+            ("home", 2, Decimal("30.75"), Decimal("15.38")),
+            ("toys", 1, Decimal("0.30"), Decimal("0.30")),
+        ]
+        assert [tuple(r) for r in result.by_region.collect()] == [("south", 3, Decimal("31.05"))]
+        assert [r.customer for r in result.top_customers.collect()] == ["ann", "bob"]
+        assert ids(result.rejected, "order_id") == [4, 5, 6]
+        assert result.clean.select("loaded_at").distinct().head()[0] == RUN1.loaded_at
+        assert result.clean.select(*schemas.SALES_REPORT_CLEAN.fieldNames()).count() == 3
+
+
+def test_generated_feed_reconciles_in_any_partitioning(spark):
+    feed = gen_dirty_orders(order_ids(spark, 5000))
+    outcomes = set()
+    for parts in (1, 6):
+        spread = feed.repartition(parts)
+        valid, rejected = quality.validate_sales(spread)
+        check = quality.reconcile(spread, valid=valid, rejected=rejected).head()
+        assert check.balanced
+        outcomes.add((check.valid_rows, check.rejected_rows))
+        assert valid.where(qf.parse_mixed_dates(F.col("order_date")).isNull()).count() == 0
+    assert len(outcomes) == 1

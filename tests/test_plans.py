@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from compare import plan_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as wiring
 from quillsift.operators.dedup import dedup_keep_first
+from quillsift.operators.joins import anti_join_new, join_left_flag, semi_join_skipped
 from quillsift.operators.loads import upsert_replace
-from quillsift.operators.windows import window_group_mean
+from quillsift.operators.windows import group_filter_size, window_group_mean, window_rank_avg
 from quillsift.sources.readers import read_parquet
 
 QUERIES = wiring.queries()
@@ -50,3 +52,43 @@ def test_small_upsert_does_not_shuffle_the_target(spark, folder):
     final = plan_of(upserted)
     assert "BroadcastHashJoin" in final
     assert upserted.count() == 100_001
+
+
+@pytest.fixture
+def tiny_skew_limits(spark):
+    """Skew limits scaled down to test data, and no broadcast, as between two large tables."""
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in limits}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_joins_split_a_hot_key(spark, folder, tiny_skew_limits):
+    """A third of all rows share a key; the join spreads them over several tasks."""
+    key = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000)
+    ids = spark.range(300_000, numPartitions=12)
+    columns = [key.alias("k"), "id", F.lit(1).alias("v")]
+    ids.select(*columns).write.parquet(f"{folder}/facts")
+    spark.range(5000).select(F.col("id").alias("k")).write.parquet(f"{folder}/lookup")
+    facts, lookup = spark.read.parquet(f"{folder}/facts"), spark.read.parquet(f"{folder}/lookup")
+    joins = {
+        "flag": (join_left_flag(facts, lookup, ["k"]), 300_000),
+        "skipped": (semi_join_skipped(facts, lookup, ["k"]), 300_000),
+        "new": (anti_join_new(facts, lookup.where("k > 0"), ["k"]), 100_040),
+        "group mean": (window_group_mean(facts, ["k"], "id"), 300_000),
+        "group size": (group_filter_size(facts, ["k"], 100), 100_040),
+        "rank": (window_rank_avg(facts, ["k"], "v"), 300_000),
+    }
+    for name, (joined, rows) in joins.items():
+        assert len(joined.collect()) == rows, name
+        assert "skew=true" in plan_of(joined), name
