@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
 TEXT = T.StringType()
 INT = T.IntegerType()
 BIGINT = T.LongType()

@@ -164,7 +164,8 @@ _AUDITED_SQL = f"""(SELECT *, 'v1' AS source_file, 'run-1' AS run_id,
 
 @query(
     "audit_columns",
-    f"SELECT order_id, CAST(loaded_at AS VARCHAR) AS loaded_at, source_file, run_id FROM {_AUDITED_SQL} AS audited",
+    f"""SELECT order_id, CAST(loaded_at AS VARCHAR) AS loaded_at, source_file, run_id
+        FROM {_AUDITED_SQL} AS audited""",
     ["orders_in"],
 )
 def _audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,5 +60,8 @@ def difference(spark, con, function, sql: str, sf_dir: str) -> str | None:
     odd = types - {int, str, float, bool, type(None)}
     if odd:
         return f"types {odd}"
-    kinds = [[{type(v) for v in col if v is not None} for col in zip(*rows, strict=True)] for rows in (a, b)]
+    kinds = [
+        [{type(v) for v in column if v is not None} for column in zip(*rows, strict=True)]
+        for rows in (a, b)
+    ]
     return None if kinds[0] == kinds[1] else f"kinds {kinds}"
