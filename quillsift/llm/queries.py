@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsift.llm import sharding, topk, url_filter
+from quillsift.llm import sharding, topk, toxicity, url_filter
 from quillsift.llm.staging import table
 
 # The rules that the contract of op7 states.
@@ -19,6 +19,11 @@ block net/fr/
 """
 
 
+def op3_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_documents(spark, docs, labels)
+
+
 def op5_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search_embeddings(table(spark, sf_dir, "embeddings"))
 
@@ -33,7 +38,12 @@ def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_maxscore_top_k, op7_bloom_cascade_urls, op8_hash_tree_shards)
+    f.__name__: f for f in (
+        op3_lexicon_toxicity,
+        op5_maxscore_top_k,
+        op7_bloom_cascade_urls,
+        op8_hash_tree_shards,
+    )
 }
 
 ORACLE: dict[str, str] = {
