@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsift.llm import sharding, topk, toxicity, url_filter
+from quillsift.llm import pii, sharding, topk, toxicity, url_filter
 from quillsift.llm.staging import table
 
 # The rules that the contract of op7 states.
@@ -28,6 +28,10 @@ def op5_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search_embeddings(table(spark, sf_dir, "embeddings"))
 
 
+def op6_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"))
+
+
 def op7_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = url_filter.rules_of(URL_RULES)
     return url_filter.judge_urls(spark, table(spark, sf_dir, "pages"), rules)
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op3_lexicon_toxicity,
         op5_maxscore_top_k,
+        op6_feistel_pseudonyms,
         op7_bloom_cascade_urls,
         op8_hash_tree_shards,
     )
