@@ -26,7 +26,7 @@ CARD = (
 PHONE = (
     r"(?<![\w+])(?:\+?1[ .-]?)?(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[ .-])[2-9]\d{2}[ .-]\d{4}(?![\d-])"
 )
-WORLD_PHONE = r"(?<![\w+])\+[2-9]\d{0,2}(?:[ .-]\(?\d{1,5}\)?){2,5}(?![\d-])"
+WORLD_PHONE = r"(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]\(?\d{1,5}\)?){2,5}(?![\d-])"
 IPV4 = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
@@ -211,11 +211,34 @@ def _phone(value: Column, key: str, back: bool) -> Column:
 
 
 def _world_phone(value: Column, key: str, back: bool) -> Column:
-    """The country code stays, the other digits are permuted."""
+    """The country code stays, the other digits are permuted.
+
+    After +1 come only numbers that PHONE does not take, since their area or exchange starts with 0
+    or 1; those first digits stay, so that the pseudonym is no PHONE either.
+    """
     code = F.regexp_extract(value, r"^(\+\d+)", 1)
     rest = F.substring(value, F.length(code) + 1, F.length(value))
-    fresh = _characters(_only(rest, "0-9"), key, "world", back)
-    return F.concat(code, _let(fresh, lambda f: _refill(rest, f, "0-9")))
+
+    def fresh(digits: Column) -> Column:
+        ten = (code == "+1") & (F.length(digits) == 10)
+        free = F.when(
+            ten, F.concat(F.substring(digits, 2, 2), F.substring(digits, 5, 6))
+        ).otherwise(digits)
+        return _let(
+            _characters(free, key, "world", back),
+            lambda f: F.when(
+                ten,
+                F.concat(
+                    _at(digits, F.lit(1)),
+                    F.substring(f, 1, 2),
+                    _at(digits, F.lit(4)),
+                    F.substring(f, 3, 6),
+                ),
+            ).otherwise(f),
+        )
+
+    numbers = _let(_only(rest, "0-9"), fresh)
+    return F.concat(code, _let(numbers, lambda n: _refill(rest, n, "0-9")))
 
 
 def is_ip(value: Column) -> Column:
