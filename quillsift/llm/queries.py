@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsift.llm import pii, sharding, topk, toxicity, url_filter
+from quillsift.llm import packing, pii, sharding, topk, toxicity, url_filter
 from quillsift.llm.staging import table
 
 # The rules that the contract of op7 states.
@@ -19,6 +20,11 @@ block net/fr/
 """
 
 
+def op2_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.pack_documents(spark, docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.score_documents(spark, docs, labels)
@@ -43,6 +49,7 @@ def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op2_genetic_packing,
         op3_lexicon_toxicity,
         op5_maxscore_top_k,
         op6_feistel_pseudonyms,
