@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsift.llm import packing, pii, sharding, suffix_dedup, topk, toxicity, url_filter
+from quillsift.llm import near_dedup, packing, pii, sharding, suffix_dedup, topk, toxicity, url_filter
 from quillsift.llm.staging import table
 
 # The rules that the contract of op7 states.
@@ -30,6 +30,11 @@ def op3_lexicon_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(spark, docs, labels)
 
 
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_dedup.near_classes(spark, table(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "class_id", "kept")
+
+
 def op5_maxscore_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search_embeddings(table(spark, sf_dir, "embeddings"))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op2_genetic_packing,
         op3_lexicon_toxicity,
+        op4_order_minhash,
         op5_maxscore_top_k,
         op6_feistel_pseudonyms,
         op7_bloom_cascade_urls,
