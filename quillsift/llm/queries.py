@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsift.llm import near_dedup, packing, pii, sharding, suffix_dedup, topk, toxicity, url_filter
+from quillsift.llm import near_dedup, ngram_quality, packing, pii, sharding, suffix_dedup, topk, toxicity, url_filter
 from quillsift.llm.staging import table
 
 # The rules that the contract of op7 states.
@@ -52,6 +52,10 @@ def op8_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_quality.judged(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(spark, table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_feistel_pseudonyms,
         op7_bloom_cascade_urls,
         op8_hash_tree_shards,
+        op9_kneser_ney_quality,
         op10_suffix_array_dedup,
     )
 }
