@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillsift.llm import near_dedup, ngram_quality, packing, pii, sharding, suffix_dedup, topk, toxicity, url_filter
+from quillsift.llm import (
+    near_dedup,
+    ngram_quality,
+    packing,
+    pii,
+    sentencepiece_lattice,
+    sharding,
+    suffix_dedup,
+    topk,
+    toxicity,
+    url_filter,
+)
 from quillsift.llm.staging import table
 
 # The rules that the contract of op7 states.
@@ -20,6 +31,12 @@ block net/fr/
 """
 
 
+def op1_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepiece_lattice.encode_documents(spark, docs, model)
+
+
 def op2_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(spark, docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -62,6 +79,7 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
+        op1_sentencepiece_lattice,
         op2_genetic_packing,
         op3_lexicon_toxicity,
         op4_order_minhash,
