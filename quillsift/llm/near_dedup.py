@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsift.llm.components import connected
-from quillsift.llm.staging import full_text, staged
+from quillsift.llm.staging import boxed, full_text, staged, unboxed
 
 SHINGLE = 5
 SKETCHES = 40
@@ -350,3 +350,17 @@ def near_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
         ).alias("kept"),
         "text_key",
     )
+
+
+def _row_key():
+    """One key for the id and the whole text of a row."""
+    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.hex("text_key")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """One row of each class of near copies of ``docs``, in its own columns, whatever their names."""
+    kept = near_classes(spark, docs).where("kept").select(_row_key().alias("row_key")).distinct()
+    rows = boxed(docs).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), "text")
+    rows = rows.withColumn("text_key", _text_key()).select("row", _row_key().alias("row_key"))
+    # Rows with the same id and text are one document that came twice.
+    return unboxed(rows.join(kept, "row_key").dropDuplicates(["row_key"]), docs.columns)

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsift.llm.staging import boxed, with_new_text
+
 DEFAULT_KEY = "set-a-key-of-your-own"
 ROUNDS = 10
 
@@ -513,3 +515,9 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     """Every row of ``docs`` (doc_id, text): its text with pseudonyms, and the kinds replaced."""
     rows = replace_text(docs.select("doc_id", "text"), key)
     return rows.select("doc_id", "text", F.size("pii").alias("n_pii"), "pii")
+
+
+def hide(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+    """``docs`` with pseudonyms in their texts, in their own columns, whatever their names."""
+    rows = replace_text(boxed(docs), key)
+    return with_new_text(rows, docs.columns, F.col("text"), F.size("pii") > 0)

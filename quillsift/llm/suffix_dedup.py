@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsift.llm.staging import full_text, staged
+from quillsift.llm.staging import boxed, full_text, staged, with_new_text
 
 SPAN = 400
 GRAM = 32
@@ -375,8 +375,8 @@ def _searched(
     return runs.unionByName(again)
 
 
-def _cut(data: bytes, spans) -> tuple[bytes, int, int]:
-    """The rest of ``data``, removed bytes, and removed runs after joining what touches."""
+def _cut(data: bytes, spans) -> tuple[list[bytes], int, int]:
+    """What is left of ``data``, removed bytes, and removed runs after joining what touches."""
     kept, at, removed, runs = [], 0, 0, 0
     for a, b in sorted((s["a"], s["b"]) for s in spans):
         if runs and a <= at:
@@ -386,30 +386,34 @@ def _cut(data: bytes, spans) -> tuple[bytes, int, int]:
         kept.append(data[at:a])
         removed, runs, at = removed + b - a, runs + 1, b
     kept.append(data[at:])
-    return b"".join(kept), removed, runs
+    return kept, removed, runs
 
 
 def _remove(bodies: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    rows = [
-        (d, 0, 0) if s is None or not len(s) else _cut(d, s)
-        for d, s in zip(bodies, spans, strict=True)
-    ]
-    return pd.DataFrame(rows, columns=["kept", "removed", "runs"])
+    rows = []
+    for data, found in zip(bodies, spans, strict=True):
+        if found is None or not len(found):
+            rows.append((data, None, 0, 0))
+            continue
+        kept, removed, runs = _cut(data, found)
+        # Characters of which a byte is gone are dropped from the text.
+        text = "".join(part.decode("utf-8", "ignore") for part in kept)
+        rows.append((b"".join(kept), text, removed, runs))
+    return pd.DataFrame(rows, columns=["kept", "text", "removed", "runs"])
 
 
 def with_rest(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Each row of ``docs`` as a struct ``row``, its text as bytes in ``body``, and ``rest``, a
-    struct of kept BINARY, removed LONG and runs LONG.
+    struct of kept BINARY, text (null if nothing was removed), removed LONG and runs LONG.
 
     Null texts count as empty. Texts shorter than SPAN lose nothing. All copies of a repeated
     string are removed, and repeated rows count as places of their own. An empty table gives no
     rows. Further columns of ``docs`` travel in ``row``, whatever their names.
     """
     spans = repeated_spans(spark, docs)
-    keyed = docs.select(
-        F.struct("*").alias("row"), F.encode(full_text(), "UTF-8").alias("body")
-    ).withColumn("text_key", _text_key())
-    remove = F.pandas_udf(_remove, "kept BINARY, removed LONG, runs LONG")
+    keyed = boxed(docs).select("row", F.encode(full_text(), "UTF-8").alias("body"))
+    keyed = keyed.withColumn("text_key", _text_key())
+    remove = F.pandas_udf(_remove, "kept BINARY, text STRING, removed LONG, runs LONG")
     joined = keyed.join(spans, "text_key", "left")
     return joined.select("row", "body", remove("body", "spans").alias("rest"))
 
@@ -424,3 +428,13 @@ def dedup_bytes(spark: SparkSession, docs: DataFrame) -> DataFrame:
         F.col("rest.runs").alias("n_spans"),
         F.sha2(F.col("rest.kept"), 256).alias("kept_sha256"),
     )
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated byte strings cut from their texts, in their own columns.
+
+    All rows stay, texts that are repeated as a whole become empty; n_chars follows the text.
+    """
+    rows = with_rest(spark, docs)
+    changed = F.col("rest.removed") > 0
+    return with_new_text(rows, docs.columns, F.col("rest.text"), changed)

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsift.llm.staging import full_text, staged
+from quillsift.llm.staging import boxed, full_text, staged, unboxed
 
 # Letters of other scripts that look like Latin ones, and signs put for letters.
 # i, l, 1 and | are read as one letter, since each is written for the others.
@@ -302,9 +302,9 @@ def _score_rows(lexicon: Lexicon):
 
 
 def scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` with a struct column ``toxicity`` of score and hits; a null text counts as empty."""
+    """``row``, ``text`` and a struct ``toxicity`` of score and hits; a null text counts as empty."""
     rate = F.pandas_udf(_score_rows(lexicon), "score DOUBLE, hits LONG")
-    return docs.withColumn("toxicity", rate(full_text()))
+    return boxed(docs).withColumn("toxicity", rate(full_text()))
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -314,7 +314,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) ->
     columns other than doc_id and text are not read.
     """
     lexicon = train(spark, docs, labels)
-    rows = scored(docs.select("doc_id", "text"), lexicon)
+    rows = scored(docs.select("doc_id", "text"), lexicon).select("row.doc_id", "toxicity")
     return rows.select(
         "doc_id",
         _held_out().alias("held_out"),
@@ -325,7 +325,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, labels: DataFrame) ->
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` below the threshold, in their own columns."""
+    """The rows of ``docs`` below the threshold, in their own columns, whatever their names."""
     lexicon = train(spark, docs, labels)
     rows = scored(docs, lexicon).where(F.col("toxicity.score") < THRESHOLD)
-    return rows.select(*docs.columns)
+    return unboxed(rows, docs.columns)
