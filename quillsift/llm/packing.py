@@ -34,7 +34,9 @@ GENERATIONS = 8
 #: Bins with more room than this share of the capacity are packed again at the next level.
 OPEN_SHARE = 1 / 128
 WELL_FILLED = 0.995
-WORDS_KEPT = 400_000
+WORDS_KEPT = 300_000
+JOINED_WORDS = 2_000
+BAR = "|"
 MAX_LEVELS = 12
 
 PIECES = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
@@ -44,9 +46,10 @@ ODD_SPACES = "\x1c\x1d\x1e\x1f"
 
 
 class WordTokens:
-    """Ids of whole texts from the ids of their words, each word encoded once.
+    """Ids of whole texts from the ids of their words, each word encoded once while it is known.
 
-    That holds for tokenizers that never join characters across white space.
+    That holds for tokenizers that never join characters across white space. Words are known in
+    two generations: what was not met again while the younger one filled up is forgotten.
     """
 
     def __init__(self, path: str):
@@ -54,7 +57,10 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kept: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        bar = self._ids([BAR])[0]
+        self.bar = int(bar[0]) if len(bar) == 1 else None
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -62,20 +68,40 @@ class WordTokens:
             return [w for w in text.replace("\n", " ").replace("\t", " ").split(" ") if w]
         return text.split()
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, dtype="<u4") for e in found]
+
+    def _learn(self, words: list[str]) -> None:
+        """Many words are encoded as one text with bars between them, which costs far less."""
+        alone = [w for w in words if self.bar is None or BAR in w]
+        rest = words if not alone else [w for w in words if self.bar is not None and BAR not in w]
+        for first in range(0, len(rest), JOINED_WORDS):
+            part = rest[first : first + JOINED_WORDS]
+            ids = self._ids([f" {BAR} ".join(part)])[0]
+            cuts = np.flatnonzero(ids == self.bar)
+            if len(cuts) != len(part) - 1:
+                alone += part
+                continue
+            data = ids.tobytes()
+            starts = (np.r_[-1, cuts] + 1).tolist()
+            for word, a, b in zip(part, starts, [*cuts.tolist(), len(ids)], strict=True):
+                self.young[word] = data[4 * a : 4 * b]
+        for word, ids in zip(alone, self._ids(alone), strict=True):
+            self.young[word] = ids.tobytes()
+
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         split = [self.words(t) for t in texts]
-        fresh = list({w for words in split for w in words if w not in self.kept})
-        if len(self.kept) + len(fresh) > WORDS_KEPT:
-            self.kept = {}
-            fresh = list({w for words in split for w in words})
-        encoded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        self.kept.update(
-            (w, np.array(e.ids, dtype="<u4").tobytes())
-            for w, e in zip(fresh, encoded, strict=True)
-        )
+        wanted = set().union(*split) - self.young.keys()
+        if len(self.young) + len(wanted) > WORDS_KEPT:
+            self.old, self.young = self.young, {}
+            wanted = set().union(*split)
+        again = wanted & self.old.keys()
+        self.young.update((w, self.old[w]) for w in again)
+        self._learn(sorted(wanted - again))
         for words in split:
-            yield b"".join(map(self.kept.__getitem__, words))
+            yield b"".join(map(self.young.__getitem__, words))
 
 
 _TOKENS: dict[str, WordTokens] = {}
