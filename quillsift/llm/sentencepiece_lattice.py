@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -390,7 +391,7 @@ def decode(df: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
     """``df`` with a column ``text`` decoded from its ids; null ids give a null text."""
     model = Model.load(model_path)
 
-    def texts(column):
+    def texts(column: pd.Series) -> pd.Series:
         return column.map(lambda x: None if x is None else decode_ids(list(x), model))
 
-    return df.withColumn("text", F.pandas_udf(texts, "string", F.PandasUDFType.SCALAR)(ids))
+    return df.withColumn("text", F.pandas_udf(texts, "string")(ids))
