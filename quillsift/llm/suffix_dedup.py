@@ -5,14 +5,14 @@ of the short-gram hashes inside it. So texts are cut into segments, one per anch
 SPAN-byte windows of the anchor; only anchors that occur twice can hold repeats, and equal segments
 are all repeats. Different segments of an anchor meet in a shard, which sorts their suffixes by
 Larsson-Sadakane refinement and measures neighbours' common prefixes by Kasai's method. The segments
-of a very frequent anchor are spread over many shards; those shards' windows are merged as sorted
-runs by binary search.
+of a very frequent anchor are spread over many shards, which are merged by a binary search over the
+places of its windows.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,7 +27,6 @@ GRAM = 32
 #: Bytes of segments per shard, and segments of one anchor from which it gets shards of its own.
 SHARD_BYTES = 2_000_000
 ANCHOR_SEGMENTS = 2_048
-MERGE_ROWS = 400_000
 #: Texts are hashed in stretches of so many windows, which keeps the arrays small.
 STRETCH = 1 << 19
 PLACE_BITS = 20
@@ -80,12 +79,12 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def anchors(data: bytes, span: int = SPAN) -> list[tuple[int, int, int]]:
-    """(hash, first window, last window) for each anchor of a text of at least ``span`` bytes.
+def anchors(data: bytes, span: int = SPAN) -> list[tuple[int, int, int, int]]:
+    """(hash, first window, last window, place) for each anchor of a text of ``span`` bytes or more.
 
     The anchor of a window is the last of its least gram hashes, which depends on its bytes alone.
     """
-    found: list[tuple[int, int, int]] = []
+    found: list[tuple[int, int, int, int]] = []
     last, width = len(data) - span, span - GRAM + 1
     for first in range(0, last + 1, STRETCH):
         windows = min(STRETCH, last + 1 - first)
@@ -96,32 +95,32 @@ def anchors(data: bytes, span: int = SPAN) -> list[tuple[int, int, int]]:
         starts = np.r_[0, np.flatnonzero(np.diff(at)) + 1]
         ends = np.r_[starts[1:], windows] - 1
         values = hashes[at[starts]].view(np.int64)
-        found += zip(
-            values.tolist(), (starts + first).tolist(), (ends + first).tolist(), strict=True
-        )
+        columns = (values, starts + first, ends + first, at[starts] + first)
+        found += zip(*(c.tolist() for c in columns), strict=True)
     return found
 
 
 def _segment_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["text_key", "anchor", "segment", "first", "last"]
-    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
+    names = ["text_key", "anchor", "segment", "first", "last", "place"]
+    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             columns: list[list] = [[] for _ in names]
             part = batch.slice(at, 256)
             for key, text in zip(part.column(0), part.column(1), strict=True):
                 data, key = text.as_py(), key.as_py()
-                for value, first, last in anchors(data):
+                for value, first, last, place in anchors(data):
                     digest = hashlib.blake2b(data[first : last + SPAN], digest_size=16).digest()
-                    for column, x in zip(columns, (key, value, digest, first, last), strict=True):
+                    row = (key, value, digest, first, last, place)
+                    for column, x in zip(columns, row, strict=True):
                         column.append(x)
             yield pa.record_batch(
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
             )
 
 
-def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of a text in the order of their first ``depth`` bytes or more.
+def suffix_array(words: np.ndarray) -> np.ndarray:
+    """All suffixes of a text in order.
 
     Larsson-Sadakane: suffixes sorted by h bytes are sorted by 2 h bytes through the ranks of the
     suffixes h places on; groups of one are settled and not touched again.
@@ -134,7 +133,7 @@ def suffix_array(words: np.ndarray, depth: int) -> np.ndarray:
     rank[order] = ranks
     slots = _unsettled(ranks, np.arange(n, dtype=np.int64))
     h = 8
-    while h < depth and len(slots):
+    while len(slots):
         members = order[slots]
         ahead = members + h
         next_rank = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
@@ -210,22 +209,16 @@ class SegmentShard:
         self.starts = np.cumsum(sizes + 1) - sizes - 1
         self.text = SEPARATOR.join(segments) + SEPARATOR
         words = words_at(self.text)
-        order = suffix_array(words, span)
+        order = suffix_array(words)
         before, length = common_prefixes(words, order, self.starts, self.counts, span)
         twice = np.flatnonzero(length >= span)
         self.repeated = np.zeros(len(words), dtype=bool)
         self.repeated[twice] = True
         self.repeated[before[twice]] = True
-        #: Windows that stand for their like in the merge: all but those with an equal one before.
-        self.standing = np.ones(len(words), dtype=bool)
-        self.standing[twice] = False
 
     def windows(self, k: int) -> slice:
         return slice(int(self.starts[k]), int(self.starts[k] + self.counts[k]))
 
-    def window_digest(self, place: int) -> bytes:
-        return hashlib.blake2b(self.text[place : place + self.span], digest_size=16).digest()
-
 
 def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
     """First and last index of each run of true flags."""
@@ -233,54 +226,28 @@ def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
     return [(int(a), int(b) - 1) for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
-FOUND = "anchor LONG, segment BINARY, first INT, last INT, window BINARY, twice BOOLEAN"
-_FOUND = pa.schema(
-    [
-        ("anchor", pa.int64()),
-        ("segment", pa.binary()),
-        ("first", pa.int32()),
-        ("last", pa.int32()),
-        ("window", pa.binary()),
-        ("twice", pa.bool_()),
-    ]
-)
+FOUND = "anchor LONG, segment BINARY, a INT, b INT"
 
 
-def _search_shard(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """Repeated runs of windows of each segment; for anchors with several shards also one digest
-    of each window, to be merged."""
+def _search_shard(rows: pa.Table) -> pa.Table:
+    """Repeated runs of windows of each segment of a shard."""
+    # A segment may have come by several ways; it must not meet itself.
+    rows = rows.group_by(["anchor", "segment"]).aggregate([("body", "min")])
     rows = rows.sort_by([("anchor", "ascending"), ("segment", "ascending")])
-    shard = SegmentShard(rows["body"].to_pylist())
-    spread = key[0].as_py() is not None
-    out = []
-    for k, (anchor, segment) in enumerate(
-        zip(rows["anchor"].to_pylist(), rows["segment"].to_pylist(), strict=True)
-    ):
-        own = shard.windows(k)
-        twice = shard.repeated[own]
-        out += [(anchor, segment, a, b, None, True) for a, b in runs_of(twice)]
-        if spread:
-            for i in np.flatnonzero(shard.standing[own]).tolist():
-                digest = shard.window_digest(own.start + i)
-                out.append((anchor, segment, i, i, digest, bool(twice[i])))
-    return _table(out)
-
-
-def _table(rows: list[tuple]) -> pa.Table:
-    columns = list(zip(*rows, strict=True)) or [()] * len(_FOUND)
+    shard = SegmentShard(rows["body_min"].to_pylist())
+    columns: list[list] = [[], [], [], []]
+    keys = zip(rows["anchor"].to_pylist(), rows["segment"].to_pylist(), strict=True)
+    for k, (anchor, segment) in enumerate(keys):
+        for run in runs_of(shard.repeated[shard.windows(k)]):
+            for column, x in zip(columns, (anchor, segment, *run), strict=True):
+                column.append(x)
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
     return pa.table(
-        [pa.array(c, f.type) for c, f in zip(columns, _FOUND, strict=True)], schema=_FOUND
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+        names=["anchor", "segment", "a", "b"],
     )
 
 
-def _merge_runs(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """Windows of one range of digests: the sorted run of all shards is searched for each."""
-    digests = np.array(rows["window"].to_pylist(), dtype="S16")
-    run = np.sort(digests)
-    often = np.searchsorted(run, digests, "right") - np.searchsorted(run, digests, "left") > 1
-    return rows.filter(pa.array(often))
-
-
 def _text_key() -> Column:
     return F.unhex(F.md5("body"))
 
@@ -295,7 +262,7 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
         spark,
         bodies.mapInArrow(
             _segment_rows,
-            "text_key BINARY, anchor LONG, segment BINARY, first INT, last INT",
+            "text_key BINARY, anchor LONG, segment BINARY, first INT, last INT, place INT",
         ),
         "segments",
     )
@@ -304,15 +271,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     kinds = rows.groupBy("anchor", "segment").agg(
         F.count(F.lit(1)).alias("copies"),
-        F.min(F.struct("text_key", "first", "last")).alias("at"),
+        F.min(F.struct("text_key", "first", "last", "place")).alias("at"),
     )
     kinds = staged(spark, kinds, "segment-kinds")
     mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    searched = kinds.join(mixed, "anchor").select(
-        "anchor", "segment", "kinds", "at.text_key", "at.first", "at.last"
-    )
-    size = searched.agg(F.sum(F.col("last") - F.col("first") + SPAN + 1)).first()[0] or 0
-    found = _searched(spark, searched, bodies, int(size))
+    searched = kinds.join(mixed, "anchor").select("anchor", "segment", "kinds", "at.*")
+    found = _searched(spark, searched, bodies)
 
     whole = kinds.where("copies > 1").select(
         "anchor",
@@ -337,42 +301,110 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
 
 
-def _searched(
-    spark: SparkSession, searched: DataFrame, bodies: DataFrame, size: int
-) -> DataFrame:
+def _searched(spark: SparkSession, searched: DataFrame, bodies: DataFrame) -> DataFrame:
     """Repeated runs of windows of segments whose anchor has several different segments."""
-    shards = max(1, -(-size // SHARD_BYTES))
-    cut = F.substring(
-        F.col("body"), F.col("first") + 1, F.col("last") - F.col("first") + SPAN
-    )
-    own_shards = F.col("kinds") > ANCHOR_SEGMENTS
-    parts = F.ceil(F.col("kinds") / ANCHOR_SEGMENTS)
+    width = F.col("last") - F.col("first")
     cuts = searched.join(bodies, "text_key").select(
         "anchor",
         "segment",
-        cut.alias("body"),
-        F.when(own_shards, F.col("anchor")).alias("alone"),
-        F.when(own_shards, F.pmod(F.xxhash64("segment"), parts))
-        .otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-        .alias("shard"),
+        "kinds",
+        F.substring(F.col("body"), F.col("first") + 1, width + SPAN).alias("body"),
+        (F.col("place") - F.col("first")).alias("at"),
+        width.alias("width"),
     )
-    found = (
-        cuts.dropDuplicates(["anchor", "segment"])
-        .groupBy("alone", "shard")
-        .applyInArrow(_search_shard, FOUND)
+    # A text that came several times gives each of its segments several times.
+    cuts = staged(spark, cuts.dropDuplicates(["anchor", "segment"]), "segment-texts")
+    sizes = cuts.groupBy((F.col("kinds") > ANCHOR_SEGMENTS).alias("hot")).agg(
+        F.sum("width").alias("width"), F.count(F.lit(1)).alias("n")
     )
-    found = staged(spark, found, "suffix-runs")
-    merged = found.where(F.col("window").isNotNull())
-    ranges = max(1, -(-merged.count() // MERGE_ROWS))
-    again = (
-        merged.groupBy(F.pmod(F.xxhash64("window"), F.lit(ranges)).alias("range"))
-        .applyInArrow(_merge_runs, FOUND)
-        .select("anchor", "segment", F.col("first").alias("a"), F.col("last").alias("b"))
+    size = {r.hot: r.width + r.n * (SPAN + 1) for r in sizes.collect()}
+    cold = cuts.where(F.col("kinds") <= ANCHOR_SEGMENTS).select(
+        "anchor", "segment", "body", _shard(F.xxhash64("anchor"), size.get(False, 0)).alias("shard")
     )
-    runs = found.where(F.col("window").isNull()).select(
-        "anchor", "segment", F.col("first").alias("a"), F.col("last").alias("b")
+    if True not in size:
+        return cold.groupBy("shard").applyInArrow(_search_shard, FOUND)
+    hot = cuts.where(F.col("kinds") > ANCHOR_SEGMENTS)
+    groups, known = _bisected(spark, hot)
+    dealt = groups.join(hot.select("anchor", "segment", "body"), ["anchor", "segment"]).select(
+        "anchor",
+        "segment",
+        "body",
+        (-1 - _shard(F.xxhash64("core"), 2 * size[True])).alias("shard"),
     )
-    return runs.unionByName(again)
+    found = cold.unionByName(dealt).groupBy("shard").applyInArrow(_search_shard, FOUND)
+    return found.unionByName(known)
+
+
+def _shard(value: Column, size: int) -> Column:
+    return F.pmod(value, F.lit(max(1, -(-int(size) // SHARD_BYTES))))
+
+
+def _bisected(spark: SparkSession, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups of segments of very frequent anchors that may share windows, and runs known to.
+
+    Shards of such an anchor are merged by binary search over the places of its windows. Segments
+    that share a window of a range of places share the bytes common to all windows of the range
+    (its core). Ranges start whole; a group that shares a core and is still too large is halved.
+    Before that, segments that agree in all windows of the range are repeats as a whole, and one of
+    them stands for all. So each step costs a row or two per segment, not one per window.
+    """
+    state = hot.select("anchor", "segment", F.lit(0).alias("lo"), F.lit(SPAN - GRAM).alias("hi"))
+    groups, known = [], []
+    low = F.greatest("lo", F.col("at") - F.col("width"))
+    high = F.least("hi", "at")
+    for _ in range((SPAN - GRAM).bit_length() + 1):
+        rows = state.join(hot.drop("kinds"), ["anchor", "segment"])
+        rows = rows.withColumns({"from": low, "to": high}).where(F.col("from") <= F.col("to"))
+        rows = rows.select(
+            "anchor",
+            "segment",
+            "lo",
+            "hi",
+            (F.col("at") - F.col("to")).alias("a"),
+            (F.col("at") - F.col("from")).alias("b"),
+            _piece("lo", "hi", F.col("at") - F.col("lo"), F.col("at") - F.col("hi")).alias("core"),
+            _piece(
+                "from", "to", F.col("at") - F.col("to"), F.col("at") - F.col("from")
+            ).alias("hull"),
+        )
+        rows = staged(spark, rows, "bisected")
+        own = ["anchor", "lo", "hi", "core"]
+        sizes = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        sized = rows.join(sizes, own)
+        groups.append(sized.where(F.col("n") <= ANCHOR_SEGMENTS).select(*own[:1], "segment", "core"))
+        large = sized.where(F.col("n") > ANCHOR_SEGMENTS)
+        alike = large.groupBy(*own, "hull").agg(
+            F.count(F.lit(1)).alias("same"), F.min("segment").alias("one")
+        )
+        large = staged(spark, large.join(alike, [*own, "hull"]), "bisected-large")
+        if not large.head(1):
+            break
+        known.append(large.where("same > 1").select("anchor", "segment", "a", "b"))
+        middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+        halves = F.array(
+            F.struct(F.col("lo").alias("lo"), middle.alias("hi")),
+            F.struct((middle + 1).alias("lo"), F.col("hi").alias("hi")),
+        )
+        state = (
+            large.where((F.col("segment") == F.col("one")) & (F.col("lo") < F.col("hi")))
+            .select("anchor", "segment", F.explode(halves).alias("half"))
+            .select("anchor", "segment", "half.*")
+        )
+    empty = hot.select("anchor", "segment", F.col("at").alias("a"), F.col("at").alias("b")).limit(0)
+    return _union(groups), _union([empty, *known])
+
+
+def _piece(low: str, high: str, start: Column, end: Column) -> Column:
+    """A digest of ``body`` from window ``start`` to the end of window ``end``."""
+    body = F.substring(F.col("body"), start + 1, end - start + SPAN)
+    return F.unhex(F.md5(F.concat(F.encode(F.concat_ws("|", low, high, F.lit("")), "UTF-8"), body)))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    result = frames[0]
+    for frame in frames[1:]:
+        result = result.unionByName(frame)
+    return result
 
 
 def _cut(data: bytes, spans) -> tuple[list[bytes], int, int]:
