@@ -24,8 +24,20 @@ def positive(*columns: str) -> dict[str, Column]:
     return {f"{c} is not positive": F.col(c) > 0 for c in columns}
 
 
+def whole(*columns: str) -> dict[str, Column]:
+    """A missing value breaks another rule than this one."""
+    return {
+        f"{c} is not whole": F.col(c).isNull() | (F.col(c) == F.floor(c)) for c in columns
+    }
+
+
 def sales_rules() -> dict[str, Column]:
-    return {**required("customer"), **positive("quantity", "unit_price")}
+    """A sale needs an id, which keys the stored tables, a customer, and a whole quantity."""
+    return {
+        **required("order_id", "customer"),
+        **positive("quantity", "unit_price"),
+        **whole("quantity"),
+    }
 
 
 def quantity_price_rules() -> dict[str, Column]:
@@ -34,7 +46,7 @@ def quantity_price_rules() -> dict[str, Column]:
 
 def ecommerce_rules() -> dict[str, Column]:
     return {
-        **required("customer_email", "shipping_country"),
+        **required("order_id", "customer_email", "shipping_country"),
         **positive("unit_price", "amount_clean", "quantity_clean"),
     }
 
@@ -59,10 +71,8 @@ def failures(rules: Rules) -> Column:
 
 
 def flag_valid(df: DataFrame, rules: Rules) -> DataFrame:
-    """Add ``is_valid`` and the list of failed rules, which is put together for rejects only."""
-    none = F.array().cast("array<string>")
-    failed = F.when(all_hold(rules), none).otherwise(failures(rules))
-    return df.withColumns({FAILED: failed, OK: all_hold(rules)})
+    """Add the list of failed rules, put together once, and ``is_valid``, true where it is empty."""
+    return df.withColumn(FAILED, failures(rules)).withColumn(OK, F.size(FAILED) == 0)
 
 
 def reject_reason(df: DataFrame, reason: str) -> DataFrame:
@@ -77,10 +87,22 @@ def validate(df: DataFrame, rules: Rules, reason: str) -> tuple[DataFrame, DataF
     ``plans.staging``).
     """
     valid = filter_and(df, *rules.values())
-    rejected = df.where(~all_hold(rules)).withColumn(FAILED, failures(rules))
+    rejected = df.withColumn(FAILED, failures(rules)).where(F.size(FAILED) > 0)
     return valid, reject_reason(rejected, reason).select(*df.columns, REASON, FAILED)
 
 
+def status_counts(flagged: DataFrame) -> DataFrame:
+    """Source, valid and rejected rows of a flagged table, counted in one pass."""
+    source = F.count(F.lit(1))
+    valid, rejected = F.count_if(F.col(OK)), F.count_if(F.size(FAILED) > 0)
+    return flagged.agg(
+        source.alias("source_rows"),
+        valid.alias("valid_rows"),
+        rejected.alias("rejected_rows"),
+        (source == valid + rejected).alias("balanced"),
+    )
+
+
 def validate_columns(
     df: DataFrame, required_cols: Sequence[str], numeric_cols: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:

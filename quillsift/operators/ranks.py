@@ -3,8 +3,8 @@
 ``percentile`` and ``median`` keep every distinct value of a group in one task's buffer, and a
 window sorts the group there. Here values are cut into slices by a monotone rule, and slices of
 wide types into finer ones. A running total over the slices of one parent gives each slice its
-starting rank, so that ranks inside a slice need only that slice. For whole numbers, decimals and
-dates no window sees more than a few million rows, whatever the row count.
+starting rank, so that ranks inside a slice need only that slice. Whatever the type and the row
+count, no window sees more than a few million rows.
 
 With many groups, equal values are counted first, map-side included, so that copies cost nothing.
 With few groups, percentiles count slices straight from the rows, which shuffles next to nothing,
@@ -34,16 +34,46 @@ def _decimal_slice(value: Column, step: int) -> Column:
     return F.floor(scaled).cast("decimal(38,0)")
 
 
+def _double_slices(value: Column) -> list[Column]:
+    """By exponent, then by 21 bits of the mantissa, then by 21 more; ten bits are left.
+
+    A power of two scales exactly, so no level decreases as the value grows, even where the
+    logarithm is rounded across a power of two. Sizes below 2 ** -1000 share one exponent.
+    """
+    size = F.abs(value)
+    sign = F.when(value < 0, -1).when(value > 0, 1).otherwise(0)
+    endless = size == float("inf")
+    exponent = F.when(
+        (size > 0) & ~endless, F.greatest(F.floor(F.log2(size)), F.lit(-1000))
+    ).otherwise(F.lit(0))
+    half = F.floor(exponent / 2)
+    scaled = size * F.pow(F.lit(2.0), -half) * F.pow(F.lit(2.0), half - exponent)
+    fraction = F.when(endless | (size == 0), F.lit(0.0)).otherwise(scaled)
+    step = float(1 << 21)
+    upper = F.floor(fraction * step)
+    lower = F.floor((fraction * step - upper) * step)
+    return [
+        (sign * F.when(endless, 3000).otherwise(exponent + 1500)).cast("bigint"),
+        (sign * upper).cast("bigint"),
+        (sign * lower).cast("bigint"),
+    ]
+
+
 def slice_levels(value: Column, dtype: T.DataType) -> list[Column]:
     """Slice numbers of a value from coarse to fine; none decreases as the value grows."""
     if isinstance(dtype, T.DecimalType):
         left = range(dtype.precision - _DIGITS, 0, -_DIGITS) or [0]
         return [_decimal_slice(value, digits - dtype.scale) for digits in left]
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        # Slices of about 0.02% relative width.
-        return [F.floor(F.signum(value) * F.log2(F.abs(value) + 1) * 4096).cast("bigint")]
+        return _double_slices(value.cast("double"))
     if isinstance(dtype, T.DateType):
         return [F.floor(F.unix_date(value) / 1024).cast("bigint")]
+    if isinstance(dtype, T.TimestampNTZType):
+        # Built from the parts, which no time zone changes.
+        day = F.unix_date(value.cast("date")).cast("bigint")
+        clock = F.hour(value) * 3600 + F.minute(value) * 60
+        micros = (F.date_part(F.lit("SECOND"), value) * 1_000_000).cast("bigint")
+        return slice_levels((day * 86_400 + clock) * 1_000_000 + micros, T.LongType())
     if isinstance(dtype, T.TimestampType):
         return slice_levels(F.unix_micros(value), T.LongType())
     if isinstance(dtype, T.LongType):
@@ -53,6 +83,14 @@ def slice_levels(value: Column, dtype: T.DataType) -> list[Column]:
     raise TypeError(f"no ranks for values of type {dtype.simpleString()}")
 
 
+def _comparable(df: DataFrame, column: str) -> Column:
+    """The values to rank: NaN counts as missing, and minus zero as zero."""
+    c = F.col(column)
+    if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(c), F.when(c == 0, F.abs(c)).otherwise(c))
+    return c
+
+
 def _sliced(
     df: DataFrame, keys: Sequence[str], column: str, count_first: bool
 ) -> tuple[DataFrame, list[str]]:
@@ -62,7 +100,7 @@ def _sliced(
     group of missing values is not lost; having no copies, it moves no rank.
     """
     keyed = df.na.drop(subset=list(keys)) if keys else df
-    rows = keyed.select(*keys, F.col(column).alias(_VALUE))
+    rows = keyed.select(*keys, _comparable(df, column).alias(_VALUE))
     if count_first:
         rows = rows.groupBy(*keys, _VALUE).agg(F.count(_VALUE).alias(_COUNT))
     else:

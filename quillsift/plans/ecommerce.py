@@ -22,7 +22,12 @@ from quillsift.operators.quality import (
 )
 from quillsift.plans.staging import STATUS, run_summary, stage, validity_status, with_status
 from quillsift.schemas import ECOMMERCE_CLEAN
-from quillsift.sources.snapshots import append_new, append_rows, read_stored
+from quillsift.sources.snapshots import (
+    append_distinct,
+    append_rows,
+    distinct_schema,
+    read_stored,
+)
 
 # The text columns that are normalised after validation.
 NORMALISED = (
@@ -60,9 +65,12 @@ def batch_order(df: DataFrame) -> list[Column]:
 def new_orders(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """Rows of unknown order ids, one per id, with typed columns and validity."""
     # Copies go first: a resent order with very many copies then joins as one row.
-    unique = dedup_keep_first(batch, ["order_id"], batch_order(batch))
+    has_id = F.col("order_id").isNotNull()
+    unique = dedup_keep_first(batch.where(has_id), ["order_id"], batch_order(batch))
     fresh = anti_join_new(unique, stored, ["order_id"], keys_from=batch)
-    return flag_valid(clean_numbers(fresh), ecommerce_rules())
+    # Rows without an id are no copies of each other: each of them is judged, and rejected.
+    rows = fresh.select(*batch.columns).unionByName(batch.where(~has_id))
+    return flag_valid(clean_numbers(rows), ecommerce_rules())
 
 
 def batch_counts(batch: DataFrame, stored: DataFrame) -> Row:
@@ -86,7 +94,7 @@ class Ecommerce(NamedTuple):
 def ecommerce(spark: SparkSession, batch: DataFrame, store: str, stage_folder: str) -> Ecommerce:
     """Load one batch: skip known ids, drop copies, clean, validate, append, report.
 
-    Rejected rows are keyed too, so that a rerun does not store them again.
+    Rejected rows are kept by their content, so that a rerun does not store them again.
     """
     clean_path, rejected_path = f"{store}/ecommerce_clean", f"{store}/ecommerce_rejected"
     known = read_stored(spark, clean_path, ECOMMERCE_CLEAN)
@@ -100,12 +108,12 @@ def ecommerce(spark: SparkSession, batch: DataFrame, store: str, stage_folder: s
     counts = batch_counts(batch, known)
     # The stage holds new ids only, each once.
     loaded = append_rows(spark, clean_path, clean)
-    append_new(spark, rejected_path, rejected, ["order_id"])
+    append_distinct(spark, rejected_path, rejected)
     stored = read_stored(spark, clean_path, ECOMMERCE_CLEAN)
     summary = run_summary(staged, loaded).withColumn("rows_extracted", F.lit(counts.extracted))
     return Ecommerce(
         stored,
-        read_stored(spark, rejected_path, rejected.schema),
+        read_stored(spark, rejected_path, distinct_schema(rejected.schema)),
         report_category_clean(stored),
         summary,
         counts.skipped,

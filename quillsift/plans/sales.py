@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsift.functions import clean_text, parse_date
+from quillsift.functions import clean_text, parse_date, to_int, to_number
+from quillsift.functions.numbers import to_money
+from quillsift.functions.text import strip_text
 from quillsift.operators.aggregates import (
     report_by_category,
     report_by_product,
@@ -25,18 +27,35 @@ from quillsift.operators.quality import (
     sales_rules,
 )
 from quillsift.plans.staging import STATUS, run_summary, stage, validity_status, with_status
-from quillsift.schemas import SALES_REPORT_CLEAN, SALES_REPORT_RAW
-from quillsift.sources.snapshots import append_new, read_stored
-
+from quillsift.schemas import SALES_REPORT_CLEAN
+from quillsift.sources.snapshots import append_distinct, append_new, distinct_schema, read_stored
 
 # The text columns of the sales feeds.
 TEXTS = ("customer", "region", "product", "product_category", "product_name")
+RAW = "raw"
+
+
+def _to_price(c: Column) -> Column:
+    return to_money(strip_text(c.cast("string")))
+
+
+
+
+# What the dirty columns of a feed are read as; text of the wrong shape is missing.
+TYPED = {"order_id": to_int, "quantity": to_number, "unit_price": _to_price}
 
 
 def flagged_sales(raw: DataFrame) -> DataFrame:
-    """Sales rows with their failed rules and their status."""
-    flagged = flag_valid(raw, sales_rules())
-    return flagged.withColumn(STATUS, validity_status()).drop(OK)
+    """Sales rows, typed, with their failed rules, their status, and the row as it came in ``raw``."""
+    typed = [TYPED[c](F.col(c)).alias(c) if c in TYPED else F.col(c) for c in raw.columns]
+    rows = raw.select(*typed, F.struct(*raw.columns).alias(RAW))
+    return flag_valid(rows, sales_rules()).withColumn(STATUS, validity_status()).drop(OK)
+
+
+def rejected_sales(staged: DataFrame) -> DataFrame:
+    """Rejected rows as they came, with the reason and the failed rules."""
+    rows = with_status(staged, "rejected").select(f"{RAW}.*", FAILED)
+    return reject_reason(rows, SALES_REASON)
 
 
 def transform_sales(valid: DataFrame) -> DataFrame:
@@ -47,7 +66,8 @@ def transform_sales(valid: DataFrame) -> DataFrame:
         {
             **{c: clean_text(F.col(c)) for c in texts},
             "order_date": parse_date(F.col("order_date")),
-            "quantity": F.round("quantity").try_cast("int"),
+            # Only whole quantities are valid, so nothing is rounded here.
+            "quantity": F.col("quantity").try_cast("int"),
             "total_price": (exact_quantity * F.col("unit_price")).cast("decimal(24,2)"),
         }
     )
@@ -62,9 +82,8 @@ class ProductReport(NamedTuple):
 def sales_by_product(raw: DataFrame, folder: str) -> ProductReport:
     """Validate, transform, and report revenue per product."""
     staged = stage(flagged_sales(raw), folder)
-    clean = transform_sales(with_status(staged, "valid").drop(FAILED))
-    rejected = reject_reason(with_status(staged, "rejected"), SALES_REASON)
-    return ProductReport(clean, rejected, report_by_product(clean))
+    clean = transform_sales(with_status(staged, "valid").drop(FAILED, RAW))
+    return ProductReport(clean, rejected_sales(staged), report_by_product(clean))
 
 
 class SalesReport(NamedTuple):
@@ -81,19 +100,20 @@ def sales_report(
 ) -> SalesReport:
     """Validate, transform, add new orders to the stored tables, and report on all stored orders.
 
-    Orders whose id is stored already are left alone, in both tables, so a rerun adds nothing.
+    Orders whose id is stored already are left alone. Rejects have no reliable id and are kept by
+    their whole content, each different one once with its number of copies. A rerun adds nothing
+    to either table.
     """
     staged = stage(flagged_sales(raw), stage_folder)
     clean = transform_sales(with_status(staged, "valid")).withColumn("loaded_at", run.stamp())
     clean = project_ordered(clean, SALES_REPORT_CLEAN.fieldNames())
-    rejected = reject_reason(with_status(staged, "rejected"), SALES_REASON)
+    rejected = rejected_sales(staged)
     loaded = append_new(spark, f"{store}/sales_clean", clean, ["order_id"], clean.columns[1:])
-    order = [c for c in SALES_REPORT_RAW.fieldNames() if c != "order_id"]
-    append_new(spark, f"{store}/sales_rejected", rejected, ["order_id"], order)
+    append_distinct(spark, f"{store}/sales_rejected", rejected)
     stored = read_stored(spark, f"{store}/sales_clean", clean.schema)
     return SalesReport(
         stored,
-        read_stored(spark, f"{store}/sales_rejected", rejected.schema),
+        read_stored(spark, f"{store}/sales_rejected", distinct_schema(rejected.schema)),
         report_by_category(stored),
         report_by_region(stored),
         top_k_spend(stored),

@@ -78,13 +78,13 @@ ORDER_AMOUNTS = schema(
 )
 
 SALES_REPORT_RAW = schema(
-    order_id=BIGINT,
+    order_id=TEXT,
     customer=TEXT,
     region=TEXT,
     product_category=TEXT,
     product_name=TEXT,
-    quantity=DOUBLE,
-    unit_price=MONEY,
+    quantity=TEXT,
+    unit_price=TEXT,
     order_date=TEXT,
 )
 
@@ -138,6 +138,7 @@ ECOMMERCE_CLEAN = schema(
 )
 
 LEDGER = schema(
+    file_key=TEXT,
     file_name=TEXT,
     status=TEXT,
     loaded_at=STAMP,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +34,31 @@ def rows_to_df(
     return spark.createDataFrame(records, schema)
 
 
-def _missing_to_null(df: DataFrame, na_values: Sequence[str]) -> DataFrame:
-    text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+def source_path() -> Column:
+    """The path of each row's file as the file source writes it, with special signs encoded."""
+    return F.col("_metadata.file_path")
+
+
+def source_name() -> Column:
+    """The base name of each row's file, decoded."""
+    # A plus sign is itself in a path, and not an encoded blank.
+    return file_basename(F.url_decode(F.replace(source_path(), F.lit("+"), F.lit("%2B"))))
+
+
+def literal_path(path: str) -> str:
+    """A path to be read as it is, although readers take paths for patterns."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def missing_to_null(
+    df: DataFrame, na_values: Sequence[str] = (), skip: Sequence[str | None] = ()
+) -> DataFrame:
+    """Blank text and the listed spellings as NULL, in all text columns but those skipped."""
+    text = [
+        f.name
+        for f in df.schema
+        if isinstance(f.dataType, T.StringType) and f.name not in skip
+    ]
     return df.withColumns({c: blank_to_null(F.col(c), na_values) for c in text})
 
 
@@ -58,7 +82,7 @@ def read_csv(
     df = reader.csv(path, sep=sep, header=header)
     if usecols:
         df = df.select(*usecols)
-    df = _missing_to_null(df, na_values)
+    df = missing_to_null(df, na_values)
     dates = {c: parse_date(F.col(c), p) for c, p in (parse_dates or {}).items()}
     return df.withColumns(dates) if dates else df
 
@@ -106,23 +130,29 @@ def read_many(
     schema: T.StructType,
     file_format: str = "csv",
     source_column: str | None = "source_file",
+    key_column: str | None = None,
 ) -> DataFrame:
-    """All files matching the pattern as one table, with the name of each row's file."""
+    """All files matching the pattern as one table, with the name of each row's file.
+
+    Blank text in CSV becomes NULL, as in ``read_csv``. ``key_column`` adds a hash of the file's
+    whole path, which tells files of one name apart.
+    """
     reader = spark.read.schema(schema).format(file_format)
     if file_format == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     df = reader.load(pattern)
-    if source_column:
-        df = df.select("*", F.col("_metadata.file_name").alias(source_column))
-    return df
+    made = {source_column: source_name(), key_column: F.md5(source_path())}
+    df = df.select("*", *[c.alias(name) for name, c in made.items() if name])
+    return missing_to_null(df, skip=list(made)) if file_format == "csv" else df
 
 
 def file_inventory(spark: SparkSession, pattern: str | list[str]) -> DataFrame:
     """Path, name, format and size of each file; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
     return files.select(
+        source_path().alias("file_key"),
         "path",
-        file_basename(F.col("path")).alias("file_name"),
+        source_name().alias("file_name"),
         F.regexp_extract("path", r"\.([^./]+)\z", 1).alias("format"),
         (F.col("length") / 1024).alias("size_kb"),
     )

@@ -19,6 +19,7 @@ from quillsift.sources.readers import empty_table
 
 _VERSION = "version="
 LOAD = "load"
+CONTENT, COPIES = "content_key", "copies"
 
 
 def _names(spark: SparkSession, pattern: str) -> list[str]:
@@ -46,15 +47,26 @@ def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataF
     return spark.read.schema(schema).parquet(folder)
 
 
-def write_snapshot(df: DataFrame, root: str) -> str:
-    """Write the next snapshot beside the older ones and return its folder."""
+def write_snapshot(df: DataFrame, root: str, keep: int | None = None) -> str:
+    """Write the next snapshot beside the older ones and return its folder.
+
+    ``keep`` is how many of the newest snapshots stay; readers of older ones must have ended.
+    """
     spark = df.sparkSession
     used = [_number(p) for p in _names(spark, f"{root}/{_VERSION}*")]
     folder = f"{root}/{_VERSION}{max(used, default=0) + 1:06d}"
     df.write.mode("errorifexists").parquet(folder)
+    if keep is not None:
+        for number in sorted(used)[: max(0, len(used) + 1 - max(1, keep))]:
+            _remove(spark, f"{root}/{_VERSION}{number:06d}")
     return folder
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(_names(spark, path))
 
@@ -77,6 +89,36 @@ def append_rows(spark: SparkSession, path: str, rows: DataFrame) -> int:
     return spark.read.schema(rows.schema).parquet(folder).count()
 
 
+def keyed(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``df``, whose job fails where a key column is missing: such rows belong to the rejects."""
+
+    def checked(name: str) -> Column:
+        missing = F.raise_error(F.lit(f"{name} is missing in a keyed load"))
+        return F.coalesce(F.col(name), missing.cast(df.schema[name].dataType))
+
+    return df.withColumns({name: checked(name) for name in key})
+
+
+def distinct_schema(schema: T.StructType) -> T.StructType:
+    """The stored form of rows kept by content, see ``append_distinct``."""
+    extra = [T.StructField(CONTENT, T.StringType()), T.StructField(COPIES, T.LongType())]
+    return T.StructType([*schema.fields, *extra])
+
+
+def append_distinct(spark: SparkSession, path: str, rows: DataFrame) -> int:
+    """Append the rows whose content the stored table lacks, each different one once.
+
+    Missing values equal each other. ``copies`` says how often the load held the row.
+    """
+    kept = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
+    counted = (
+        rows.withColumn(CONTENT, F.sha2(kept, 256))
+        .groupBy(*rows.columns, CONTENT)
+        .agg(F.count(F.lit(1)).alias(COPIES))
+    )
+    return append_new(spark, path, counted, [CONTENT])
+
+
 def append_new(
     spark: SparkSession,
     path: str,
@@ -86,10 +128,11 @@ def append_new(
 ) -> int:
     """Append the rows whose key the stored table lacks and return how many were added.
 
-    Of several incoming rows with one key the first in ``order`` is taken; leave the order out
-    where keys are unique already. Only new rows are written. A rerun after a crash finds the keys
+    A row without a key fails the load; set such rows aside before. Of several incoming rows with
+    one key the first in ``order`` is taken; leave the order out where keys are unique already. Only new rows are written. A rerun after a crash finds the keys
     already there and adds the rest, so the load can be repeated.
     """
+    incoming = keyed(incoming, key)
     unique = dedup_keep_first(incoming, key, order) if order else incoming
     stored = read_stored(spark, path, incoming.schema)
     return append_rows(spark, path, anti_join_new(unique, stored, key, incoming))
@@ -106,12 +149,12 @@ def stage_upsert(
     partition_name: str = "key_range",
 ) -> None:
     """Write the new content of the partitions a batch touches to a stage of its own."""
-    placed = incoming.withColumn(partition_name, partition)
-    # One value per touched partition, fewer than the partition list the driver holds anyway; as
-    # literals they prune the stored table to those folders.
-    touched = [r[0] for r in placed.select(partition_name).distinct().toLocalIterator()]
+    placed = keyed(incoming, key).withColumn(partition_name, partition)
+    # The semi join prunes the stored table to the touched folders while it runs; the list of
+    # their values is never held by the driver.
+    touched = placed.select(partition_name).distinct()
     stored = read_stored(spark, path, placed.schema)
-    current = stored.where(F.col(partition_name).isin(*touched))
+    current = stored.join(touched, partition_name, "left_semi").select(*placed.columns)
     merged = upsert_replace(current, placed, key, latest)
     merged.write.mode("errorifexists").partitionBy(partition_name).parquet(stage)
 

@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 
 from quillsift.operators.quality import FAILED, Rules, flag_valid
 from quillsift.plans.staging import STATUS, validity_status
+from quillsift.sources.readers import missing_to_null, source_name, source_path
 from quillsift.sources.snapshots import read_stored
+from quillsift.streaming.ledger import KEY, SOURCE
 
 BATCH = "batch_id"
 
@@ -28,7 +30,10 @@ def _file_stream(
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
-    return rows.select("*", F.col("_metadata.file_name").alias("source_file"))
+    named = rows.select(
+        "*", source_name().alias(SOURCE), F.md5(source_path()).alias(KEY)
+    )
+    return missing_to_null(named, skip=[SOURCE, KEY])
 
 
 def _run_available(stream: DataFrame, write, checkpoint: str) -> None:
@@ -58,11 +63,10 @@ def file_ledger_stream(
     checkpoint: str,
     files_per_batch: int = 1000,
 ) -> None:
-    """Load every file of the folder once; files own the partition named after them."""
+    """Load every file of the folder once; files own the partition named after their path's hash,
+    so that files of one name in several folders do not overwrite each other."""
     stream = _file_stream(spark, folder, schema, files_per_batch)
-    _run_available(
-        stream, lambda batch, _: _overwrite_partitions(batch, target, ["source_file"]), checkpoint
-    )
+    _run_available(stream, lambda batch, _: _overwrite_partitions(batch, target, [KEY]), checkpoint)
 
 
 def chunked_load(
@@ -79,7 +83,7 @@ def chunked_load(
     Valid and rejected rows are written in one pass, kept apart by ``row_status``. Rows of a batch
     stay in its own partition, so running it again replaces them.
     """
-    stream = _file_stream(spark, folder, schema, files_per_batch)
+    stream = _file_stream(spark, folder, schema, files_per_batch).drop(KEY)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         flagged = flag_valid(batch, rules).withColumn(STATUS, validity_status())

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import batched
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillsift.operators.audit import Run
 from quillsift.schemas import LEDGER
-from quillsift.sources.readers import file_inventory, read_many
+from quillsift.sources.readers import file_inventory, literal_path, read_many
 from quillsift.sources.snapshots import read_stored
 
-SOURCE = "source_file"
+SOURCE, KEY = "source_file", "file_key"
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
@@ -23,26 +24,20 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
 def read_loaded(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """Loaded rows with their file's name, which is always text whatever it looks like."""
     fields = [*schema.fields, T.StructField(SOURCE, T.StringType())]
-    return read_stored(spark, target, T.StructType(fields))
+    stored = T.StructType([*fields, T.StructField(KEY, T.StringType())])
+    return read_stored(spark, target, stored).select(*[f.name for f in fields])
 
 
 def pending_files(spark: SparkSession, pattern: str | list[str], ledger: str) -> DataFrame:
-    """Files found that the ledger does not list as loaded.
-
-    Base names are the ledger's key. Two files of one name in different folders would hide each
-    other, so that is an error.
-    """
-    found = file_inventory(spark, pattern)
-    clash = found.groupBy("file_name").count().where("count > 1").limit(1).collect()
-    if clash:
-        raise ValueError(f"several files are named {clash[0].file_name}")
+    """Files found that the ledger does not list as loaded, by their whole paths."""
+    found = file_inventory(spark, pattern).withColumn(KEY, F.md5(KEY))
     done = read_ledger(spark, ledger).where(F.col("status") == "success")
-    return found.join(done.select("file_name"), "file_name", "left_anti")
+    return found.join(done.select(KEY), KEY, "left_anti")
 
 
 def _load_files(
     spark: SparkSession,
-    paths: dict[str, str],
+    found: Sequence[Row],
     schema: T.StructType,
     target: str,
     ledger: str,
@@ -50,21 +45,25 @@ def _load_files(
 ) -> None:
     """Load some files, then enter them in the ledger.
 
-    Each file owns the partition named after it. Overwriting that partition first and writing the
-    ledger second makes a crash between the two harmless: the file is loaded again, not twice.
+    Each file owns the partition named after its path's hash. Overwriting that partition first and
+    writing the ledger second makes a crash between the two harmless: the file is loaded again, not
+    twice.
     """
-    rows = read_many(spark, list(paths.values()), schema, source_column=SOURCE)
+    paths = [literal_path(r.path) for r in found]
+    rows = read_many(spark, paths, schema, source_column=SOURCE, key_column=KEY)
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SOURCE)
+        .partitionBy(KEY)
         .parquet(target)
     )
-    names = spark.createDataFrame([(n,) for n in paths], "file_name STRING")
-    # The names as literals limit the count to the partitions just written.
-    stored = read_loaded(spark, target, schema).where(F.col(SOURCE).isin(*paths))
-    counts = stored.groupBy(F.col(SOURCE).alias("file_name")).agg(F.count("*").alias("n"))
-    entries = names.join(counts, "file_name", "left").select(
+    names = spark.createDataFrame([(r[KEY], r.file_name) for r in found], f"{KEY} STRING, file_name STRING")
+    # The keys as literals limit the count to the partitions just written.
+    key = T.StructType([T.StructField(KEY, T.StringType())])
+    stored = read_stored(spark, target, key).where(F.col(KEY).isin(*[r[KEY] for r in found]))
+    counts = stored.groupBy(KEY).agg(F.count("*").alias("n"))
+    entries = names.join(counts, KEY, "left").select(
+        KEY,
         "file_name",
         F.lit("success").alias("status"),
         run.stamp().alias("loaded_at"),
@@ -84,12 +83,13 @@ def file_ledger(
 ) -> DataFrame:
     """Load the files not loaded before and return their new ledger rows.
 
+    A file is known by its whole path, so files of one name in several folders are several files.
+
     Files are loaded a batch at a time, all rows of a batch in one job. A crash loses at most the
     batch at work, and no list of names grows with the number of files found.
     """
-    done = read_ledger(spark, ledger).select("file_name")
-    pending = pending_files(spark, pattern, ledger).select("file_name", "path")
+    done = read_ledger(spark, ledger).select(KEY)
+    pending = pending_files(spark, pattern, ledger).select(KEY, "file_name", "path")
     for batch in batched(pending.toLocalIterator(), files_per_batch):
-        paths = {r.file_name: r.path for r in batch}
-        _load_files(spark, paths, schema, target, ledger, run)
-    return read_ledger(spark, ledger).join(done, "file_name", "left_anti")
+        _load_files(spark, batch, schema, target, ledger, run)
+    return read_ledger(spark, ledger).join(done, KEY, "left_anti")

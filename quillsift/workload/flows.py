@@ -179,6 +179,90 @@ def _flow_sales_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A feed whose ids, quantities and prices are text: missing, malformed and repeated ids, fractions,
+# prices with a sign, and every 41st row sent twice.
+_DIRTY_SALES_SQL = """(
+    SELECT CASE WHEN order_id % 97 = 0 THEN NULL WHEN order_id % 89 = 0 THEN 'A' || order_id
+                WHEN order_id % 61 = 0 THEN CAST(order_id - 1 AS VARCHAR)
+                ELSE CAST(order_id AS VARCHAR) END AS order_id,
+           customer, region, product_category, product_name,
+           CASE WHEN order_id % 71 = 0 THEN '2.5' ELSE CAST(quantity AS VARCHAR) END AS quantity,
+           CASE WHEN order_id % 79 = 0 THEN '$5.00'
+                ELSE CAST(unit_price AS VARCHAR) END AS unit_price, order_date
+    FROM sales_raw JOIN (VALUES (0), (1)) AS v(copy) ON copy = 0 OR order_id % 41 = 0)"""
+
+_JUDGED_SALES_SQL = f"""(
+    SELECT *, concat_ws(', ',
+               CASE WHEN TRY_CAST(order_id AS BIGINT) IS NULL THEN 'order_id is missing' END,
+               CASE WHEN customer IS NULL THEN 'customer is missing' END,
+               CASE WHEN NOT COALESCE(TRY_CAST(quantity AS DOUBLE) > 0, FALSE)
+                    THEN 'quantity is not positive' END,
+               CASE WHEN NOT COALESCE(TRY_CAST(unit_price AS DECIMAL(12,2)) > 0, FALSE)
+                    THEN 'unit_price is not positive' END,
+               CASE WHEN quantity = '2.5' THEN 'quantity is not whole' END) AS failed
+    FROM {_DIRTY_SALES_SQL} AS dirty)"""
+
+
+def _dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("order_id")
+    text = key.cast("string")
+    twice = F.explode(F.sequence(F.lit(0), F.when(key % 41 == 0, 1).otherwise(0)))
+    rows = inputs.sales_raw(spark, sf_dir).withColumn("copy", twice).drop("copy")
+    return rows.withColumns(
+        {
+            "order_id": F.when(key % 97 == 0, None)
+            .when(key % 89 == 0, F.concat(F.lit("A"), text))
+            .when(key % 61 == 0, (key - 1).cast("string"))
+            .otherwise(text),
+            "quantity": F.when(key % 71 == 0, "2.5").otherwise(F.col("quantity").cast("string")),
+            "unit_price": F.when(key % 79 == 0, "$5.00").otherwise(
+                F.col("unit_price").cast("string")
+            ),
+        }
+    )
+
+
+@query(
+    "flow_sales_stored",
+    f"""SELECT 'clean' AS part, CAST(CAST(order_id AS BIGINT) AS VARCHAR) AS order_id, customer,
+               CAST(CAST(CAST(quantity AS DOUBLE) AS INTEGER) AS VARCHAR) AS quantity,
+               unit_price, NULL AS failed, 1 AS copies
+        FROM (SELECT *, row_number() OVER (
+                  PARTITION BY order_id
+                  ORDER BY customer, region, product_category, product_name, quantity) AS n
+              FROM (SELECT order_id, lower({strip_sql('customer')}) AS customer,
+                           lower({strip_sql('region')}) AS region,
+                           lower({strip_sql('product_category')}) AS product_category,
+                           lower({strip_sql('product_name')}) AS product_name, quantity, unit_price
+                    FROM {_JUDGED_SALES_SQL} AS judged WHERE failed = '') AS cleaned) AS numbered
+        WHERE n = 1
+        UNION ALL
+        SELECT 'rejected', order_id, customer, quantity, unit_price, failed, count(*)
+        FROM {_JUDGED_SALES_SQL} AS judged WHERE failed <> ''
+        GROUP BY order_id, customer, region, product_category, product_name, quantity, unit_price,
+                 order_date, failed""",
+    ["sales_raw"],
+)
+def _flow_sales_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything stored after the same dirty feed was loaded twice."""
+    folder = run_folder(spark, "sales_stored")
+    raw = _dirty_sales(spark, sf_dir)
+    for attempt in range(2):
+        run = (RUN, NEXT_RUN)[attempt]
+        result = sales.sales_report(spark, raw, f"{folder}/store", f"{folder}/s{attempt}", run)
+    text = [F.col(c).cast("string").alias(c) for c in ("order_id", "customer", "quantity", "unit_price")]
+    clean = result.clean.select(
+        F.lit("clean").alias("part"),
+        *text,
+        F.lit(None).cast("string").alias("failed"),
+        F.lit(1).cast("bigint").alias("copies"),
+    )
+    failed = F.array_join("failed_rules", ", ").alias("failed")
+    return clean.unionByName(
+        result.rejected.select(F.lit("rejected").alias("part"), *text, failed, "copies")
+    )
+
+
 @query(
     "run_summary",
     """SELECT 'success' AS status, count(*) AS rows_extracted,
@@ -275,7 +359,7 @@ def _flow_upsert_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches into a table kept in ranges of order ids."""
     folder = run_folder(spark, "upsert_partitions")
-    ranges = F.expr("order_id div 100000")
+    ranges = F.expr("order_id div 1000")
     for number, batch in enumerate([stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir)]):
         marked = batch.select("order_id", "amount", F.lit(number == 1).alias("replaced"))
         upsert_partitions(

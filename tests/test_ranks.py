@@ -8,7 +8,10 @@ from decimal import Decimal
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
+from quillsift.operators import ranks
 from quillsift.operators.aggregates import agg_median
 from quillsift.operators.profile import profile_describe
 from quillsift.operators.ranks import exact_median, exact_percentiles, fill_median
@@ -121,3 +124,46 @@ def test_wide_types(spark, dtype, spread):
             same = sum(v == value for v in values)
             assert got[i] == below + (same + 1) / 2
             assert want is None or got[i] == want[i]
+
+
+@pytest.mark.parametrize(
+    "value",
+    [
+        "id * 1e-9D",
+        "1.7e9D + id * 0.001D",
+        "-id * 1e-300D",
+        "(id - 50000) * 1e-4D",
+        "pow(2D, id % 2000 - 1000) * (1 + id / 1e6D)",
+    ],
+)
+def test_slices_of_doubles_are_bounded(spark, value):
+    """Narrow, large, tiny, signed and very wide ranges of doubles."""
+    df = spark.range(100_000).select(F.expr(value).alias("v"))
+    levels = ranks.slice_levels(F.col("v"), df.schema["v"].dataType)
+    most = df.groupBy(*levels).agg(F.count_distinct("v").alias("n")).agg(F.max("n")).head()[0]
+    assert most <= 2_048
+    # Rising values, rising slices.
+    pairs = df.select("v", F.struct(*levels).alias("s"))
+    apart = pairs.withColumn("before", F.lag("s").over(Window.orderBy("v")))
+    assert apart.where("before > s").count() == 0
+
+
+def test_ranks_pass_over_nan_and_take_endless_values(spark):
+    nan, inf = float("nan"), float("inf")
+    values = [-5.0, -4.0, 1.0, 2.0, 3.0, nan, None]
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    assert ranks.exact_median(df, "v").head()[0] == 1.0
+    df = spark.createDataFrame([(1, v) for v in [*values, inf, -inf, 0.0, -0.0]], "k INT, v DOUBLE")
+    got = [(r.v, r["rank"]) for r in ranks.window_rank_avg(df, ["k"], "v").collect()]
+    known = sorted((v, n) for v, n in got if v is not None and v == v)
+    assert [n for _, n in known] == [1, 2, 3, 4.5, 4.5, 6, 7, 8, 9]
+    assert all(n is None for v, n in got if v is None or v != v)
+
+
+def test_ranks_of_stamps_without_zone(spark):
+    df = spark.sql(
+        "SELECT 1 AS k, TIMESTAMP_NTZ'1969-12-31 23:59:59.5' + make_dt_interval(id % 7, id % 5) AS v"
+        " FROM range(50)"
+    )
+    got = ranks.window_rank_avg(df, ["k"], "v").toPandas()
+    assert got["rank"].tolist() == got["v"].rank().tolist()

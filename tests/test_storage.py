@@ -14,7 +14,7 @@ from quillsift.operators.ordering import union_ragged
 from quillsift.operators.projections import map_column, project_ordered
 from quillsift.operators.quality import quantity_price_rules
 from quillsift.schemas import DOUBLE, INT, SALES_RAW, TEXT, schema
-from quillsift.sources import readers, tables, writers
+from quillsift.sources import readers, snapshots, tables, writers
 from quillsift.streaming import file_stream, ledger
 
 RUN1 = Run("run-1", dt.datetime(2026, 1, 1, 8))
@@ -175,11 +175,54 @@ def test_crash_before_the_ledger_entry_loads_once(spark, folder):
     assert ledger.read_loaded(spark, table, SALES_RAW).count() == 10
 
 
-def test_ledger_refuses_equal_names(spark, folder):
-    put(spark, f"{folder}/in/x/a.csv", feed(1, 1))
-    put(spark, f"{folder}/in/y/a.csv", feed(2, 1))
-    with pytest.raises(ValueError, match="several files"):
-        ledger.file_ledger(spark, f"{folder}/in", SALES_RAW, f"{folder}/t", f"{folder}/l", RUN1)
+ODD_NAMES = ["x/a.csv", "y/a.csv", "jan 2024.csv", "x[1].csv", "50%.csv", "a+b.csv", "{q}.csv"]
+
+
+def test_ledger_takes_any_file_name(spark, folder):
+    """Names alike in two folders, and names with blanks and signs that mean something in paths."""
+    for i, name in enumerate(ODD_NAMES):
+        put(spark, f"{folder}/in/{name}", feed(10 * i, i + 1))
+    arguments = (SALES_RAW, f"{folder}/t", f"{folder}/l")
+    first = ledger.file_ledger(spark, f"{folder}/in", *arguments, RUN1).collect()
+    want = sorted((n.rsplit("/", 1)[-1], i + 1) for i, n in enumerate(ODD_NAMES))
+    assert sorted((r.file_name, r.rows_loaded) for r in first) == want
+    loaded = ledger.read_loaded(spark, f"{folder}/t", SALES_RAW)
+    assert loaded.count() == sum(range(len(ODD_NAMES) + 1))
+    assert {r.source_file for r in loaded.collect()} == {n for n, _ in want}
+    assert ledger.file_ledger(spark, f"{folder}/in", *arguments, RUN2).count() == 0
+
+
+def test_file_of_a_loaded_name_elsewhere_is_loaded(spark, folder):
+    arguments = (SALES_RAW, f"{folder}/t", f"{folder}/l")
+    for place in ("p", "q"):
+        put(spark, f"{folder}/{place}/x.csv", feed(1, 3))
+        assert ledger.file_ledger(spark, f"{folder}/{place}", *arguments, RUN1).count() == 1
+    assert ledger.read_loaded(spark, f"{folder}/t", SALES_RAW).count() == 6
+
+
+def test_stream_keeps_files_of_one_name(spark, folder):
+    for place in ("a", "b"):
+        put(spark, f"{folder}/in/{place}/x.csv", feed(1, 3))
+    arguments = (f"{folder}/in/*", SALES_RAW, f"{folder}/table", f"{folder}/checkpoint", 1)
+    file_stream.file_ledger_stream(spark, *arguments)
+    assert ledger.read_loaded(spark, f"{folder}/table", SALES_RAW).count() == 6
+
+
+def test_blank_text_is_missing_however_it_is_read(spark, folder):
+    put(spark, f"{folder}/in/a.csv", HEADER + "1,   ,lamp,1,2.50,2024-01-15\n")
+    assert readers.read_many(spark, f"{folder}/in", SALES_RAW).head().customer is None
+    file_stream.file_ledger_stream(
+        spark, f"{folder}/in", SALES_RAW, f"{folder}/table", f"{folder}/checkpoint"
+    )
+    assert ledger.read_loaded(spark, f"{folder}/table", SALES_RAW).head().customer is None
+
+
+def test_snapshots_can_be_retired(spark, folder):
+    for i in range(4):
+        snapshots.write_snapshot(spark.range(i + 1), f"{folder}/s", keep=2)
+    assert snapshots.read_snapshot(spark, f"{folder}/s", spark.range(1).schema).count() == 4
+    assert not snapshots.path_exists(spark, f"{folder}/s/version=000002")
+    assert snapshots.path_exists(spark, f"{folder}/s/version=000003")
 
 
 def test_stream_loads_each_file_once(spark, folder):
