@@ -505,6 +505,43 @@ def _flow_ecommerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Overlapping batches by the last two digits of the order id, the last of them sent twice.
+_BATCHES = [(0, 49), (40, 89), (80, 99), (80, 99)]
+
+
+def _batches_sql() -> str:
+    """Per batch: rows, rows of orders stored before, copies dropped, and orders stored."""
+    parts = []
+    for n, (low, high) in enumerate(_BATCHES):
+        seen = " OR ".join(f"order_id % 100 BETWEEN {a} AND {b}" for a, b in _BATCHES[:n])
+        parts.append(
+            f"""SELECT {n} AS batch, count(*) AS extracted, count(*) FILTER (WHERE known) AS skipped,
+                   count(*) FILTER (WHERE NOT known)
+                       - count(DISTINCT order_id) FILTER (WHERE NOT known) AS duplicates,
+                   count(DISTINCT order_id) FILTER (WHERE clean AND NOT known) AS loaded
+                FROM (SELECT order_id, clean, clean AND ({seen or "FALSE"}) AS known
+                      FROM (SELECT order_id, order_id IN (SELECT order_id FROM {_SHOP_CLEAN_SQL} AS c)
+                                AS clean FROM ecommerce_raw) AS marked
+                      WHERE order_id % 100 BETWEEN {low} AND {high}) AS batch_rows"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query("flow_ecommerce_batches", _batches_sql(), ["ecommerce_raw"])
+def _flow_ecommerce_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_folder(spark, "ecommerce_batches")
+    feed, counts = inputs.ecommerce_raw(spark, sf_dir), []
+    for n, (low, high) in enumerate(_BATCHES):
+        batch = feed.where((F.col("order_id") % 100).between(low, high))
+        result = shop.ecommerce(spark, batch, f"{folder}/store", f"{folder}/stage-{n}")
+        summary = result.summary.head()
+        counts.append(
+            (n, summary.rows_extracted, result.skipped, result.duplicates, summary.rows_loaded)
+        )
+    names = "batch BIGINT, extracted BIGINT, skipped BIGINT, duplicates BIGINT, loaded BIGINT"
+    return spark.createDataFrame(counts, names)
+
+
 @query(
     "report_category_clean",
     f"""SELECT product_category, count(*) AS orders,

@@ -203,54 +203,71 @@ _NEW_ONLY_SQL = f"""
     WHERE NOT EXISTS (SELECT 1 FROM {STORED_SQL} AS s WHERE s.order_id = i.order_id)"""
 
 
+def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overlapping batch with every tenth order sent again with a higher amount."""
+    again = F.explode(F.sequence(F.lit(0), F.when(F.col("order_id") % 10 == 0, 1).otherwise(0)))
+    amount = (F.col("amount") + 5 * F.col("copy")).cast("decimal(12,2)")
+    rows = incoming_orders(spark, sf_dir).withColumn("copy", again)
+    return rows.withColumn("amount", amount).drop("copy")
+
+
+# Of the repeated orders the first by amount is new; the last by amount wins an upsert.
 @query("load_new_only", _NEW_ONLY_SQL, ["orders_in"])
 def _load_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = loads.load_new_only(
-        stored_orders(spark, sf_dir), incoming_orders(spark, sf_dir), ["order_id"], _ORDER
+        stored_orders(spark, sf_dir), _repeated(spark, sf_dir), ["order_id"], _ORDER
     )
     return load.table.select("order_id", "amount")
 
 
 @query(
     "load_do_nothing",
-    """SELECT order_id, line, CAST(price AS DOUBLE) AS price FROM (
+    """SELECT order_id, line, CASE WHEN line = 1 THEN 0 ELSE CAST(price AS DOUBLE) END AS price
+       FROM (
            SELECT *, row_number() OVER (PARTITION BY order_id, line ORDER BY price, part_id) AS n
            FROM lines_in) AS numbered
        WHERE n = 1""",
     ["lines_in"],
 )
 def _load_do_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Into an empty table, from a batch that repeats its key."""
+    """From a batch that repeats its key, into a table that holds all first lines, unpriced."""
     batch = inputs.lines(spark, sf_dir).select("order_id", "line", "price", "part_id")
-    load = loads.load_do_nothing(
-        batch.limit(0), batch, ["order_id", "line"], ["price", "part_id"]
+    free = F.lit(0).cast(batch.schema["price"].dataType)
+    key, order = ["order_id", "line"], ["price", "part_id"]
+    first = loads.load_do_nothing(
+        batch.limit(0), batch.where("line = 1").withColumn("price", free), key, order
     )
+    load = loads.load_do_nothing(first.table, batch, key, order)
     return load.table.select("order_id", "line", "price")
 
 
 @query(
     "load_counts",
-    f"""SELECT count(*) AS incoming_rows,
+    f"""SELECT sum(copies) AS incoming_rows,
                count(*) FILTER (WHERE NOT known) AS added_rows,
-               count(*) FILTER (WHERE known) AS skipped_rows, 0 AS duplicate_rows
-        FROM (SELECT order_id IN (SELECT order_id FROM {STORED_SQL} AS s) AS known
+               COALESCE(sum(copies) FILTER (WHERE known), 0) AS skipped_rows,
+               COALESCE(sum(copies - 1) FILTER (WHERE NOT known), 0) AS duplicate_rows
+        FROM (SELECT order_id IN (SELECT order_id FROM {STORED_SQL} AS s) AS known,
+                     CASE WHEN order_id % 10 = 0 THEN 2 ELSE 1 END AS copies
               FROM {INCOMING_SQL} AS i) AS judged""",
     ["orders_in"],
 )
 def _load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming = incoming_orders(spark, sf_dir)
+    incoming = _repeated(spark, sf_dir)
     load = loads.load_new_only(stored_orders(spark, sf_dir), incoming, ["order_id"], _ORDER)
     return loads.load_counts(load, incoming)
 
 
 def _changed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The overlapping batch with amounts raised, so that replaced rows can be told."""
-    incoming = incoming_orders(spark, sf_dir)
+    """The repeated batch with amounts raised, so that replaced rows can be told."""
+    incoming = _repeated(spark, sf_dir)
     raised = (F.col("amount") + 1).cast("decimal(12,2)")
     return incoming.withColumns({"amount": raised, "status": F.lit("N")})
 
 
-_CHANGED_SQL = f"""(SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(12,2)) AS amount, 'N' AS status)
+_CHANGED_SQL = f"""(SELECT * REPLACE (
+                        CAST(amount + CASE WHEN order_id % 10 = 0 THEN 6 ELSE 1 END
+                             AS DECIMAL(12,2)) AS amount, 'N' AS status)
                     FROM {INCOMING_SQL} AS i)"""
 
 
@@ -264,7 +281,7 @@ _CHANGED_SQL = f"""(SELECT * REPLACE (CAST(amount + 1 AS DECIMAL(12,2)) AS amoun
 )
 def _upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     upserted = loads.upsert_replace(
-        stored_orders(spark, sf_dir), _changed(spark, sf_dir), ["order_id"], ["order_date"]
+        stored_orders(spark, sf_dir), _changed(spark, sf_dir), ["order_id"], ["amount"]
     )
     return upserted.select("order_id", "amount", "status")
 
@@ -283,7 +300,7 @@ def _upsert_update(spark: SparkSession, sf_dir: str) -> DataFrame:
         _changed(spark, sf_dir),
         ["order_id"],
         ["amount"],
-        ["order_date"],
+        ["amount"],
     )
     return upserted.select("order_id", "amount", "status")
 

@@ -160,18 +160,29 @@ def _read_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("file_inventory")
+@query(
+    "file_inventory",
+    """SELECT format, TRUE AS has_files, TRUE AS has_size, format = 'parquet' AS is_smallest
+       FROM (VALUES ('csv'), ('json'), ('parquet')) AS formats(format)""",
+)
 def _file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Size of the same table in three formats; sizes depend on the writer, so no oracle."""
+    """The same table in three formats. Sizes depend on the writer, their order does not."""
     path = run_folder(spark, "file_inventory")
     line = inputs.lines(spark, sf_dir)
     writers.write_csv(line, f"{path}/csv")
     writers.write_json(line, f"{path}/json")
     writers.write_parquet(line, f"{path}/parquet")
     files = readers.file_inventory(spark, [f"{path}/csv", f"{path}/json", f"{path}/parquet"])
-    return files.groupBy("format").agg(
+    sizes = files.groupBy("format").agg(
         F.count("*").alias("files"), F.sum("size_kb").alias("size_kb")
     )
+    least = sizes.agg(F.min("size_kb")).scalar()
+    return sizes.select(
+        "format",
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("size_kb") > 0).alias("has_size"),
+        (F.col("size_kb") == least).alias("is_smallest"),
+    )
 
 
 def _fresh_name(label: str) -> str:
@@ -237,6 +248,47 @@ def _ensure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return again.groupBy("status").agg(F.count("*").alias("row_count"))
 
 
+@query(
+    "catalog_columns",
+    """SELECT * FROM (VALUES ('order_id', 'bigint'), ('customer_id', 'bigint'),
+           ('status', 'string'), ('amount', 'decimal(12,2)'), ('order_date', 'date'),
+           ('priority', 'string')) AS c(column_name, column_type)""",
+)
+def _catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _fresh_name("columns")
+    writers.save_table(inputs.orders(spark, sf_dir), name, "fail", run_folder(spark, name))
+    found = tables.catalog_columns(spark, name).drop("nullable")
+    tables.drop_table(spark, name)
+    return found
+
+
+@query(
+    "catalog_tables",
+    """SELECT 'kept' AS label, count(*) AS row_count FROM orders_in WHERE status = 'F'
+       UNION ALL SELECT 'other', count(*) FROM orders_in WHERE status <> 'F'""",
+    ["orders_in"],
+)
+def _catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables are stored and one is dropped: the catalog lists the other two."""
+    prefix, orders = _fresh_name("listed"), inputs.orders(spark, sf_dir)
+    rules = {"kept": "status = 'F'", "other": "status <> 'F'", "dropped": "TRUE"}
+    for label, rule in rules.items():
+        name = f"{prefix}_{label}"
+        writers.save_table(orders.where(rule), name, "fail", run_folder(spark, name))
+    tables.drop_table(spark, f"{prefix}_dropped")
+    found = tables.catalog_tables(spark).where(F.col("tableName").startswith(prefix)).collect()
+    parts = [
+        spark.table(r.tableName).agg(
+            F.lit(r.tableName.rsplit("_", 1)[1]).alias("label"), F.count("*").alias("row_count")
+        )
+        for r in found
+    ]
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 @query("read_table", _ORDERS_SQL, ["orders_in"])
 def _read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _fresh_name("stored")
