@@ -87,35 +87,83 @@ def words_of(text: Column, model: Model) -> Column:
     return F.regexp_extract_all(marked(text), F.lit(f"({model.word_pattern})"), F.lit(0))
 
 
+def _parts(words: DataFrame, model: Model, pieces: DataFrame) -> DataFrame:
+    """Substrings of each word up to the longest piece that are pieces or single characters.
+
+    The piece table is sent to all executors; its size is that of the model file.
+    """
+    size = F.length("word")
+    rows = words.select("word", "n", F.explode(F.sequence(F.lit(0), size - 1)).alias("start"))
+    longest = F.least(F.lit(model.longest), size - F.col("start"))
+    rows = rows.select("*", F.explode(F.sequence(F.lit(1), longest)).alias("length"))
+    rows = rows.withColumn("part", F.substring("word", F.col("start") + 1, F.col("length")))
+    found = rows.join(F.broadcast(pieces.withColumnRenamed("piece", "part")), "part", "left")
+    return found.where(F.col("id").isNotNull() | (F.col("length") == 1))
+
+
 def lattice(words: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
     """word, n and edges of each distinct word: (score, start, end, id, part).
 
-    Every single character is an edge, with a null id where it is no piece. The piece table is
-    sent to all executors; its size is that of the model file.
+    Every single character is an edge, with a null id where it is no piece.
     """
-    size = F.length("word")
-    starts = F.sequence(F.lit(0), size - 1)
-    spans = F.flatten(
-        F.transform(
-            starts,
-            lambda s: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(model.longest), size - s)),
-                lambda n: F.struct(
-                    s.alias("start"),
-                    (s + n).alias("end"),
-                    F.substring(F.col("word"), s + 1, n).alias("part"),
-                ),
-            ),
+    end = (F.col("start") + F.col("length")).alias("end")
+    return (
+        _parts(words, model, model.table(spark))
+        .groupBy("word")
+        .agg(
+            F.max("n").alias("n"),
+            F.collect_list(F.struct("score", "start", end, "id", "part")).alias("edges"),
         )
     )
-    parts = words.select("word", "n", F.explode(spans).alias("x")).select("word", "n", "x.*")
-    pieces = F.broadcast(model.table(spark).withColumnRenamed("piece", "part"))
-    found = parts.join(pieces, "part", "left").where(
-        F.col("id").isNotNull() | (F.col("end") - F.col("start") == 1)
-    )
-    return found.groupBy("word").agg(
-        F.max("n").alias("n"),
-        F.collect_list(F.struct("score", "start", "end", "id", "part")).alias("edges"),
+
+
+@dataclass(frozen=True)
+class PackedEdges:
+    """Edges as whole numbers that sort by rank, then start: rank, start, length, id.
+
+    The rank of a piece is its place by falling score. A character that is no piece has the rank
+    and the id ``none``. Starts have what is left of 63 bits, 28 for a model of 32,000 pieces.
+    """
+
+    bits: int
+    none: int
+
+    @classmethod
+    def of(cls, model: Model) -> PackedEdges:
+        none = len(model.pieces)
+        return cls(none.bit_length(), none)
+
+    def table(self, spark: SparkSession, model: Model) -> DataFrame:
+        ids = [i for i, ok in enumerate(model.plain) if ok]
+        order = sorted(ids, key=lambda i: (-model.scores[i], i))
+        rows = [(model.pieces[i], i, rank) for rank, i in enumerate(order)]
+        return spark.createDataFrame(rows, "piece STRING, id INT, rank INT")
+
+    def pack(self) -> Column:
+        edge = F.coalesce("rank", F.lit(self.none)).cast("long")
+        edge = edge * (1 << (58 - 2 * self.bits)) + F.col("start")
+        edge = edge * 32 + F.col("length")
+        return edge * (1 << self.bits) + F.coalesce("id", F.lit(self.none))
+
+    def id(self, edge: Column) -> Column:
+        return edge.bitwiseAND((1 << self.bits) - 1)
+
+    def length(self, edge: Column) -> Column:
+        return F.shiftright(edge, self.bits).bitwiseAND(31).cast("int")
+
+    def start(self, edge: Column) -> Column:
+        mask = (1 << (58 - 2 * self.bits)) - 1
+        return F.shiftright(edge, self.bits + 5).bitwiseAND(mask).cast("int")
+
+
+def packed_lattice(words: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
+    """word, n and edges of each distinct word, see :class:`PackedEdges`."""
+    if model.longest > 31:
+        raise ValueError("pieces are longer than an edge can be")
+    packed = PackedEdges.of(model)
+    parts = _parts(words, model, packed.table(spark, model))
+    return parts.groupBy("word").agg(
+        F.max("n").alias("n"), F.collect_list(packed.pack()).alias("edges")
     )
 
 
@@ -140,23 +188,15 @@ def _ids(path: Column, model: Model) -> Column:
     )
 
 
-def _by_start(edges: Column) -> Column:
-    shaped = F.transform(edges, lambda e: F.struct(e["start"], e["id"], e["part"]))
-    return F.array_sort(shaped)
-
-
 def merge_fold(model: Model) -> Column:
-    """Ids of a word under a BPE model, from its ``edges``.
+    """Ids of a word under a BPE model, from its packed ``edges``.
 
     Edges come by falling score, leftmost first. A piece's parts always precede it in that order,
-    so one pass makes the merges of the model in their order.
+    so one pass makes the merges of the model in their order. The bounds between parts are the bits
+    of a number, or of an array for long words.
     """
-    order = F.array_sort(
-        F.transform(
-            F.filter("edges", lambda e: e["end"] - e["start"] > 1),
-            lambda e: F.struct((-e["score"]).alias("rank"), e["start"], e["end"]),
-        )
-    )
+    packed = PackedEdges.of(model)
+    order = F.sort_array(F.filter("edges", lambda e: packed.length(e) > 1))
     one = F.lit(1).cast("long")
 
     def left(x: Column, n: Column) -> Column:
@@ -164,8 +204,9 @@ def merge_fold(model: Model) -> Column:
 
     def inside(bounds: Column, e: Column) -> Column:
         """The bounds strictly within an edge that starts and ends at bounds, else all ones."""
-        ends = left(one, e["start"]).bitwiseOR(left(one, e["end"]))
-        between = left(one, e["end"]) - left(one, e["start"] + 1)
+        start, end = packed.start(e), packed.start(e) + packed.length(e)
+        ends = left(one, start).bitwiseOR(left(one, end))
+        between = left(one, end) - left(one, start + 1)
         return F.when(bounds.bitwiseAND(ends) == ends, bounds.bitwiseAND(between)).otherwise(
             F.lit(-1).cast("long")
         )
@@ -177,28 +218,54 @@ def merge_fold(model: Model) -> Column:
     size = F.length("word")
     every = left(one, size + 1) - 1
     short = F.aggregate(
-        order,
-        every,
-        merge,
-        lambda bounds: _by_start(F.filter("edges", lambda e: inside(bounds, e) == 0)),
+        order, every, merge, lambda x: F.filter("edges", lambda e: inside(x, e) == 0)
     )
 
+    def place(bounds: Column, e: Column) -> Column:
+        return F.array_position(bounds, packed.start(e)).cast("int")
+
+    def follows(bounds: Column, e: Column, steps: int) -> Column:
+        at = place(bounds, e)
+        end = packed.start(e) + packed.length(e)
+        return F.coalesce((at > 0) & (F.get(bounds, at + steps - 1) == end), F.lit(False))
+
     def merge_long(bounds: Column, e: Column) -> Column:
-        at = F.array_position(bounds, e["start"]).cast("int")
-        return F.when(
-            (at > 0) & (F.get(bounds, at + 1) == e["end"]),
-            F.concat(F.slice(bounds, F.lit(1), at), F.slice(bounds, at + 2, F.size(bounds))),
-        ).otherwise(bounds)
+        at = place(bounds, e)
+        rest = F.slice(bounds, at + 2, F.size(bounds))
+        shorter = F.concat(F.slice(bounds, F.lit(1), at), rest)
+        return F.when(follows(bounds, e, 2), shorter).otherwise(bounds)
 
-    def last(bounds: Column) -> Column:
-        def keeps(e: Column) -> Column:
-            at = F.array_position(bounds, e["start"]).cast("int")
-            return (at > 0) & (F.get(bounds, at) == e["end"])
+    long = F.aggregate(
+        order,
+        F.sequence(F.lit(0), size),
+        merge_long,
+        lambda x: F.filter("edges", lambda e: follows(x, e, 1)),
+    )
+    path = F.sort_array(
+        F.transform(
+            F.when(size <= BITS, short).otherwise(long),
+            lambda e: packed.start(e).cast("long") * (1 << packed.bits) + packed.id(e),
+        )
+    )
 
-        return _by_start(F.filter("edges", lambda e: F.coalesce(keeps(e), F.lit(False))))
+    def known(x: Column) -> Column:
+        return packed.id(x) != packed.none
 
-    long = F.aggregate(order, F.sequence(F.lit(0), size), merge_long, last)
-    return _ids(F.when(size <= BITS, short).otherwise(long), model)
+    ids = F.transform(path, lambda x: packed.id(x).cast("int"))
+    spelled = F.flatten(
+        F.transform(
+            path,
+            lambda x: F.when(known(x), F.array(packed.id(x).cast("int"))).otherwise(
+                _bytes(
+                    F.substring(
+                        F.col("word"), F.shiftright(x, packed.bits).cast("int") + 1, F.lit(1)
+                    ),
+                    model,
+                )
+            ),
+        )
+    )
+    return F.when(F.forall(path, known), ids).otherwise(spelled)
 
 
 def viterbi_fold(model: Model) -> Column:
@@ -260,7 +327,7 @@ def viterbi_fold(model: Model) -> Column:
     return _ids(trace(F.aggregate(order, start, step, lambda s: s["back"])), model)
 
 
-FOLDS = {"bpe": merge_fold, "unigram": viterbi_fold}
+FOLDS = {"bpe": (packed_lattice, merge_fold), "unigram": (lattice, viterbi_fold)}
 
 
 def encoded_words(
@@ -269,7 +336,8 @@ def encoded_words(
     """word, n (its occurrences in all texts) and ids of every different word of ``docs``."""
     words = docs.select(F.explode(words_of(full_text(), model)).alias("word"))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    return lattice(counted, model, spark).select("word", "n", FOLDS[kind](model).alias("ids"))
+    edges, fold = FOLDS[kind]
+    return edges(counted, model, spark).select("word", "n", fold(model).alias("ids"))
 
 
 def _text_key() -> Column:
