@@ -5,7 +5,8 @@ five-word shingles with the smallest hashes (a shingle that comes again is anoth
 them in the order of the text, so that a sketch agrees where shingles and their order agree. Texts
 with an equal sketch share a bucket. In each bucket the text that shares most buckets is the centre
 and all others are aligned with it, not with one another; what is linked forms components; texts of
-different components that still agree in many sketches are found blockwise and aligned as well.
+different components that still agree in enough sketches are found blockwise and aligned as well,
+all of them until their components are joined.
 
 Two texts are linked if their word edit distance is at most a fifth of the longer one. Texts whose
 shingle similarity is 0.8 meet with a probability above 1 - 1e-17, at 0.4 it is 0.999.
@@ -33,6 +34,8 @@ SIMILARITY = 0.8
 #: share a passage of two thirds of their length agree in 16.
 MIN_AGREEING = 18
 BLOCK = 1_024
+#: Words of a block's texts, which are compared where they meet.
+BLOCK_WORDS = 1_000_000
 CHUNK = 16_384
 WORDS_KEPT = 300_000
 STEP = 32
@@ -190,8 +193,12 @@ def _shared(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def alike(a: np.ndarray, b: np.ndarray) -> bool:
-    limit = int((1 - SIMILARITY) * max(len(a), len(b)) + 1e-9)
-    return distance_within(a, b, limit)
+    return distance_within(a, b, int(_limit(max(len(a), len(b)))))
+
+
+def _limit(size: np.ndarray | int) -> np.ndarray:
+    """Edits that two texts may differ in, of which the longer one has ``size`` words."""
+    return np.floor((1 - SIMILARITY) * np.asarray(size) + 1e-9).astype(np.int64)
 
 
 def _aligned_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,50 +240,136 @@ def _text_key():
     return F.unhex(F.md5(F.encode(full_text(), "UTF-8")))
 
 
-def _agreeing(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-    """Of two blocks of a bucket: for each text and each other component the text of it that
-    agrees in most sketches, if in enough."""
+def _word_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, 1_000):
+            part = batch.slice(first, 1_000)
+            words = [word_hashes(t).tobytes() for t in part.column(1).to_pylist()]
+            yield pa.record_batch(
+                [part.column(0), pa.array(words, pa.binary())], names=["node", "words"]
+            )
+
+
+class _Bags:
+    """How many words texts have in common, for one text and many others at a time."""
+
+    def __init__(self, texts: list[np.ndarray]) -> None:
+        flat = np.concatenate(texts)
+        self.sizes = np.array([len(t) for t in texts])
+        self.ends = np.cumsum(self.sizes)
+        kinds, self.ids = np.unique(flat, return_inverse=True)
+        # Which time in its text a word comes: the first is 0.
+        owner = np.repeat(np.arange(len(texts)), self.sizes)
+        order = np.lexsort((self.ids, owner))
+        ids, owner = self.ids[order], owner[order]
+        fresh = np.r_[True, (ids[1:] != ids[:-1]) | (owner[1:] != owner[:-1])]
+        at = np.arange(len(flat))
+        self.times = np.empty(len(flat), dtype=np.int64)
+        self.times[order] = at - np.maximum.accumulate(np.where(fresh, at, 0))
+        self.have = np.zeros(len(kinds), dtype=np.int64)
+
+    def shared(self, i: int, others: np.ndarray) -> np.ndarray:
+        own = self.ids[self.ends[i] - self.sizes[i] : self.ends[i]]
+        np.add.at(self.have, own, 1)
+        sizes = self.sizes[others]
+        starts = np.cumsum(sizes) - sizes
+        at = np.arange(sizes.sum()) + np.repeat(self.ends[others] - sizes - starts, sizes)
+        hits = self.times[at] < self.have[self.ids[at]]
+        self.have[own] = 0
+        return np.add.reduceat(hits.astype(np.int64), starts)
+
+
+def _linked(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+    """Of two blocks of a bucket: links between components, enough to join all that any pair of
+    texts joins which agrees in MIN_AGREEING sketches and is alike.
+
+    Every such pair is tried until its components are joined; bounds on the distance spare the
+    alignment of pairs that cannot be alike.
+    """
     bucket, left, right = (k.as_py() for k in key)
     block = rows["block"].to_numpy()
-    parts = [rows.filter(pa.array(block == k)) for k in (left, right)]
-    nodes, comps, sketches = [], [], []
-    for part in parts:
-        nodes.append(part["node"].to_numpy())
-        comps.append(part["component"].to_numpy())
-        flat = part["sketch"].combine_chunks().flatten().to_numpy()
-        sketches.append(flat.reshape(-1, SKETCHES))
-    found: dict[tuple[int, int], tuple[int, int]] = {}
-    for i in range(len(nodes[0])):
-        same = sketches[1] == sketches[0][i]
+    nodes = rows["node"].to_numpy()
+    kinds, comps = np.unique(rows["component"].to_numpy(), return_inverse=True)
+    root = np.arange(len(kinds))
+    flat = rows["sketch"].combine_chunks().flatten().to_numpy()
+    sketches = flat.reshape(-1, SKETCHES)
+    words = [np.frombuffer(w, dtype=np.uint64) for w in rows["words"].to_pylist()]
+    bags = _Bags(words)
+    places = np.arange(SKETCHES)
+    theirs = np.flatnonzero(block == right)
+    a, b = [], []
+    for i in np.flatnonzero(block == left).tolist():
+        j = theirs[root[comps[theirs]] != root[comps[i]]]
+        if left == right:
+            j = j[nodes[j] > nodes[i]]
+        limits = _limit(np.maximum(bags.sizes[j], bags.sizes[i]))
+        j = j[np.abs(bags.sizes[j] - bags.sizes[i]) <= limits]
+        same = sketches[j] == sketches[i]
         agree = same.sum(axis=1)
-        # Two texts share many buckets; they are compared in the first of them.
-        own = same.argmax(axis=1) == (sketches[0][i] == bucket).argmax()
-        wanted = own & (agree >= MIN_AGREEING) & (comps[1] != comps[0][i])
-        for j in np.flatnonzero(wanted).tolist():
-            pair = (int(nodes[0][i]), int(comps[1][j]))
-            if agree[j] > found.get(pair, (0, 0))[0]:
-                found[pair] = (int(agree[j]), int(nodes[1][j]))
-    a, b = [k[0] for k in found], [v[1] for v in found.values()]
+        enough = agree >= MIN_AGREEING
+        j, same, agree = j[enough], same[enough], agree[enough]
+        # Two texts share many buckets; they are compared in one of them, which depends on both.
+        turn = (nodes[j] ^ nodes[i]) % SKETCHES
+        chosen = np.where(same, (places - turn[:, None]) % SKETCHES, SKETCHES).argmin(axis=1)
+        own = chosen == (sketches[i] == bucket).argmax()
+        j, agree = j[own], agree[own]
+        if not len(j):
+            continue
+        longer = np.maximum(bags.sizes[j], bags.sizes[i])
+        near = longer - bags.shared(i, j) <= _limit(longer)
+        j, agree = j[near], agree[near]
+        for k in j[np.argsort(-agree, kind="stable")].tolist():
+            here, there = root[comps[i]], root[comps[k]]
+            if here != there and alike(words[i], words[k]):
+                a.append(int(nodes[i]))
+                b.append(int(nodes[k]))
+                root[root == there] = here
     return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _rest_pairs(buckets: DataFrame, texts: DataFrame, parts: DataFrame) -> DataFrame:
-    """Pairs within a bucket and across components that agree in MIN_AGREEING sketches or more."""
-    placed = buckets.join(parts, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")
-    )
-    # A key whose texts are all in one component has nothing left to compare.
-    mixed = (
+def _mixed_keys(placed: DataFrame) -> DataFrame:
+    """The keys of ``placed`` (key, node, component, n_words) whose texts are in more than one
+    component, and into how many blocks their texts are dealt."""
+    size = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_words") / BLOCK_WORDS)
+    return (
         placed.groupBy("key")
         .agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
-            F.count(F.lit(1)).alias("n"),
+            F.ceil(size).cast("int").alias("blocks"),
         )
         .where("low <> high")
-        .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        .select("key", "blocks")
+    )
+
+
+def _rest_links(
+    spark: SparkSession, buckets: DataFrame, texts: DataFrame, parts: DataFrame, docs: DataFrame
+) -> DataFrame:
+    """Links (a, b) across components among texts that agree in MIN_AGREEING sketches or more."""
+    placed = (
+        buckets.join(parts, "node", "left")
+        .join(texts.select("node", "n_words"), "node")
+        .select("key", "node", F.coalesce("component", "node").alias("component"), "n_words")
     )
-    members = placed.join(mixed.select("key", "blocks"), "key").withColumn(
+    # A key whose texts are all in one component has nothing left to compare, and a text in fewer
+    # than MIN_AGREEING other keys agrees with no text of another component in so many.
+    members = placed.join(_mixed_keys(placed).select("key"), "key")
+    busy = members.groupBy("node").agg(F.count(F.lit(1)).alias("keys"))
+    busy = busy.where(F.col("keys") >= MIN_AGREEING).select("node")
+    members = staged(spark, members.join(busy, "node"), "near-mixed")
+
+    named = texts.join(members.select("node").distinct(), "node")
+    bodies = docs.select("doc_id", _text_key().alias("text_key"), full_text().alias("text"))
+    words = named.select("node", "doc_id", "text_key").join(
+        bodies,
+        named.doc_id.eqNullSafe(bodies.doc_id) & (named.text_key == bodies.text_key),
+    )
+    words = words.select("node", "text").mapInArrow(_word_rows, "node LONG, words BINARY")
+    words = words.dropDuplicates(["node"]).join(named.select("node", "sketch"), "node")
+    words = staged(spark, words, "near-words")
+
+    dealt = members.join(_mixed_keys(members), "key").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     sides = F.transform(
@@ -285,13 +378,13 @@ def _rest_pairs(buckets: DataFrame, texts: DataFrame, parts: DataFrame) -> DataF
             F.least(o, F.col("block")).alias("left"), F.greatest(o, F.col("block")).alias("right")
         ),
     )
-    spread = members.withColumn("side", F.explode(sides)).join(
-        texts.select("node", "sketch"), "node"
-    )
+    spread = dealt.withColumn("side", F.explode(sides)).join(words, "node")
     return (
-        spread.select("key", "side.left", "side.right", "node", "component", "block", "sketch")
+        spread.select(
+            "key", "side.left", "side.right", "node", "component", "block", "sketch", "words"
+        )
         .groupBy("key", "left", "right")
-        .applyInArrow(_agreeing, "a LONG, b LONG")
+        .applyInArrow(_linked, "a LONG, b LONG")
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     )
 
@@ -334,10 +427,9 @@ def near_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
     links = _verified(spark, stars, texts, docs)
     parts = staged(spark, connected(spark, links), "near-parts")
-    more = staged(spark, _rest_pairs(buckets, texts, parts).distinct(), "near-rest")
+    more = staged(spark, _rest_links(spark, buckets, texts, parts, docs).distinct(), "near-rest")
     if more.count():
-        links = links.unionByName(_verified(spark, more, texts, docs))
-        parts = staged(spark, connected(spark, links), "near-parts")
+        parts = staged(spark, connected(spark, links.unionByName(more)), "near-parts")
 
     members = texts.join(parts, "node", "left").select(
         "words_key", "doc_id", "text_key", F.coalesce("component", "node").alias("component")

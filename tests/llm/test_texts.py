@@ -8,6 +8,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillsift.llm import near_dedup, ngram_quality, suffix_dedup, toxicity
@@ -139,6 +140,75 @@ def test_texts_of_other_components_are_compared(spark, monkeypatch):
     assert {r.class_id for r in got} == {0}
 
 
+def only_star(monkeypatch, ids):
+    """The comparison of centres finds one link, between the texts of two ids, or none."""
+    real, calls = near_dedup._verified, []
+
+    def verified(spark, pairs, texts, docs):
+        calls.append(1)
+        if len(calls) > 1:
+            return real(spark, pairs, texts, docs)
+        at = {r.doc_id: r.node for r in texts.collect()}
+        links = [tuple(at[i] for i in ids)] if ids else []
+        return spark.createDataFrame(links, "a LONG, b LONG")
+
+    monkeypatch.setattr(near_dedup, "_verified", verified)
+
+
+def agreeing(a, b):
+    one, other = (near_dedup.sketch(near_dedup.shingles(near_dedup.word_hashes(t))) for t in (a, b))
+    return int((one == other).sum())
+
+
+def test_the_text_that_agrees_most_may_fail(spark, monkeypatch):
+    """The second text of a component is tried where the first is not alike."""
+    base = prose(55, 400)
+    far = prose(159, 84) + base[84:]
+    near = [f"changed{i}" if i % 23 == 20 else w for i, w in enumerate(base)]
+    texts = [" ".join(t) for t in (base, far, near)]
+    assert agreeing(texts[0], texts[1]) > agreeing(texts[0], texts[2]) >= 18
+    words = [near_dedup.word_hashes(t) for t in texts]
+    assert [near_dedup.alike(words[0], w) for w in words] == [True, False, True]
+    only_star(monkeypatch, (1, 2))
+    got = near_dedup.near_classes(spark, frame(spark, list(enumerate(texts)))).collect()
+    assert {r.class_id for r in got} == {0}
+
+
+def test_block_links_against_brute_force():
+    """Components of one bucket's texts, all pairs tried, from families that drift apart."""
+    pick, texts = random.Random(3), []
+    for family in range(6):
+        words = prose(60, 60) + prose(600 + family, 40)
+        for _ in range(12):
+            words = [f"new{pick.random()}" if pick.random() < 0.09 else w for w in words]
+            texts.append(near_dedup.word_hashes(" ".join(words)))
+    sketches = np.array([near_dedup.sketch(near_dedup.shingles(t)) for t in texts])
+    sketches[:, 0] = 7
+    root, got = np.arange(len(texts)), np.arange(len(texts))
+    for i in range(len(texts)):
+        for j in range(i):
+            agree = (sketches[i] == sketches[j]).sum() >= near_dedup.MIN_AGREEING
+            if agree and near_dedup.alike(texts[i], texts[j]):
+                root[root == root[i]] = root[j]
+    assert 6 < len(set(root)) < len(texts)
+    for key in np.unique(sketches):
+        here = np.flatnonzero((sketches == key).any(axis=1))
+        rows = pa.table(
+            {
+                "node": here,
+                "component": here,
+                "block": np.zeros(len(here), dtype=np.int32),
+                "sketch": list(sketches[here]),
+                "words": [texts[i].tobytes() for i in here],
+            }
+        )
+        links = near_dedup._linked((pa.scalar(int(key), pa.uint64()), pa.scalar(0), pa.scalar(0)), rows)
+        for a, b in zip(links["a"].to_pylist(), links["b"].to_pylist(), strict=True):
+            got[got == got[a]] = got[b]
+    same = root[:, None] == root[None, :]
+    assert (same == (got[:, None] == got[None, :])).all()
+
+
 def test_near_copies_of_odd_rows(spark, odd_docs, no_docs):
     rows = near_dedup.near_classes(spark, odd_docs).collect()
     assert len(rows) == odd_docs.count()
