@@ -29,10 +29,9 @@ from quillsift.llm.staging import boxed, full_text, staged, unboxed
 SHINGLE = 5
 SKETCHES = 40
 SIMILARITY = 0.8
-#: A pair of shingle similarity 0.8 agrees in 25.6 of 40 sketches on average, and in fewer than 18
-#: in 4 of 1,000 cases; that counts only for pairs without a link to a common centre. Texts that
-#: share a passage of two thirds of their length agree in 16.
-MIN_AGREEING = 18
+#: A pair of shingle similarity 0.8 agrees in 25.6 of 40 sketches on average, and in fewer than 8
+#: with a probability of 2e-9; that counts only for pairs without a link to a common centre.
+MIN_AGREEING = 8
 BLOCK = 1_024
 #: Words of a block's texts, which are compared where they meet.
 BLOCK_WORDS = 1_000_000

@@ -174,6 +174,17 @@ def test_the_text_that_agrees_most_may_fail(spark, monkeypatch):
     assert {r.class_id for r in got} == {0}
 
 
+def test_texts_that_agree_in_few_sketches_are_compared(spark, monkeypatch):
+    """Scattered edits of a sixteenth of the words leave few sketches, and no centre links them."""
+    base = prose(50, 400)
+    near = [f"changed{i}" if i % 16 == 13 else w for i, w in enumerate(base)]
+    texts = [" ".join(t) for t in (base, near)]
+    assert 8 <= agreeing(*texts) < 18
+    only_star(monkeypatch, ())
+    got = near_dedup.near_classes(spark, frame(spark, list(enumerate(texts)))).collect()
+    assert {r.class_id for r in got} == {0}
+
+
 def test_block_links_against_brute_force():
     """Components of one bucket's texts, all pairs tried, from families that drift apart."""
     pick, texts = random.Random(3), []
