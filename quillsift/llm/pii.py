@@ -31,7 +31,43 @@ PHONE = (
 WORLD_PHONE = r"(?<![\w+])\+[1-9]\d{0,2}(?:[ .-]\(?\d{1,5}\)?){2,5}(?![\d-])"
 IPV4 = r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+#: How long the IBANs of a country are; other countries may have any length.
+IBAN_LENGTHS = {
+    15: "NO",
+    16: "BE",
+    18: "DK FI FK FO GL NL SD",
+    19: "MK SI",
+    20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST",
+    26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA",
+    30: "JO KW MU YE",
+    31: "MT SC",
+    32: "LC",
+    33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    kinds = []
+    for size, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(size - 4, 4)
+        end = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        kinds.append(
+            f"(?:{countries.replace(' ', '|')})\\d{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{end}"
+        )
+    known = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+    kinds.append(rf"(?!{known})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?")
+    return rf"(?<![A-Za-z0-9])(?:{'|'.join(kinds)})(?![A-Za-z0-9])"
+
+
+IBAN = _iban_pattern()
 DATE = (
     r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})"
     r"(?![\d]|[./-]\d)"

@@ -162,3 +162,20 @@ def test_pseudonyms_of_odd_rows(odd_docs, no_docs):
 def test_trees_need_weights(weights):
     with pytest.raises(ValueError):
         sharding.HashTree.of(weights)
+
+
+def test_ibans_end_at_the_length_of_their_country(spark):
+    texts = [
+        "ES91 2100 0418 4502 0005 1332 BIC CAIXESBB",
+        "BE68 5390 0754 7034 BIC",
+        "BE68539007547034 OK",
+        "ES9121000418450200051332 2024",
+        "FR12 4111 1111 1111 1111",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    rows = pii.pseudonymise(docs).orderBy("doc_id").collect()
+    assert [r.pii for r in rows] == [["iban"]] * 4 + [["card"]]
+    ends = [" BIC CAIXESBB", " BIC", " OK", " 2024", ""]
+    assert all(r.text.endswith(e) and r.text != t for r, e, t in zip(rows, ends, texts, strict=True))
+    back = pii.reveal(docs.sparkSession.createDataFrame(rows).select("doc_id", "text"))
+    assert [r.text for r in back.orderBy("doc_id").collect()] == texts
