@@ -120,6 +120,13 @@ def sketch(marks: np.ndarray) -> np.ndarray:
 SIGNED = "doc_id LONG, text_key BINARY, words_key BINARY, n_words INT, sketch ARRAY<LONG>"
 
 
+def _words_key(text: str, words: np.ndarray) -> bytes:
+    """Equal for texts of the same words; without words, for texts of the same other signs."""
+    signs = b"" if len(words) else "".join(text.split()).encode("utf-8", "surrogatepass")
+    person = b"no words" if signs else b""
+    return hashlib.blake2b(signs or words.tobytes(), digest_size=16, person=person).digest()
+
+
 def _signature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first in range(0, batch.num_rows, 1_000):
@@ -127,7 +134,7 @@ def _signature_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             keys, sizes, sketches = [], [], []
             for text in part.column(2).to_pylist():
                 words = word_hashes(text)
-                keys.append(hashlib.blake2b(words.tobytes(), digest_size=16).digest())
+                keys.append(_words_key(text, words))
                 sizes.append(len(words))
                 sketches.append(sketch(shingles(words)).view(np.int64) if len(words) else None)
             yield pa.record_batch(
@@ -392,8 +399,8 @@ def near_classes(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with class_id, the smallest doc_id of its class, and
     ``kept``, true for the rows with that id and the class's first text.
 
-    Texts of the same words are one class whatever their case and punctuation; texts without words,
-    null ones among them, are one class too. An empty table gives no rows.
+    Texts of the same words are one class whatever their case and punctuation; texts without words
+    are one class if they are equal but for white space, null and blank ones among them. An empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = docs.select("doc_id", _text_key().alias("text_key"), full_text().alias("text"))

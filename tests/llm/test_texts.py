@@ -220,6 +220,17 @@ def test_block_links_against_brute_force():
     assert (same == (got[:, None] == got[None, :])).all()
 
 
+def test_texts_without_words_are_told_apart():
+    texts = ["", " \n", "!!", "! !", "?", "\U0001f600", "\U0001f601", "a!", "A"]
+    batch = pa.record_batch(
+        [pa.array(range(len(texts))), pa.array([b"k"] * len(texts)), pa.array(texts)],
+        names=["doc_id", "text_key", "text"],
+    )
+    (rows,) = near_dedup._signature_rows([batch])
+    keys = rows["words_key"].to_pylist()
+    assert [keys.index(k) for k in keys] == [0, 0, 2, 2, 4, 5, 6, 7, 7]
+
+
 def test_near_copies_of_odd_rows(spark, odd_docs, no_docs):
     rows = near_dedup.near_classes(spark, odd_docs).collect()
     assert len(rows) == odd_docs.count()
