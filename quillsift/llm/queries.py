@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillsift.llm import (
+    merkle,
     near_dedup,
     ngram_quality,
     packing,
@@ -77,6 +78,10 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(spark, table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(spark, table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sentencepiece_lattice,
@@ -89,10 +94,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_hash_tree_shards,
         op9_kneser_ney_quality,
         op10_suffix_array_dedup,
+        op13_merkle_manifest,
     )
 }
 
 ORACLE: dict[str, str] = {
     "op5_maxscore_top_k": topk.oracle_sql(),
+    "op13_merkle_manifest": merkle.oracle_sql(),
     "op7_bloom_cascade_urls": url_filter.oracle_sql(url_filter.rules_of(URL_RULES)),
 }
