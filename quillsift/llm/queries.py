@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quillsift.llm import (
+    compression_quality,
     merkle,
     near_dedup,
     ngram_quality,
@@ -19,6 +20,7 @@ from quillsift.llm import (
     topk,
     toxicity,
     url_filter,
+    whitening,
 )
 from quillsift.llm.staging import table
 
@@ -78,6 +80,15 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_bytes(spark, table(spark, sf_dir, "documents"))
 
 
+def op11_qdwh_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(spark, table(spark, sf_dir, "embeddings"))
+
+
+def op12_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return compression_quality.score_documents(spark, docs, labels)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(spark, table(spark, sf_dir, "documents"))
 
@@ -94,6 +105,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_hash_tree_shards,
         op9_kneser_ney_quality,
         op10_suffix_array_dedup,
+        op11_qdwh_whitening,
+        op12_compression_quality,
         op13_merkle_manifest,
     )
 }
