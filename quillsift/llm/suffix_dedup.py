@@ -1,8 +1,8 @@
 """Repeated byte strings found with suffix arrays and removed.
 
-A string of SPAN bytes that starts at two places is covered by the same anchor at both: the smallest
-of the short-gram hashes inside it. So texts are cut into segments, one per anchor, that hold all
-SPAN-byte windows of the anchor; only anchors that occur twice can hold repeats, and equal segments
+A string of ``span`` bytes that starts at two places is covered by the same anchor at both: the
+smallest of the short-gram hashes inside it. So texts are cut into segments, one per anchor, that
+hold all windows of ``span`` bytes of the anchor; only anchors that occur twice can hold repeats, and equal segments
 are all repeats. Different segments of an anchor meet in a shard, which sorts their suffixes by
 Larsson-Sadakane refinement and measures neighbours' common prefixes by Kasai's method. The segments
 of a very frequent anchor are spread over many shards, which are merged by a binary search over the
@@ -21,8 +21,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsift.llm.staging import boxed, full_text, staged, with_new_text
+from quillsift.operators.joins import splittable
 
+#: Bytes of a repeat, unless a caller says otherwise; a span must be longer than a gram.
 SPAN = 400
+#: What the corpus pipeline cuts: shorter than any 50 words of prose, whose mean word has four
+#: letters or more, so that a repeated passage of over 50 words is found wherever it begins.
+PASSAGE = 256
 GRAM = 32
 #: Bytes of segments per shard, and segments of one anchor from which it gets shards of its own.
 SHARD_BYTES = 2_000_000
@@ -100,23 +105,28 @@ def anchors(data: bytes, span: int = SPAN) -> list[tuple[int, int, int, int]]:
     return found
 
 
-def _segment_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _segment_rows(span: int):
     names = ["text_key", "anchor", "segment", "first", "last", "place"]
     kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32()]
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            columns: list[list] = [[] for _ in names]
-            part = batch.slice(at, 256)
-            for key, text in zip(part.column(0), part.column(1), strict=True):
-                data, key = text.as_py(), key.as_py()
-                for value, first, last, place in anchors(data):
-                    digest = hashlib.blake2b(data[first : last + SPAN], digest_size=16).digest()
-                    row = (key, value, digest, first, last, place)
-                    for column, x in zip(columns, row, strict=True):
-                        column.append(x)
-            yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
-            )
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                columns: list[list] = [[] for _ in names]
+                part = batch.slice(at, 256)
+                for key, text in zip(part.column(0), part.column(1), strict=True):
+                    data, key = text.as_py(), key.as_py()
+                    for value, first, last, place in anchors(data, span):
+                        body = data[first : last + span]
+                        digest = hashlib.blake2b(body, digest_size=16).digest()
+                        row = (key, value, digest, first, last, place)
+                        for column, x in zip(columns, row, strict=True):
+                            column.append(x)
+                yield pa.record_batch(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
+                )
+
+    return run
 
 
 def suffix_array(words: np.ndarray) -> np.ndarray:
@@ -229,45 +239,51 @@ def runs_of(flags: np.ndarray) -> list[tuple[int, int]]:
 FOUND = "anchor LONG, segment BINARY, a INT, b INT"
 
 
-def _search_shard(rows: pa.Table) -> pa.Table:
-    """Repeated runs of windows of each segment of a shard."""
-    # A segment may have come by several ways; it must not meet itself.
-    rows = rows.group_by(["anchor", "segment"]).aggregate([("body", "min")])
-    rows = rows.sort_by([("anchor", "ascending"), ("segment", "ascending")])
-    shard = SegmentShard(rows["body_min"].to_pylist())
-    columns: list[list] = [[], [], [], []]
-    keys = zip(rows["anchor"].to_pylist(), rows["segment"].to_pylist(), strict=True)
-    for k, (anchor, segment) in enumerate(keys):
-        for run in runs_of(shard.repeated[shard.windows(k)]):
-            for column, x in zip(columns, (anchor, segment, *run), strict=True):
-                column.append(x)
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
-    return pa.table(
-        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-        names=["anchor", "segment", "a", "b"],
-    )
+def _search_shard(span: int):
+    def run(rows: pa.Table) -> pa.Table:
+        """Repeated runs of windows of each segment of a shard."""
+        # A segment may have come by several ways; it must not meet itself.
+        rows = rows.group_by(["anchor", "segment"]).aggregate([("body", "min")])
+        rows = rows.sort_by([("anchor", "ascending"), ("segment", "ascending")])
+        shard = SegmentShard(rows["body_min"].to_pylist(), span)
+        columns: list[list] = [[], [], [], []]
+        keys = zip(rows["anchor"].to_pylist(), rows["segment"].to_pylist(), strict=True)
+        for k, (anchor, segment) in enumerate(keys):
+            for found in runs_of(shard.repeated[shard.windows(k)]):
+                for column, x in zip(columns, (anchor, segment, *found), strict=True):
+                    column.append(x)
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
+        return pa.table(
+            [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+            names=["anchor", "segment", "a", "b"],
+        )
+
+    return run
 
 
 def _text_key() -> Column:
     return F.unhex(F.md5("body"))
 
 
-def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def repeated_spans(spark: SparkSession, docs: DataFrame, span: int = SPAN) -> DataFrame:
     """The repeated byte ranges of each different text of ``docs``: text_key, spans (from, to)."""
+    if span <= GRAM:
+        raise ValueError(f"a span needs more than {GRAM} bytes")
     bodies = docs.select(F.encode(full_text(), "UTF-8").alias("body"))
-    bodies = bodies.where(F.octet_length("body") >= SPAN).select(
+    bodies = bodies.where(F.octet_length("body") >= span).select(
         _text_key().alias("text_key"), "body"
     )
     rows = staged(
         spark,
         bodies.mapInArrow(
-            _segment_rows,
+            _segment_rows(span),
             "text_key BINARY, anchor LONG, segment BINARY, first INT, last INT, place INT",
         ),
         "segments",
     )
     often = rows.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = staged(spark, rows.join(often.select("anchor"), "anchor"), "repeated-anchors")
+    often = splittable(often.select("anchor"))
+    rows = staged(spark, rows.join(often, "anchor"), "repeated-anchors")
 
     kinds = rows.groupBy("anchor", "segment").agg(
         F.count(F.lit(1)).alias("copies"),
@@ -275,8 +291,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
     )
     kinds = staged(spark, kinds, "segment-kinds")
     mixed = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    searched = kinds.join(mixed, "anchor").select("anchor", "segment", "kinds", "at.*")
-    found = _searched(spark, searched, bodies)
+    searched = kinds.join(splittable(mixed), "anchor").select("anchor", "segment", "kinds", "at.*")
+    found = _searched(spark, searched, bodies, span)
 
     whole = kinds.where("copies > 1").select(
         "anchor",
@@ -294,21 +310,23 @@ def repeated_spans(spark: SparkSession, docs: DataFrame) -> DataFrame:
             F.collect_set(
                 F.struct(
                     (F.col("first") + F.col("a")).alias("a"),
-                    (F.col("first") + F.col("b") + SPAN).alias("b"),
+                    (F.col("first") + F.col("b") + span).alias("b"),
                 )
             ).alias("spans")
         )
     )
 
 
-def _searched(spark: SparkSession, searched: DataFrame, bodies: DataFrame) -> DataFrame:
+def _searched(
+    spark: SparkSession, searched: DataFrame, bodies: DataFrame, span: int
+) -> DataFrame:
     """Repeated runs of windows of segments whose anchor has several different segments."""
     width = F.col("last") - F.col("first")
     cuts = searched.join(bodies, "text_key").select(
         "anchor",
         "segment",
         "kinds",
-        F.substring(F.col("body"), F.col("first") + 1, width + SPAN).alias("body"),
+        F.substring(F.col("body"), F.col("first") + 1, width + span).alias("body"),
         (F.col("place") - F.col("first")).alias("at"),
         width.alias("width"),
     )
@@ -317,21 +335,21 @@ def _searched(spark: SparkSession, searched: DataFrame, bodies: DataFrame) -> Da
     sizes = cuts.groupBy((F.col("kinds") > ANCHOR_SEGMENTS).alias("hot")).agg(
         F.sum("width").alias("width"), F.count(F.lit(1)).alias("n")
     )
-    size = {r.hot: r.width + r.n * (SPAN + 1) for r in sizes.collect()}
+    size = {r.hot: r.width + r.n * (span + 1) for r in sizes.collect()}
     cold = cuts.where(F.col("kinds") <= ANCHOR_SEGMENTS).select(
         "anchor", "segment", "body", _shard(F.xxhash64("anchor"), size.get(False, 0)).alias("shard")
     )
     if True not in size:
-        return cold.groupBy("shard").applyInArrow(_search_shard, FOUND)
+        return cold.groupBy("shard").applyInArrow(_search_shard(span), FOUND)
     hot = cuts.where(F.col("kinds") > ANCHOR_SEGMENTS)
-    groups, known = _bisected(spark, hot)
+    groups, known = _bisected(spark, hot, span)
     dealt = groups.join(hot.select("anchor", "segment", "body"), ["anchor", "segment"]).select(
         "anchor",
         "segment",
         "body",
         (-1 - _shard(F.xxhash64("core"), 2 * size[True])).alias("shard"),
     )
-    found = cold.unionByName(dealt).groupBy("shard").applyInArrow(_search_shard, FOUND)
+    found = cold.unionByName(dealt).groupBy("shard").applyInArrow(_search_shard(span), FOUND)
     return found.unionByName(known)
 
 
@@ -339,7 +357,7 @@ def _shard(value: Column, size: int) -> Column:
     return F.pmod(value, F.lit(max(1, -(-int(size) // SHARD_BYTES))))
 
 
-def _bisected(spark: SparkSession, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _bisected(spark: SparkSession, hot: DataFrame, span: int) -> tuple[DataFrame, DataFrame]:
     """Groups of segments of very frequent anchors that may share windows, and runs known to.
 
     Shards of such an anchor are merged by binary search over the places of its windows. Segments
@@ -348,11 +366,11 @@ def _bisected(spark: SparkSession, hot: DataFrame) -> tuple[DataFrame, DataFrame
     Before that, segments that agree in all windows of the range are repeats as a whole, and one of
     them stands for all. So each step costs a row or two per segment, not one per window.
     """
-    state = hot.select("anchor", "segment", F.lit(0).alias("lo"), F.lit(SPAN - GRAM).alias("hi"))
+    state = hot.select("anchor", "segment", F.lit(0).alias("lo"), F.lit(span - GRAM).alias("hi"))
     groups, known = [], []
     low = F.greatest("lo", F.col("at") - F.col("width"))
     high = F.least("hi", "at")
-    for _ in range((SPAN - GRAM).bit_length() + 1):
+    for _ in range((span - GRAM).bit_length() + 1):
         rows = state.join(hot.drop("kinds"), ["anchor", "segment"])
         rows = rows.withColumns({"from": low, "to": high}).where(F.col("from") <= F.col("to"))
         rows = rows.select(
@@ -362,21 +380,23 @@ def _bisected(spark: SparkSession, hot: DataFrame) -> tuple[DataFrame, DataFrame
             "hi",
             (F.col("at") - F.col("to")).alias("a"),
             (F.col("at") - F.col("from")).alias("b"),
-            _piece("lo", "hi", F.col("at") - F.col("lo"), F.col("at") - F.col("hi")).alias("core"),
             _piece(
-                "from", "to", F.col("at") - F.col("to"), F.col("at") - F.col("from")
+                "lo", "hi", F.col("at") - F.col("lo"), F.col("at") - F.col("hi"), span
+            ).alias("core"),
+            _piece(
+                "from", "to", F.col("at") - F.col("to"), F.col("at") - F.col("from"), span
             ).alias("hull"),
         )
         rows = staged(spark, rows, "bisected")
         own = ["anchor", "lo", "hi", "core"]
         sizes = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        sized = rows.join(sizes, own)
+        sized = rows.join(splittable(sizes), own)
         groups.append(sized.where(F.col("n") <= ANCHOR_SEGMENTS).select(*own[:1], "segment", "core"))
         large = sized.where(F.col("n") > ANCHOR_SEGMENTS)
         alike = large.groupBy(*own, "hull").agg(
             F.count(F.lit(1)).alias("same"), F.min("segment").alias("one")
         )
-        large = staged(spark, large.join(alike, [*own, "hull"]), "bisected-large")
+        large = staged(spark, large.join(splittable(alike), [*own, "hull"]), "bisected-large")
         if not large.head(1):
             break
         known.append(large.where("same > 1").select("anchor", "segment", "a", "b"))
@@ -394,9 +414,9 @@ def _bisected(spark: SparkSession, hot: DataFrame) -> tuple[DataFrame, DataFrame
     return _union(groups), _union([empty, *known])
 
 
-def _piece(low: str, high: str, start: Column, end: Column) -> Column:
+def _piece(low: str, high: str, start: Column, end: Column, span: int) -> Column:
     """A digest of ``body`` from window ``start`` to the end of window ``end``."""
-    body = F.substring(F.col("body"), start + 1, end - start + SPAN)
+    body = F.substring(F.col("body"), start + 1, end - start + span)
     return F.unhex(F.md5(F.concat(F.encode(F.concat_ws("|", low, high, F.lit("")), "UTF-8"), body)))
 
 
@@ -434,39 +454,42 @@ def _remove(bodies: pd.Series, spans: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kept", "text", "removed", "runs"])
 
 
-def with_rest(spark: SparkSession, docs: DataFrame) -> DataFrame:
+def with_rest(spark: SparkSession, docs: DataFrame, span: int = SPAN) -> DataFrame:
     """Each row of ``docs`` as a struct ``row``, its text as bytes in ``body``, and ``rest``, a
     struct of kept BINARY, text (null if nothing was removed), removed LONG and runs LONG.
 
-    Null texts count as empty. Texts shorter than SPAN lose nothing. All copies of a repeated
+    Null texts count as empty. Texts shorter than ``span`` lose nothing. All copies of a repeated
     string are removed, and repeated rows count as places of their own. An empty table gives no
     rows. Further columns of ``docs`` travel in ``row``, whatever their names.
     """
-    spans = repeated_spans(spark, docs)
+    spans = repeated_spans(spark, docs, span)
     keyed = boxed(docs).select("row", F.encode(full_text(), "UTF-8").alias("body"))
     keyed = keyed.withColumn("text_key", _text_key())
     remove = F.pandas_udf(_remove, "kept BINARY, text STRING, removed LONG, runs LONG")
-    joined = keyed.join(spans, "text_key", "left")
+    # Copies of one text may be very many, so its spans must not be tied to its hash.
+    joined = keyed.join(splittable(spans), "text_key", "left")
     return joined.select("row", "body", remove("body", "spans").alias("rest"))
 
 
-def dedup_bytes(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` (doc_id, text) with what is left of it, as counts and a digest."""
-    rows = with_rest(spark, docs.select("doc_id", "text"))
+def dedup_bytes(spark: SparkSession, docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """Every row of ``docs`` (doc_id, text) with what is left of it, as counts, digest and text."""
+    rows = with_rest(spark, docs.select("doc_id", "text"), span)
+    changed = F.col("rest.removed") > 0
     return rows.select(
         "row.doc_id",
         F.octet_length("body").cast("long").alias("n_bytes"),
         F.col("rest.removed").alias("n_removed"),
         F.col("rest.runs").alias("n_spans"),
         F.sha2(F.col("rest.kept"), 256).alias("kept_sha256"),
+        F.when(changed, F.col("rest.text")).otherwise(F.col("row.text")).alias("text"),
     )
 
 
-def cut_repeats(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated byte strings cut from their texts, in their own columns.
+def cut_repeats(spark: SparkSession, docs: DataFrame, span: int = SPAN) -> DataFrame:
+    """``docs`` with repeated strings of ``span`` bytes cut from their texts, in their own columns.
 
     All rows stay, texts that are repeated as a whole become empty; n_chars follows the text.
     """
-    rows = with_rest(spark, docs)
+    rows = with_rest(spark, docs, span)
     changed = F.col("rest.removed") > 0
     return with_new_text(rows, docs.columns, F.col("rest.text"), changed)

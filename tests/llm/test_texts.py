@@ -270,15 +270,21 @@ def repeated_texts():
 
 
 @pytest.mark.parametrize("segments", [2_048, 3])
-def test_repeats_against_brute_force(spark, monkeypatch, segments):
+@pytest.mark.parametrize("span", [suffix_dedup.SPAN, suffix_dedup.PASSAGE])
+def test_repeats_against_brute_force(spark, monkeypatch, segments, span):
     monkeypatch.setattr(suffix_dedup, "ANCHOR_SEGMENTS", segments)
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 100_000)
     texts = repeated_texts()
     docs = frame(spark, list(enumerate(texts)))
-    rows = {r.doc_id: r for r in suffix_dedup.dedup_bytes(spark, docs).collect()}
-    want = brute_repeats([(t or "").encode() for t in texts], suffix_dedup.SPAN)
-    got = [tuple(rows[i])[1:] for i in range(len(texts))]
+    rows = {r.doc_id: r for r in suffix_dedup.dedup_bytes(spark, docs, span).collect()}
+    want = brute_repeats([(t or "").encode() for t in texts], span)
+    got = [tuple(rows[i])[1:5] for i in range(len(texts))]
     assert got == want
+    for i, (size, gone, _, kept) in enumerate(want):
+        rest = rows[i].text
+        assert (rest == texts[i]) if not gone else len(rest.encode()) <= size - gone
+        if gone and len(rest.encode()) == size - gone:
+            assert hashlib.sha256(rest.encode()).hexdigest() == kept
 
 
 def test_suffix_arrays_are_sorted():
