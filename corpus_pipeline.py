@@ -28,8 +28,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without byte strings that repeat within the corpus."""
-    return suffix_dedup.cut_repeats(spark, docs)
+    """Documents without strings of PASSAGE bytes that repeat within the corpus."""
+    return suffix_dedup.cut_repeats(spark, docs, suffix_dedup.PASSAGE)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
