@@ -140,9 +140,27 @@ ECOMMERCE_CLEAN = schema(
 LEDGER = schema(
     file_key=TEXT,
     file_name=TEXT,
+    file_path=TEXT,
+    batch=TEXT,
     status=TEXT,
     loaded_at=STAMP,
     rows_loaded=BIGINT,
+    rows_broken=BIGINT,
+)
+
+# Files that make up a batch, written before the batch is loaded.
+LEDGER_PLAN = schema(
+    batch=TEXT,
+    file_key=TEXT,
+    file_name=TEXT,
+    file_path=TEXT,
+)
+
+CHUNKS = schema(
+    batch_id=BIGINT,
+    rows=BIGINT,
+    valid_rows=BIGINT,
+    rejected_rows=BIGINT,
 )
 
 RUN_SUMMARY = schema(

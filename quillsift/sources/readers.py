@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,12 @@ from pyspark.sql import types as T
 
 from quillsift.functions import blank_to_null, file_basename, parse_date
 
+#: The raw text of a line that does not fit its schema; NULL on all others.
+BROKEN = "broken_line"
+_RAW = "_raw_line"
+# The reason under which broken lines are rejected.
+BROKEN_REASON = "line does not fit the schema"
+
 
 def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A table without rows, which the optimiser knows to be empty and drops from joins."""
@@ -87,6 +94,67 @@ def read_csv(
     return df.withColumns(dates) if dates else df
 
 
+def with_broken(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+
+
+def keeping_broken(reader, schema: T.StructType):
+    """A CSV reader, batch or stream, that keeps the text of lines that do not fit ``schema``; to be
+    followed by :func:`without_halves`."""
+    return (
+        reader.schema(T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())]))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _RAW)
+        .option("columnPruning", False)
+    )
+
+
+def without_halves(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Broken lines without the values that were parsed from them: half a row must not pass for a
+    whole one, and its text is kept."""
+    names = schema.fieldNames()
+    # Spark parses the columns that a query uses, and a field that is not parsed breaks no line. So
+    # the text is tied to all of them, though it is the raw text whatever they hold.
+    empty = reduce(Column.__and__, [F.col(c).isNull() for c in names])
+    text = F.when(F.col(_RAW).isNotNull() | empty, F.col(_RAW)).alias(BROKEN)
+    sound = F.col(_RAW).isNull()
+    halves = {c: F.when(sound, F.col(c)).alias(c) for c in names}
+    return df.select(*[text if c == _RAW else halves.get(c, F.col(c)) for c in df.columns])
+
+
+def read_csv_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    sep: str = ",",
+    header: bool = True,
+    na_values: Sequence[str] = (),
+    parse_dates: Mapping[str, str] | None = None,
+    source_column: str = "source_file",
+) -> DataFrame:
+    """CSV in which every line is accounted for: one row per line, blank lines and headers apart.
+
+    A line with too few or too many fields, or with a field that its column's type cannot hold, is
+    broken: it has its raw text in ``broken_line``, the name of its file, and NULL in all other
+    columns. See :func:`split_broken`; to write both parts from one pass, stage the rows.
+    """
+    reader = keeping_broken(spark.read, schema).option("enforceSchema", not header)
+    df = reader.csv(path, sep=sep, header=header)
+    df = without_halves(df.select("*", source_name().alias(source_column)), schema)
+    df = missing_to_null(df, na_values, skip=[BROKEN, source_column])
+    dates = {c: parse_date(F.col(c), p) for c, p in (parse_dates or {}).items()}
+    return df.withColumns(dates) if dates else df
+
+
+def split_broken(df: DataFrame, source_column: str = "source_file") -> tuple[DataFrame, DataFrame]:
+    """Sound rows, and rejects: the file, the raw text and the reason of each broken line."""
+    sound = df.where(F.col(BROKEN).isNull()).drop(BROKEN)
+    broken = df.where(F.col(BROKEN).isNotNull()).select(
+        source_column, BROKEN, F.lit(BROKEN_REASON).alias("reject_reason")
+    )
+    return sound, broken
+
+
 def read_csv_optional(
     spark: SparkSession, path: str, schema: T.StructType, **options: Any
 ) -> DataFrame:
@@ -131,19 +199,26 @@ def read_many(
     file_format: str = "csv",
     source_column: str | None = "source_file",
     key_column: str | None = None,
+    keep_broken: bool = False,
 ) -> DataFrame:
     """All files matching the pattern as one table, with the name of each row's file.
 
     Blank text in CSV becomes NULL, as in ``read_csv``. ``key_column`` adds a hash of the file's
-    whole path, which tells files of one name apart.
+    whole path, which tells files of one name apart. ``keep_broken`` adds the text of CSV lines
+    that do not fit the schema, as ``read_csv_checked`` does.
     """
-    reader = spark.read.schema(schema).format(file_format)
+    if keep_broken and file_format != "csv":
+        raise ValueError("only CSV has broken lines")
+    reader = keeping_broken(spark.read, schema) if keep_broken else spark.read.schema(schema)
+    reader = reader.format(file_format)
     if file_format == "csv":
         reader = reader.option("header", True).option("enforceSchema", False)
     df = reader.load(pattern)
     made = {source_column: source_name(), key_column: F.md5(source_path())}
     df = df.select("*", *[c.alias(name) for name, c in made.items() if name])
-    return missing_to_null(df, skip=list(made)) if file_format == "csv" else df
+    if keep_broken:
+        df = without_halves(df, schema)
+    return missing_to_null(df, skip=[*made, BROKEN]) if file_format == "csv" else df
 
 
 def file_inventory(spark: SparkSession, pattern: str | list[str]) -> DataFrame:

@@ -2,38 +2,55 @@
 
 ``availableNow`` works through what has arrived in batches of whole files and stops; the
 checkpoint remembers the files. A failed batch is run again under the same id with the same files,
-so each batch overwrites only partitions it owns.
+so each batch overwrites only the folder it owns.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillsift.operators.quality import FAILED, Rules, flag_valid
+from quillsift.operators.quality import FAILED, OK, Rules, flag_valid
 from quillsift.plans.staging import STATUS, validity_status
-from quillsift.sources.readers import missing_to_null, source_name, source_path
+from quillsift.schemas import CHUNKS
+from quillsift.sources.readers import (
+    BROKEN,
+    BROKEN_REASON,
+    keeping_broken,
+    missing_to_null,
+    source_name,
+    source_path,
+    with_broken,
+    without_halves,
+)
 from quillsift.sources.snapshots import read_stored
-from quillsift.streaming.ledger import KEY, SOURCE
+from quillsift.streaming.ledger import BATCH, KEY, SOURCE
 
-BATCH = "batch_id"
+CHUNK = "batch_id"
 
 
 def _file_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    files_per_batch: int,
+    bytes_per_batch: int | None,
 ) -> DataFrame:
-    rows = (
-        spark.readStream.schema(schema)
+    """Rows of arriving files with their file's name and key, and lines that are broken."""
+    reader = (
+        keeping_broken(spark.readStream, schema)
         .option("header", True)
         .option("enforceSchema", False)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
     )
-    named = rows.select(
-        "*", source_name().alias(SOURCE), F.md5(source_path()).alias(KEY)
-    )
-    return missing_to_null(named, skip=[SOURCE, KEY])
+    # The file source takes one of the two limits.
+    if bytes_per_batch is None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    else:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    rows = without_halves(reader.csv(folder), schema)
+    named = rows.select("*", source_name().alias(SOURCE), F.md5(source_path()).alias(KEY))
+    return missing_to_null(named, skip=[BROKEN, SOURCE, KEY])
 
 
 def _run_available(stream: DataFrame, write, checkpoint: str) -> None:
@@ -46,27 +63,24 @@ def _run_available(stream: DataFrame, write, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _overwrite_partitions(batch: DataFrame, path: str, by: list[str]) -> None:
-    (
-        batch.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-
-
 def file_ledger_stream(
     spark: SparkSession,
     folder: str,
     schema: T.StructType,
     target: str,
     checkpoint: str,
-    files_per_batch: int = 1000,
+    files_per_batch: int = 10_000,
+    bytes_per_batch: int | None = None,
 ) -> None:
-    """Load every file of the folder once; files own the partition named after their path's hash,
-    so that files of one name in several folders do not overwrite each other."""
-    stream = _file_stream(spark, folder, schema, files_per_batch)
-    _run_available(stream, lambda batch, _: _overwrite_partitions(batch, target, [KEY]), checkpoint)
+    """Load every file of the folder once, a folder per batch; rows keep the key of their file's
+    path, which tells files of one name apart. ``bytes_per_batch`` bounds a batch by the size of its
+    files instead of their number."""
+    stream = _file_stream(spark, folder, schema, files_per_batch, bytes_per_batch)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/{BATCH}={batch_id}")
+
+    _run_available(stream, write, checkpoint)
 
 
 def chunked_load(
@@ -76,36 +90,64 @@ def chunked_load(
     rules: Rules,
     target: str,
     checkpoint: str,
-    files_per_batch: int = 1000,
+    files_per_batch: int = 10_000,
+    log: str | None = None,
+    bytes_per_batch: int | None = None,
 ) -> DataFrame:
-    """Validate and load arriving files batch by batch; returns the loaded table.
+    """Validate and load arriving files chunk by chunk; returns the loaded table.
+
+    Valid and rejected rows are written in one pass, kept apart by ``row_status``; a line that does
+    not fit the schema is rejected with its text. Rows of a chunk stay in its own folder, so running
+    it again replaces them.
 
-    Valid and rejected rows are written in one pass, kept apart by ``row_status``. Rows of a batch
-    stay in its own partition, so running it again replaces them.
+    ``log`` gets one row per chunk, see :func:`chunk_log`. Its counts are metrics observed in the
+    write itself, which has no shuffle: each task's rows count once, when it succeeds. A chunk that
+    is run again replaces its row.
     """
-    stream = _file_stream(spark, folder, schema, files_per_batch).drop(KEY)
+    stream = _file_stream(spark, folder, schema, files_per_batch, bytes_per_batch).drop(KEY)
+    sound = F.col(BROKEN).isNull()
+    judged = flag_valid(stream, rules)
+    judged = judged.withColumns(
+        {
+            OK: F.col(OK) & sound,
+            FAILED: F.when(sound, F.col(FAILED)).otherwise(F.array(F.lit(BROKEN_REASON))),
+        }
+    )
+    flagged = judged.withColumn(STATUS, validity_status()).drop(OK)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        flagged = flag_valid(batch, rules).withColumn(STATUS, validity_status())
-        rows = flagged.drop("is_valid").withColumn(BATCH, F.lit(batch_id))
-        _overwrite_partitions(rows, target, [BATCH, STATUS])
-
-    _run_available(stream, write, checkpoint)
-    stored = T.StructType(
-        [
-            *stream.schema.fields,
-            T.StructField(FAILED, T.ArrayType(T.StringType())),
-            T.StructField(BATCH, T.LongType()),
-            T.StructField(STATUS, T.StringType()),
-        ]
-    )
-    return read_stored(spark, target, stored)
+        seen = Observation()
+        valid = F.count_if(F.col(STATUS) == "valid")
+        observed = batch.observe(seen, F.count(F.lit(1)).alias("rows"), valid.alias("valid"))
+        observed.write.mode("overwrite").partitionBy(STATUS).parquet(f"{target}/{CHUNK}={batch_id}")
+        if log is not None:
+            rows, good = seen.get["rows"], seen.get["valid"]
+            entry = spark.createDataFrame([(batch_id, rows, good, rows - good)], CHUNKS)
+            entry.drop(CHUNK).coalesce(1).write.mode("overwrite").parquet(f"{log}/{CHUNK}={batch_id}")
+
+    _run_available(flagged, write, checkpoint)
+    extra = [
+        T.StructField(SOURCE, T.StringType()),
+        T.StructField(FAILED, T.ArrayType(T.StringType())),
+        T.StructField(CHUNK, T.LongType()),
+        T.StructField(STATUS, T.StringType()),
+    ]
+    return read_stored(spark, target, T.StructType([*with_broken(schema).fields, *extra]))
 
 
 def chunk_counts(loaded: DataFrame) -> DataFrame:
     """Chunks and their valid and rejected rows, from the partition names alone."""
     return loaded.agg(
-        F.count_distinct(BATCH).alias("chunks"),
+        F.count_distinct(CHUNK).alias("chunks"),
         F.count_if(F.col(STATUS) == "valid").alias("valid_rows"),
         F.count_if(F.col(STATUS) == "rejected").alias("rejected_rows"),
     )
+
+
+def chunk_log(spark: SparkSession, log: str) -> DataFrame:
+    """Each chunk's rows, valid and rejected rows, and the running totals up to it."""
+    entries = read_stored(spark, log, CHUNKS)
+    # One row per chunk, whatever its size.
+    upto = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = {f"total_{c}": F.sum(c).over(upto) for c in CHUNKS.fieldNames()[1:]}
+    return entries.withColumns(totals)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsift.operators.audit import Run
@@ -21,7 +21,7 @@ from quillsift.schemas import SALES_RAW
 from quillsift.session import run_folder
 from quillsift.sources.snapshots import upsert_partitions
 from quillsift.sources.writers import write_csv
-from quillsift.streaming.file_stream import chunk_counts, chunked_load, file_ledger_stream
+from quillsift.streaming.file_stream import chunk_log, chunked_load, file_ledger_stream
 from quillsift.streaming.ledger import file_ledger, read_ledger, read_loaded
 from quillsift.workload import inputs
 from quillsift.workload.cleaning import (
@@ -377,14 +377,40 @@ def _upsert_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files -------------------------------------------------------------------------------------
 
 
-def _as_files(spark: SparkSession, sf_dir: str, folder: str) -> int:
-    """The product feed as CSV files of the sales schema, one per core; returns their number."""
-    feed = inputs.product_sales_raw(spark, sf_dir).select(*SALES_RAW.fieldNames())
-    files = spark.sparkContext.defaultParallelism
-    write_csv(feed.repartition(files), folder)
-    return files
+def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.product_sales_raw(spark, sf_dir).select(*SALES_RAW.fieldNames())
 
 
+#: The feed as files: one folder and file per remainder of the order id, so that what is in a file
+#: does not depend on the cluster.
+_FILES = 8
+
+
+def _as_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The feed as CSV files of the sales schema, in folders f=0 to f=7; some lines are broken: those of
+    order ids that leave 5 by 97 have lost their last field, and those that leave 9 have one more."""
+    number = F.pmod("order_id", F.lit(_FILES)).cast("int")
+    columns = [F.col(c).cast("string") for c in SALES_RAW.fieldNames()]
+    rest = F.col("order_id") % 97
+    kept = F.array(*[F.coalesce(c, F.lit("")) for c in columns])
+    fields = F.when(rest == 5, F.slice(kept, 1, len(columns) - 1))
+    fields = fields.when(rest == 9, F.concat(kept, F.array(F.lit("LOST")))).otherwise(kept)
+    lines = _feed(spark, sf_dir).select(
+        number.alias("f"), F.lit(1).alias("place"), F.array_join(fields, ",").alias("line")
+    )
+    header = F.lit(",".join(SALES_RAW.fieldNames()))
+    headers = spark.range(_FILES).select(
+        F.col("id").cast("int").alias("f"), F.lit(0).alias("place"), header.alias("line")
+    )
+    files = lines.unionByName(headers).repartition(_FILES, "f").sortWithinPartitions("f", "place")
+    files.select("f", "line").write.partitionBy("f").text(folder)
+
+
+_FILE_SQL = f"""(
+    SELECT *, CAST(order_id % {_FILES} AS VARCHAR) AS file, order_id % 97 IN (5, 9) AS broken,
+           COALESCE(quantity > 0 AND unit_price > 0, FALSE) AND order_id % 97 NOT IN (5, 9) AS ok
+    FROM product_sales_raw)"""
+
 _FEED_TOTALS = """SELECT count(*) AS row_count,
                          CAST(sum(CAST(quantity AS DECIMAL(15,3))) AS DOUBLE) AS quantity
                   FROM product_sales_raw"""
@@ -397,57 +423,116 @@ def _feed_totals(loaded: DataFrame) -> DataFrame:
     )
 
 
+def _file_number() -> Column:
+    """The number of an entry's file, from the folder it lies in."""
+    return F.regexp_extract("file_path", "/f=([0-9]+)/", 1)
+
+
 @query(
     "file_ledger",
-    f"""SELECT row_count, quantity, row_count AS ledger_rows, 0 AS second_run_files
-        FROM ({_FEED_TOTALS}) AS totals""",
+    f"""SELECT file, count(*) FILTER (WHERE NOT broken) AS rows_loaded,
+               count(*) FILTER (WHERE broken) AS rows_broken,
+               CASE WHEN CAST(file AS INTEGER) < 5 THEN 'run-1' ELSE 'run-2' END AS loaded_by,
+               0 AS third_run_files
+        FROM {_FILE_SQL} AS files GROUP BY file""",
     ["product_sales_raw"],
 )
 def _file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Loaded twice; the second run finds nothing to do."""
+    """Five files, then all eight, then all eight again: what each file's entry says."""
     folder = run_folder(spark, "file_ledger")
     _as_files(spark, sf_dir, f"{folder}/in")
-    arguments = (f"{folder}/in", SALES_RAW, f"{folder}/table", f"{folder}/ledger")
-    file_ledger(spark, *arguments, RUN)
-    again = file_ledger(spark, *arguments, NEXT_RUN).count()
-    ledger = read_ledger(spark, f"{folder}/ledger").agg(F.sum("rows_loaded"))
-    return _feed_totals(read_loaded(spark, f"{folder}/table", SALES_RAW)).select(
-        "*", ledger.scalar().alias("ledger_rows"), F.lit(again).alias("second_run_files")
+    first = [f"{folder}/in/f={n}" for n in range(5)]
+    arguments = (SALES_RAW, f"{folder}/table", f"{folder}/ledger")
+    file_ledger(spark, first, *arguments, RUN)
+    file_ledger(spark, f"{folder}/in", *arguments, NEXT_RUN)
+    third = file_ledger(spark, f"{folder}/in", *arguments, NEXT_RUN).count()
+    by = F.when(F.col("loaded_at") == RUN.stamp(), RUN.run_id).otherwise(NEXT_RUN.run_id)
+    return read_ledger(spark, f"{folder}/ledger").select(
+        _file_number().alias("file"),
+        "rows_loaded",
+        "rows_broken",
+        by.alias("loaded_by"),
+        F.lit(third).alias("third_run_files"),
     )
 
 
-@query("file_ledger_stream", _FEED_TOTALS, ["product_sales_raw"])
+_LOADED_SQL = f"""SELECT order_id, customer, product, quantity,
+                         CAST(unit_price AS DOUBLE) AS unit_price, order_date
+                  FROM {_FILE_SQL} AS files WHERE NOT broken"""
+
+
+def _shown(loaded: DataFrame) -> DataFrame:
+    # CSV writes and reads a blank product name without its outer blanks as it came.
+    return loaded.select(*SALES_RAW.fieldNames())
+
+
+@query("file_ledger_stream", _LOADED_SQL, ["product_sales_raw"])
 def _file_ledger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same as a stream of several batches, started twice."""
+    """The same as a stream of two batches, started twice: the rows that were loaded."""
     folder = run_folder(spark, "file_ledger_stream")
-    per_batch = max(1, _as_files(spark, sf_dir, f"{folder}/in") // 2)
+    _as_files(spark, sf_dir, f"{folder}/in")
     paths = (f"{folder}/table", f"{folder}/checkpoint")
     for _ in range(2):
-        file_ledger_stream(spark, f"{folder}/in", SALES_RAW, *paths, per_batch)
-    return _feed_totals(read_loaded(spark, f"{folder}/table", SALES_RAW))
+        file_ledger_stream(spark, f"{folder}/in/*", SALES_RAW, *paths, _FILES // 2)
+    return _shown(read_loaded(spark, f"{folder}/table", SALES_RAW))
 
 
 @query(
     "chunked_load",
-    """SELECT count(*) FILTER (WHERE ok) AS valid_rows,
-              count(*) FILTER (WHERE NOT ok) AS rejected_rows
-       FROM (SELECT COALESCE(quantity > 0 AND unit_price > 0, FALSE) AS ok
-             FROM product_sales_raw) AS judged""",
+    f"""SELECT chunk, rows, valid_rows, rejected_rows,
+               CAST(sum(rows) OVER (ORDER BY chunk) AS BIGINT) AS total_rows,
+               CAST(sum(valid_rows) OVER (ORDER BY chunk) AS BIGINT) AS total_valid_rows,
+               CAST(sum(rejected_rows) OVER (ORDER BY chunk) AS BIGINT) AS total_rejected_rows
+        FROM (SELECT CASE WHEN CAST(file AS INTEGER) < 5 THEN 0 ELSE 1 END AS chunk,
+                     count(*) AS rows, count(*) FILTER (WHERE ok) AS valid_rows,
+                     count(*) FILTER (WHERE NOT ok) AS rejected_rows
+              FROM {_FILE_SQL} AS files GROUP BY chunk) AS chunks""",
     ["product_sales_raw"],
 )
 def _chunked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two arrivals of files, and a third start that finds nothing: the log of the chunks."""
     folder = run_folder(spark, "chunked_load")
-    files = _as_files(spark, sf_dir, f"{folder}/in")
+    _as_files(spark, sf_dir, f"{folder}/all")
+    for part in ("[0-4]", "[5-7]", "[5-7]"):
+        chunked_load(
+            spark,
+            f"{folder}/all/f={part}",
+            SALES_RAW,
+            quantity_price_rules(),
+            f"{folder}/table",
+            f"{folder}/checkpoint",
+            log=f"{folder}/log",
+        )
+    log = chunk_log(spark, f"{folder}/log")
+    return log.withColumnRenamed("batch_id", "chunk")
+
+
+@query(
+    "chunked_load_rejects",
+    f"""SELECT reason, count(*) AS rejected_rows FROM (
+            SELECT unnest(CASE WHEN broken THEN ['line does not fit the schema']
+                ELSE list_filter([
+                    CASE WHEN NOT COALESCE(quantity > 0, FALSE) THEN 'quantity is not positive' END,
+                    CASE WHEN NOT COALESCE(unit_price > 0, FALSE) THEN 'unit_price is not positive' END
+                ], lambda r: r IS NOT NULL) END) AS reason
+            FROM {_FILE_SQL} AS files WHERE NOT ok) AS reasons
+        GROUP BY reason""",
+    ["product_sales_raw"],
+)
+def _chunked_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows of all chunks by the rules they failed, broken lines among them."""
+    folder = run_folder(spark, "chunked_load_rejects")
+    _as_files(spark, sf_dir, f"{folder}/in")
     loaded = chunked_load(
         spark,
-        f"{folder}/in",
+        f"{folder}/in/*",
         SALES_RAW,
         quantity_price_rules(),
         f"{folder}/table",
         f"{folder}/checkpoint",
-        max(1, files // 2),
     )
-    return chunk_counts(loaded).drop("chunks")
+    failed = loaded.where("row_status = 'rejected'").select(F.explode("failed_rules").alias("reason"))
+    return failed.groupBy("reason").agg(F.count("*").alias("rejected_rows"))
 
 
 @query(
@@ -458,7 +543,7 @@ def _chunked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _flow_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files arriving in two folders, the first offered again with the second."""
     folder = run_folder(spark, "files")
-    feed = inputs.product_sales_raw(spark, sf_dir).select(*SALES_RAW.fieldNames())
+    feed = _feed(spark, sf_dir)
     early = F.col("order_date") < "1998-01-01"
     write_csv(feed.where(early), f"{folder}/in/early")
     write_csv(feed.where(~F.coalesce(early, F.lit(False))), f"{folder}/in/late")

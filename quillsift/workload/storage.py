@@ -8,10 +8,12 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillsift.operators.ordering import union_ragged
 from quillsift.schemas import BIGINT, DATE, INT, MONEY, TEXT, schema
 from quillsift.session import run_folder
 from quillsift.sources import readers, tables, writers
 from quillsift.sources.generate import CUSTOMERS, PRODUCTS, gen_dirty_orders
+from quillsift.sources.snapshots import path_exists
 from quillsift.workload import inputs
 from quillsift.workload.registry import query
 
@@ -32,19 +34,19 @@ _ORDERS_SQL = """SELECT order_id, customer_id, status, CAST(amount AS DOUBLE) AS
 @query(
     "rows_to_df",
     """SELECT priority, weight, count(*) AS orders FROM orders_in
-       JOIN (VALUES ('1-URGENT', 5), ('2-HIGH', 3), ('5-LOW', 1)) AS w(level, weight)
+       LEFT JOIN (VALUES ('1-URGENT', 5), ('2-HIGH', 3), ('5-LOW', 1)) AS w(level, weight)
          ON priority = level
        GROUP BY priority, weight""",
     ["orders_in"],
 )
 def _rows_to_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A literal lookup given by columns, applied to all orders."""
+    """A literal lookup given by columns, applied to all orders; some levels have no weight."""
     weights = readers.rows_to_df(
         spark,
         {"priority": ["1-URGENT", "2-HIGH", "5-LOW"], "weight": [5, 3, 1]},
         schema(priority=TEXT, weight=INT),
     )
-    joined = inputs.orders(spark, sf_dir).join(weights, "priority")
+    joined = inputs.orders(spark, sf_dir).join(weights, "priority", "left")
     return joined.groupBy("priority", "weight").agg(F.count("*").alias("orders"))
 
 
@@ -69,6 +71,49 @@ def _read_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# One line in eleven lacks a field, one has a field too many, and one an amount that is no number.
+_LINES_SQL = """(
+    SELECT order_id, status, amount, order_id || ',' || customer_id || ',' || status
+           || CASE WHEN order_id % 11 = 1 THEN ''
+                   WHEN order_id % 11 = 3 THEN ',' || CAST(amount AS VARCHAR) || ',LOST'
+                   WHEN order_id % 11 = 6 THEN ',n/a'
+                   ELSE ',' || CAST(amount AS VARCHAR) END AS line,
+           order_id % 11 IN (1, 3, 6) AS broken
+    FROM orders_in)"""
+
+
+def _order_lines(orders: DataFrame) -> DataFrame:
+    rest = F.col("order_id") % 11
+    amount = F.col("amount").cast("string")
+    end = F.when(rest == 1, F.array()).when(rest == 3, F.array(amount, F.lit("LOST")))
+    end = end.when(rest == 6, F.array(F.lit("n/a"))).otherwise(F.array(amount))
+    start = F.concat_ws(",", "order_id", "customer_id", "status")
+    return orders.select(F.concat_ws(",", start, end).alias("value"))
+
+
+LINE_FIELDS = schema(order_id=BIGINT, customer_id=BIGINT, status=TEXT, amount=MONEY)
+
+
+@query(
+    "read_csv_checked",
+    f"""SELECT CASE WHEN NOT broken THEN order_id END AS order_id,
+               CASE WHEN NOT broken THEN status END AS status,
+               CASE WHEN NOT broken THEN CAST(amount AS DOUBLE) END AS amount,
+               CASE WHEN broken THEN line END AS raw_line,
+               CASE WHEN broken THEN 'line does not fit the schema' END AS reject_reason
+        FROM {_LINES_SQL} AS written""",
+    ["orders_in"],
+)
+def _read_csv_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of a feed, ragged and unparsable ones with their text and the reason."""
+    path = run_folder(spark, "read_csv_checked")
+    _order_lines(inputs.orders(spark, sf_dir)).write.text(path)
+    rows = readers.read_csv_checked(spark, path, LINE_FIELDS, header=False)
+    sound, broken = readers.split_broken(rows)
+    kept = broken.select(F.col("broken_line").alias("raw_line"), "reject_reason")
+    return union_ragged(sound.select("order_id", "status", "amount"), kept)
+
+
 @query("read_csv_optional", _ORDERS_SQL, ["orders_in"])
 def _read_csv_optional(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A file that is there, and one that is not."""
@@ -289,6 +334,26 @@ def _catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result
 
 
+@query(
+    "drop_table",
+    """SELECT status, count(*) AS row_count, FALSE AS still_there, TRUE AS files_left
+       FROM orders_in GROUP BY status""",
+    ["orders_in"],
+)
+def _drop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table dropped twice leaves the catalog; files at a path of their own stay."""
+    name, path = _fresh_name("gone"), run_folder(spark, "drop_table")
+    writers.save_table(inputs.orders(spark, sf_dir), name, "fail", path)
+    tables.drop_table(spark, name)
+    tables.drop_table(spark, name)
+    left = spark.read.parquet(path)
+    return left.groupBy("status").agg(
+        F.count("*").alias("row_count"),
+        F.lit(spark.catalog.tableExists(name)).alias("still_there"),
+        F.lit(path_exists(spark, path)).alias("files_left"),
+    )
+
+
 @query("read_table", _ORDERS_SQL, ["orders_in"])
 def _read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = _fresh_name("stored")
