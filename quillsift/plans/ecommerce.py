@@ -25,7 +25,7 @@ from quillsift.schemas import ECOMMERCE_CLEAN
 from quillsift.sources.snapshots import (
     append_distinct,
     append_rows,
-    distinct_schema,
+    read_distinct,
     read_stored,
 )
 
@@ -113,7 +113,7 @@ def ecommerce(spark: SparkSession, batch: DataFrame, store: str, stage_folder: s
     summary = run_summary(staged, loaded).withColumn("rows_extracted", F.lit(counts.extracted))
     return Ecommerce(
         stored,
-        read_stored(spark, rejected_path, distinct_schema(rejected.schema)),
+        read_distinct(spark, rejected_path, rejected.schema),
         report_category_clean(stored),
         summary,
         counts.skipped,

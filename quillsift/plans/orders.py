@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 from quillsift.functions import to_number
 from quillsift.operators.audit import Run, audit_columns
 from quillsift.operators.joins import join_left_flag
-from quillsift.operators.loads import Load, load_new_only, upsert_replace
+from quillsift.operators.loads import Load, load_new_only
 from quillsift.operators.ordering import union_ragged
 from quillsift.operators.quality import ORDER_REASON, required, validate
 from quillsift.plans.staging import STATUS, stage, with_status
-from quillsift.sources.snapshots import append_new, read_snapshot, write_snapshot
+from quillsift.sources.ranged import ROWS_PER_RANGE, read_ranged, upsert_ranged
+from quillsift.sources.snapshots import append_new
 from quillsift.streaming.ledger import file_ledger
 
 
@@ -64,15 +65,21 @@ def store_incremental(spark: SparkSession, path: str, batch: DataFrame) -> int:
 
 
 def upsert_audit(
-    spark: SparkSession, root: str, batch: DataFrame, source_file: str, run: Run
+    spark: SparkSession,
+    root: str,
+    batch: DataFrame,
+    source_file: str,
+    run: Run,
+    keep: int | None = 2,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """Stamp a batch with audit columns, upsert it by order id into the next snapshot, and
-    return that snapshot."""
+    """Stamp a batch with audit columns, upsert it by order id into the stored table, and return
+    that table. Only the ranges of ids that the batch touches are rewritten; the ``keep`` newest
+    states stay readable."""
     stamped = audit_columns(batch, run, source_file)
-    current = read_snapshot(spark, root, stamped.schema)
     order = [c for c in batch.columns if c != "order_id"]
-    folder = write_snapshot(upsert_replace(current, stamped, ["order_id"], order), root)
-    return spark.read.schema(stamped.schema).parquet(folder)
+    upsert_ranged(spark, root, stamped, ["order_id"], order, keep, rows_per_range)
+    return read_ranged(spark, root, stamped.schema)
 
 
 def files(

@@ -28,7 +28,7 @@ from quillsift.operators.quality import (
 )
 from quillsift.plans.staging import STATUS, run_summary, stage, validity_status, with_status
 from quillsift.schemas import SALES_REPORT_CLEAN
-from quillsift.sources.snapshots import append_distinct, append_new, distinct_schema, read_stored
+from quillsift.sources.snapshots import append_distinct, append_new, read_distinct, read_stored
 
 # The text columns of the sales feeds.
 TEXTS = ("customer", "region", "product", "product_category", "product_name")
@@ -101,8 +101,8 @@ def sales_report(
     """Validate, transform, add new orders to the stored tables, and report on all stored orders.
 
     Orders whose id is stored already are left alone. Rejects have no reliable id and are kept by
-    their whole content, each different one once with its number of copies. A rerun adds nothing
-    to either table.
+    their whole content, each different one once with its number of copies in all loads. A rerun
+    adds nothing to either table.
     """
     staged = stage(flagged_sales(raw), stage_folder)
     clean = transform_sales(with_status(staged, "valid")).withColumn("loaded_at", run.stamp())
@@ -113,7 +113,7 @@ def sales_report(
     stored = read_stored(spark, f"{store}/sales_clean", clean.schema)
     return SalesReport(
         stored,
-        read_stored(spark, f"{store}/sales_rejected", distinct_schema(rejected.schema)),
+        read_distinct(spark, f"{store}/sales_rejected", rejected.schema),
         report_by_category(stored),
         report_by_region(stored),
         top_k_spend(stored),

@@ -5,6 +5,7 @@ A path is never overwritten by a plan that reads it.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Sequence
 
@@ -15,10 +16,11 @@ from pyspark.sql import types as T
 from quillsift.operators.dedup import dedup_keep_first
 from quillsift.operators.joins import anti_join_new
 from quillsift.operators.loads import upsert_replace
+from quillsift.sources import key_index
 from quillsift.sources.readers import empty_table
 
 _VERSION = "version="
-LOAD = "load"
+LOAD, REJECT_LOAD = "load", "reject_load"
 CONTENT, COPIES = "content_key", "copies"
 
 
@@ -78,15 +80,19 @@ def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
-def append_rows(spark: SparkSession, path: str, rows: DataFrame) -> int:
+def append_rows(
+    spark: SparkSession, path: str, rows: DataFrame, key: Sequence[str] = ()
+) -> int:
     """Append rows known to be new and return how many were written.
 
     Each load gets a folder of its own below the table, so that counting what was written reads
-    the footers of the new files and not of the whole table.
+    the footers of the new files and not of the whole table. With ``key`` the load is entered in
+    the table's key index.
     """
     folder = f"{path}/{LOAD}={uuid.uuid4().hex}"
     rows.write.mode("errorifexists").parquet(folder)
-    return spark.read.schema(rows.schema).parquet(folder).count()
+    written = spark.read.schema(rows.schema).parquet(folder)
+    return key_index.enter(path, folder, written, key) if key else written.count()
 
 
 def keyed(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -105,10 +111,15 @@ def distinct_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, *extra])
 
 
-def append_distinct(spark: SparkSession, path: str, rows: DataFrame) -> int:
-    """Append the rows whose content the stored table lacks, each different one once.
+def append_distinct(
+    spark: SparkSession, path: str, rows: DataFrame, load_id: str | None = None
+) -> int:
+    """Store the different rows of a load, each once with its number of copies in the load.
 
-    Missing values equal each other. ``copies`` says how often the load held the row.
+    A load owns the folder named after its id and overwrites it, so that a rerun counts nothing
+    twice, while copies in other loads add up (see ``read_distinct``). Without an id a load is known
+    by what it holds: the same rows, as often as before, are the same load. Nothing stored is read.
+    Returns how many different rows the load has; missing values equal each other.
     """
     kept = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
     counted = (
@@ -116,7 +127,21 @@ def append_distinct(spark: SparkSession, path: str, rows: DataFrame) -> int:
         .groupBy(*rows.columns, CONTENT)
         .agg(F.count(F.lit(1)).alias(COPIES))
     )
-    return append_new(spark, path, counted, [CONTENT])
+    if load_id is None:
+        # A sum over hashes is the same in any order; two of them leave no room for chance.
+        parts = [F.xxhash64(CONTENT, COPIES, F.lit(salt)).cast("decimal(38,0)") for salt in (1, 2)]
+        found = counted.agg(F.count(F.lit(1)), *[F.sum(p) for p in parts]).first()
+        load_id = "-".join(str(v) for v in found)
+    folder = f"{path}/{REJECT_LOAD}={hashlib.md5(load_id.encode()).hexdigest()}"
+    counted.write.mode("overwrite").parquet(folder)
+    return spark.read.schema(counted.schema).parquet(folder).count()
+
+
+def read_distinct(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Every different row kept by ``append_distinct``, with its copies in all loads together."""
+    stored = read_stored(spark, path, distinct_schema(schema))
+    columns = [*schema.fieldNames(), CONTENT]
+    return stored.groupBy(*columns).agg(F.sum(COPIES).alias(COPIES))
 
 
 def append_new(
@@ -134,8 +159,25 @@ def append_new(
     """
     incoming = keyed(incoming, key)
     unique = dedup_keep_first(incoming, key, order) if order else incoming
-    stored = read_stored(spark, path, incoming.schema)
-    return append_rows(spark, path, anti_join_new(unique, stored, key, incoming))
+    stored = read_candidates(spark, path, incoming, key)
+    return append_rows(spark, path, anti_join_new(unique, stored, key, incoming), key)
+
+
+def read_candidates(
+    spark: SparkSession, path: str, incoming: DataFrame, key: Sequence[str]
+) -> DataFrame:
+    """The loads of a stored table that may hold a key of ``incoming``, by the table's key index.
+
+    Other loads are not read. Loads without an entry, as after a crash, always are.
+    """
+    loads = _names(spark, f"{path}/{LOAD}=*")
+    ruled_out = key_index.without_candidates(spark, path, incoming, key) if loads else set()
+    folders = [f for f in loads if f.rsplit("/", 1)[-1] not in ruled_out]
+    if not folders:
+        return empty_table(spark, incoming.schema)
+    # Folder names are the table's own, so none of them is a pattern.
+    stored = spark.read.schema(incoming.schema).option("basePath", path).parquet(*folders)
+    return stored.select(*incoming.columns)
 
 
 def stage_upsert(

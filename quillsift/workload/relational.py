@@ -580,6 +580,43 @@ def _agg_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.agg_median(inputs.lines(spark, sf_dir), ["supplier_id"], "price")
 
 
+# Doubles with all bits of the mantissa in use.
+_RATES_SQL = """(SELECT l_orderkey AS order_id, l_linenumber AS line, l_partkey AS part_id,
+                        l_suppkey AS supplier_id, l_extendedprice / 7.0::DOUBLE AS rate
+                 FROM lineitem)"""
+
+
+def _rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_partkey").alias("part_id"),
+        F.col("l_suppkey").alias("supplier_id"),
+        (F.col("l_extendedprice").cast("double") / 7.0).alias("rate"),
+    )
+
+
+@query(
+    "agg_median_double",
+    f"""SELECT supplier_id, round(median(rate), 6) AS median
+        FROM {_RATES_SQL} AS rates GROUP BY supplier_id""",
+)
+def _agg_median_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    medians = aggregates.agg_median(_rates(spark, sf_dir), ["supplier_id"], "rate")
+    return medians.withColumn("median", F.round("median", 6))
+
+
+@query(
+    "window_rank_avg_double",
+    f"""SELECT order_id, line, part_id, supplier_id, rate,
+               rank() OVER (PARTITION BY supplier_id ORDER BY rate)
+               + (count(*) OVER (PARTITION BY supplier_id, rate) - 1) / 2.0::DOUBLE AS rank
+        FROM {_RATES_SQL} AS rates""",
+)
+def _window_rank_avg_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.window_rank_avg(_rates(spark, sf_dir), ["supplier_id"], "rate")
+
+
 @query(
     "exact_median",
     "SELECT round(median(CAST(amount AS DOUBLE)), 3) AS median FROM orders_in",
