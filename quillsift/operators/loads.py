@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 
 from quillsift.operators.dedup import dedup_keep_first
 from quillsift.operators.filters import holds
-from quillsift.operators.joins import anti_join_new, semi_join_skipped
+from quillsift.operators.joins import (
+    anti_join_new,
+    join_left_flag,
+    matched_keys,
+    semi_join_skipped,
+    splittable,
+)
 
 _HIT = "_change_row"
+COPIES, KNOWN = "key_copies", "is_known"
 
 
 class Load(NamedTuple):
@@ -55,6 +62,31 @@ def load_counts(load: Load, incoming: DataFrame) -> DataFrame:
     )
 
 
+def keys_of_load(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Each different key of ``incoming`` with its ``copies`` and whether the target holds it
+    (``is_known``).
+
+    Copies are counted before anything is joined, so that a key with very many is one row; the keys
+    alone are matched with the target, which is read once.
+    """
+    keys = incoming.groupBy(*key).agg(F.count(F.lit(1)).alias(COPIES))
+    known = splittable(matched_keys(keys, target, key)).distinct()
+    return join_left_flag(keys, known, key, KNOWN)
+
+
+def counts_of_keys(keys: DataFrame) -> DataFrame:
+    """What a load of new keys does, from ``keys_of_load`` alone: incoming, added and skipped rows,
+    and copies dropped within the batch."""
+    copies, new = F.col(COPIES), ~F.col(KNOWN)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return keys.agg(
+        total(copies).alias("incoming_rows"),
+        F.count_if(new).alias("added_rows"),
+        total(F.when(~new, copies)).alias("skipped_rows"),
+        total(F.when(new, copies - 1)).alias("duplicate_rows"),
+    )
+
+
 def upsert_replace(
     target: DataFrame, incoming: DataFrame, key: Sequence[str], latest: Sequence[str]
 ) -> DataFrame:

@@ -91,6 +91,29 @@ def validate(df: DataFrame, rules: Rules, reason: str) -> tuple[DataFrame, DataF
     return valid, reject_reason(rejected, reason).select(*df.columns, REASON, FAILED)
 
 
+def routed(df: DataFrame, rules: Rules, status: str = "row_status") -> DataFrame:
+    """Every row once, with the rules it failed and its status: valid or rejected.
+
+    Where both parts go on, this reads the input once; ``validate`` reads it for each of them.
+    """
+    judged = df.withColumn(FAILED, failures(rules))
+    return judged.withColumn(status, F.when(F.size(FAILED) == 0, "valid").otherwise("rejected"))
+
+
+def reconcile_routed(
+    rows: DataFrame, parts: Sequence[str], status: str = "row_status"
+) -> DataFrame:
+    """``reconcile`` for parts that are told apart by a status: one pass over the rows. A row whose
+    status is none of the parts, or missing, leaves the result unbalanced."""
+    counts = {p: F.count_if(F.col(status) == p) for p in parts}
+    source = F.count(F.lit(1))
+    return rows.agg(
+        source.alias("source_rows"),
+        *[c.alias(f"{p}_rows") for p, c in counts.items()],
+        (source == reduce(Column.__add__, counts.values())).alias("balanced"),
+    )
+
+
 def status_counts(flagged: DataFrame) -> DataFrame:
     """Source, valid and rejected rows of a flagged table, counted in one pass."""
     source = F.count(F.lit(1))

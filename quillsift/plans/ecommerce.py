@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from quillsift.functions import clean_amount, clean_quantity, clean_text, parse_mixed_dates
 from quillsift.operators.aggregates import report_category_clean
 from quillsift.operators.dedup import dedup_keep_first
-from quillsift.operators.joins import anti_join_new, join_left_flag, matched_keys, splittable
+from quillsift.operators.joins import splittable
+from quillsift.operators.loads import COPIES, KNOWN, keys_of_load
 from quillsift.operators.projections import project_ordered
 from quillsift.operators.quality import (
     FAILED,
@@ -25,6 +26,7 @@ from quillsift.schemas import ECOMMERCE_CLEAN
 from quillsift.sources.snapshots import (
     append_distinct,
     append_rows,
+    read_candidates,
     read_distinct,
     read_stored,
 )
@@ -62,23 +64,37 @@ def batch_order(df: DataFrame) -> list[Column]:
     return [F.asc_nulls_last(c) for c in df.columns if c != "order_id"]
 
 
-def new_orders(batch: DataFrame, stored: DataFrame) -> DataFrame:
-    """Rows of unknown order ids, one per id, with typed columns and validity."""
-    # Copies go first: a resent order with very many copies then joins as one row.
+def routed_orders(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """One row per order id of the batch, with its status: known (stored already), valid or
+    rejected; and its copies in the batch.
+
+    The first copy of an order counts. A known order keeps its id only. Rows without an id are no
+    copies of each other: each of them is judged, and rejected.
+    """
     has_id = F.col("order_id").isNotNull()
-    unique = dedup_keep_first(batch.where(has_id), ["order_id"], batch_order(batch))
-    fresh = anti_join_new(unique, stored, ["order_id"], keys_from=batch)
-    # Rows without an id are no copies of each other: each of them is judged, and rejected.
-    rows = fresh.select(*batch.columns).unionByName(batch.where(~has_id))
-    return flag_valid(clean_numbers(rows), ecommerce_rules())
-
-
-def batch_counts(batch: DataFrame, stored: DataFrame) -> Row:
-    """Rows of the batch, and those of them whose order is stored already."""
-    known = splittable(matched_keys(batch, stored, ["order_id"]))
-    flagged = join_left_flag(batch.select("order_id"), known, ["order_id"], "is_known")
-    return flagged.agg(
-        F.count("*").alias("extracted"), F.count_if("is_known").alias("skipped")
+    with_id = batch.where(has_id)
+    # Copies go first: a resent order with very many copies then joins as one row.
+    unique = dedup_keep_first(with_id, ["order_id"], batch_order(batch))
+    keys = keys_of_load(stored, with_id.select("order_id"), ["order_id"])
+    marked = unique.join(splittable(keys), "order_id")
+    alone = {COPIES: F.lit(1).cast("bigint"), KNOWN: F.lit(False)}
+    rows = marked.unionByName(batch.where(~has_id).withColumns(alone))
+    judged = flag_valid(clean_numbers(rows), ecommerce_rules())
+    status = F.when(F.col(KNOWN), "known").otherwise(validity_status())
+    kept = {
+        c: F.when(~F.col(KNOWN), F.col(c)) for c in [*batch.columns, FAILED] if c != "order_id"
+    }
+    return judged.withColumns(kept).withColumn(STATUS, status).drop(OK, KNOWN)
+
+
+def batch_counts(staged: DataFrame) -> Row:
+    """Rows of the batch, of orders that were stored already, and copies dropped from it."""
+    copies, known = F.col(COPIES), F.col(STATUS) == "known"
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    return staged.agg(
+        total(copies).alias("extracted"),
+        total(F.when(known, copies)).alias("skipped"),
+        total(F.when(~known, copies - 1)).alias("duplicates"),
     ).head()
 
 
@@ -94,20 +110,18 @@ class Ecommerce(NamedTuple):
 def ecommerce(spark: SparkSession, batch: DataFrame, store: str, stage_folder: str) -> Ecommerce:
     """Load one batch: skip known ids, drop copies, clean, validate, append, report.
 
-    Rejected rows are kept by their content, so that a rerun does not store them again.
+    The batch is routed once, and everything else is read from what that wrote. Rejected rows are
+    kept by their content, so that a rerun does not store them again.
     """
     clean_path, rejected_path = f"{store}/ecommerce_clean", f"{store}/ecommerce_rejected"
-    known = read_stored(spark, clean_path, ECOMMERCE_CLEAN)
-    staged = stage(
-        new_orders(batch, known).withColumn(STATUS, validity_status()).drop(OK), stage_folder
-    )
-    clean = transform_ecommerce(with_status(staged, "valid").drop(FAILED))
-    rejected = reject_reason(with_status(staged, "rejected"), ORDER_REASON)
+    known = read_candidates(spark, clean_path, batch.select("order_id"), ["order_id"])
+    staged = stage(routed_orders(batch, known), stage_folder)
+    clean = transform_ecommerce(with_status(staged, "valid").drop(FAILED, COPIES))
+    rejected = reject_reason(with_status(staged, "rejected").drop(COPIES), ORDER_REASON)
 
-    # Counted before the load, while the stored table is still the one the batch was checked with.
-    counts = batch_counts(batch, known)
+    counts = batch_counts(staged)
     # The stage holds new ids only, each once.
-    loaded = append_rows(spark, clean_path, clean)
+    loaded = append_rows(spark, clean_path, clean, ["order_id"])
     append_distinct(spark, rejected_path, rejected)
     stored = read_stored(spark, clean_path, ECOMMERCE_CLEAN)
     summary = run_summary(staged, loaded).withColumn("rows_extracted", F.lit(counts.extracted))
@@ -117,5 +131,5 @@ def ecommerce(spark: SparkSession, batch: DataFrame, store: str, stage_folder: s
         report_category_clean(stored),
         summary,
         counts.skipped,
-        counts.extracted - counts.skipped - staged.count(),
+        counts.duplicates,
     )

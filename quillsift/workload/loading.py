@@ -94,8 +94,30 @@ ECOMMERCE_RULES_SQL = (
     ["ecommerce_raw"],
 )
 def _validate_ecommerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both parts from one pass; ``_valid_orders`` reads the same rules as filters."""
     cleaned = clean_numbers(inputs.ecommerce_raw(spark, sf_dir))
-    return _both_parts(*quality.validate_ecommerce(cleaned), ["order_id", "order_status"])
+    rows = quality.routed(cleaned, quality.ecommerce_rules(), "part")
+    failed = F.concat_ws("; ", quality.FAILED).alias("failed")
+    return rows.select("order_id", "order_status", "part", failed)
+
+
+@query(
+    "validate_ecommerce_parts",
+    f"""SELECT CASE WHEN failed = '' THEN 'valid' ELSE 'rejected' END AS part, order_status,
+               count(*) AS row_count
+        FROM (SELECT order_status, {_failed_sql(*ECOMMERCE_RULES_SQL)} AS failed
+              FROM {CLEAN_ECOMMERCE_SQL} AS cleaned) AS judged
+        GROUP BY part, order_status""",
+    ["ecommerce_raw"],
+)
+def _validate_ecommerce_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid and rejected rows as two tables."""
+    valid, rejected = quality.validate_ecommerce(clean_numbers(inputs.ecommerce_raw(spark, sf_dir)))
+    parts = {"valid": valid, "rejected": rejected}
+    both = [df.select(F.lit(n).alias("part"), "order_status") for n, df in parts.items()]
+    return both[0].unionByName(both[1]).groupBy("part", "order_status").agg(
+        F.count("*").alias("row_count")
+    )
 
 
 @query(
@@ -138,9 +160,8 @@ def _quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     ["sales_raw"],
 )
 def _reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = inputs.sales_raw(spark, sf_dir)
-    valid, rejected = quality.validate_sales(sales)
-    return quality.reconcile(sales, valid=valid, rejected=rejected)
+    rows = quality.routed(inputs.sales_raw(spark, sf_dir), quality.sales_rules())
+    return quality.reconcile_routed(rows, ["valid", "rejected"])
 
 
 # --- audit -------------------------------------------------------------------------------------
@@ -254,8 +275,8 @@ def _load_do_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     incoming = _repeated(spark, sf_dir)
-    load = loads.load_new_only(stored_orders(spark, sf_dir), incoming, ["order_id"], _ORDER)
-    return loads.load_counts(load, incoming)
+    keys = loads.keys_of_load(stored_orders(spark, sf_dir), incoming, ["order_id"])
+    return loads.counts_of_keys(keys)
 
 
 def _changed(spark: SparkSession, sf_dir: str) -> DataFrame:

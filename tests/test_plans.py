@@ -9,6 +9,7 @@ from compare import plan_of
 from pyspark.sql import functions as F
 
 import __spark_entry__ as wiring
+from quillsift.operators import loads, quality
 from quillsift.operators.dedup import dedup_keep_first
 from quillsift.operators.joins import anti_join_new, join_left_flag, semi_join_skipped
 from quillsift.operators.loads import upsert_replace
@@ -92,3 +93,40 @@ def test_joins_split_a_hot_key(spark, folder, tiny_skew_limits):
     for name, (joined, rows) in joins.items():
         assert len(joined.collect()) == rows, name
         assert "skew=true" in plan_of(joined), name
+
+
+def scans(df):
+    """Scans of the plan as it is before it runs, so that none is hidden behind a reused exchange."""
+    return df._jdf.queryExecution().sparkPlan().toString().count("FileScan")
+
+
+@pytest.fixture
+def feed(spark, folder):
+    rows = spark.range(1000).selectExpr("id AS k", "id % 7 AS v", "IF(id % 5 = 0, NULL, id) AS w")
+    rows.write.parquet(f"{folder}/feed")
+    return spark.read.parquet(f"{folder}/feed")
+
+
+def test_counts_by_status_read_the_input_once(spark, feed):
+    rows = quality.routed(feed, {"w is missing": F.col("w").isNotNull(), "v is zero": F.col("v") != 0})
+    check = quality.reconcile_routed(rows, ["valid", "rejected"])
+    assert scans(check) == 1 and "Exchange" in plan_of(check)
+    r = check.head()
+    assert (r.source_rows, r.valid_rows + r.rejected_rows, r.balanced) == (1000, 1000, True)
+    assert not quality.reconcile_routed(rows, ["valid"]).head().balanced
+    lost = rows.withColumn("row_status", F.when(F.col("k") != 3, F.col("row_status")))
+    assert not quality.reconcile_routed(lost, ["valid", "rejected"]).head().balanced
+
+
+def test_counts_of_a_load_need_keys_only(spark, feed, folder):
+    feed.where("k < 300").write.parquet(f"{folder}/target")
+    target = spark.read.parquet(f"{folder}/target")
+    batch = feed.where("k >= 200").unionByName(feed.where("k >= 900"))
+    counts = loads.counts_of_keys(loads.keys_of_load(target, batch, ["k"]))
+    assert tuple(counts.head()) == (900, 700, 100, 100)
+    one = loads.counts_of_keys(loads.keys_of_load(target, feed, ["k"]))
+    # The target once, the batch's keys for the match and for the counts.
+    assert scans(one) == 3
+    for line in one._jdf.queryExecution().sparkPlan().toString().splitlines():
+        assert "FileScan" not in line or "ReadSchema: struct<k:bigint>" in line
+    assert tuple(loads.counts_of_keys(loads.keys_of_load(target, feed.limit(0), ["k"])).head()) == (0, 0, 0, 0)
