@@ -116,10 +116,9 @@ def without_halves(df: DataFrame, schema: T.StructType) -> DataFrame:
     # Spark parses the columns that a query uses, and a field that is not parsed breaks no line. So
     # the text is tied to all of them, though it is the raw text whatever they hold.
     empty = reduce(Column.__and__, [F.col(c).isNull() for c in names])
-    text = F.when(F.col(_RAW).isNotNull() | empty, F.col(_RAW)).alias(BROKEN)
-    sound = F.col(_RAW).isNull()
-    halves = {c: F.when(sound, F.col(c)).alias(c) for c in names}
-    return df.select(*[text if c == _RAW else halves.get(c, F.col(c)) for c in df.columns])
+    text = F.when(F.col(_RAW).isNotNull() | empty, F.col(_RAW))
+    halves = {c: F.when(text.isNull(), F.col(c)).alias(c) for c in names}
+    return df.select(*[text.alias(BROKEN) if c == _RAW else halves.get(c, F.col(c)) for c in df.columns])
 
 
 def read_csv_checked(
@@ -185,6 +184,72 @@ def read_json_nested(
     return spark.read.schema(document).json(path, multiLine=not lines).select(F.inline(key))
 
 
+def _typed_records(texts: DataFrame, schema: T.StructType, source_column: str) -> DataFrame:
+    """The records of ``record`` by the schema; a text that is no record, or has a value that its
+    column cannot hold, stands in ``broken_line`` and has no values."""
+    whole = T.StructType([*schema.fields, T.StructField(_RAW, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _RAW}
+    parsed = texts.withColumn("typed", F.from_json("record", whole, options))
+    # A text that is no object at all gives no struct.
+    raw = F.when(F.col("typed").isNull(), F.col("record")).otherwise(F.col(f"typed.{_RAW}"))
+    values = [F.when(raw.isNull(), F.col("typed")[c]).alias(c) for c in schema.fieldNames()]
+    return parsed.select(*values, raw.alias(BROKEN), source_column)
+
+
+def read_json_checked(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    key: str | None = None,
+    source_column: str = "source_file",
+) -> DataFrame:
+    """Records of JSON documents that are arrays, or hold one under ``key``; none is lost.
+
+    A record that is broken has its text in ``broken_line``, and the others of its document are read
+    all the same: a document that is no JSON as a whole is cut between its records, at a comma
+    between a closing and an opening brace. So a broken record must not hold records itself. A
+    document without any record that can be told is one broken line.
+
+    A document is one value of one task, so it has to fit there; see :func:`read_json_split`.
+    """
+    documents = spark.read.text(path, wholetext=True).select("value", source_name().alias(source_column))
+    kind = "array<string>" if key is None else f"struct<`{key}`: array<string>>"
+    parsed = F.from_json("value", kind)
+    found = parsed if key is None else parsed[key]
+    if key is None:
+        body = F.regexp_extract("value", r"(?s)^\s*\[(.*)\]\s*$", 1)
+    else:
+        body = F.regexp_extract("value", rf'(?s)"{re.escape(key)}"\s*:\s*\[(.*)\]', 1)
+    body = F.when(F.trim(body) == "", F.col("value")).otherwise(body)
+    cut = F.transform(F.split(body, r"(?<=\})\s*,\s*(?=\{)"), lambda r: F.regexp_replace(r, r"^\s+|\s+$", ""))
+    blank = F.col("value").rlike(r"^\s*$")
+    records = F.when(blank, F.array().cast("array<string>")).otherwise(F.coalesce(found, cut))
+    texts = documents.select(F.explode(records).alias("record"), source_column)
+    return _typed_records(texts, schema, source_column)
+
+
+def read_json_split(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    separator: str = "},\n",
+    source_column: str = "source_file",
+) -> DataFrame:
+    """Records of large JSON arrays, of which several tasks read a part each.
+
+    ``separator`` is how records end but the last: a closing brace, a comma and what follows, which
+    must not occur within a record. Broken records are kept as :func:`read_json_checked` keeps them.
+    """
+    if not separator.startswith("}"):
+        raise ValueError("a separator begins with the brace that closes a record")
+    pieces = spark.read.text(path, lineSep=separator).select("value", source_name().alias(source_column))
+    text = F.regexp_replace("value", r"^\s*\[?\s*", "")
+    last = F.col("value").rlike(r"\]\s*$")
+    record = F.when(last, F.regexp_replace(text, r"\s*\]\s*$", "")).otherwise(F.concat(text, F.lit("}")))
+    texts = pieces.select(record.alias("record"), source_column)
+    return _typed_records(texts.where("record <> ''"), schema, source_column)
+
+
 def read_parquet(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None
 ) -> DataFrame:

@@ -19,6 +19,7 @@ from quillsift.plans import sales
 from quillsift.plans.staging import run_summary, stage
 from quillsift.schemas import SALES_RAW
 from quillsift.session import run_folder
+from quillsift.sources.generate import CLEAN, gen_shop_orders
 from quillsift.sources.ranged import (
     delete_ranged,
     read_ranged,
@@ -670,6 +671,39 @@ def _flow_ecommerce_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(counts, names)
 
 
+# Order ids by their remainder: 500 ids, 500 of which 100 come again, 700 of which 100 come again.
+_DAYS = [(0, 499), (400, 899), (800, 1499)]
+
+
+@query(
+    "flow_shop_days",
+    " UNION ALL ".join(
+        f"""SELECT {n} AS day, count(*) FILTER (WHERE id BETWEEN {low} AND {high}) AS extracted,
+                   count(*) FILTER (WHERE id BETWEEN {low} AND {seen}) AS skipped,
+                   count(*) FILTER (WHERE id BETWEEN {max(low, seen + 1)} AND {high}) AS loaded,
+                   count(*) FILTER (WHERE id <= {high}) AS stored
+            FROM (SELECT order_id % 1500 AS id FROM orders_in) AS ids"""
+        for n, ((low, high), seen) in enumerate(zip(_DAYS, [-1, 499, 899], strict=True))
+    ),
+    ["orders_in"],
+)
+def _flow_shop_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days of a generated shop feed without dirt, each with orders of the day before."""
+    folder = run_folder(spark, "shop_days")
+    ids = inputs.orders(spark, sf_dir).select("order_id")
+    rows = []
+    for day, (low, high) in enumerate(_DAYS):
+        batch = ids.where((F.col("order_id") % 1500).between(low, high))
+        feed = gen_shop_orders(batch, batch=day, dirt=CLEAN)
+        result = shop.ecommerce(spark, feed, f"{folder}/store", f"{folder}/stage-{day}")
+        summary = result.summary.head()
+        rows.append(
+            (day, summary.rows_extracted, result.skipped, summary.rows_loaded, result.clean.count())
+        )
+    names = "day BIGINT, extracted BIGINT, skipped BIGINT, loaded BIGINT, stored BIGINT"
+    return spark.createDataFrame(rows, names)
+
+
 @query(
     "report_category_clean",
     f"""SELECT product_category, count(*) AS orders,

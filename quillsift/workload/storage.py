@@ -12,7 +12,19 @@ from quillsift.operators.ordering import union_ragged
 from quillsift.schemas import BIGINT, DATE, INT, MONEY, TEXT, schema
 from quillsift.session import run_folder
 from quillsift.sources import readers, tables, writers
-from quillsift.sources.generate import CUSTOMERS, PRODUCTS, gen_dirty_orders
+from quillsift.sources.generate import (
+    CUSTOMERS,
+    GOODS,
+    KINDS,
+    LANDS,
+    PAYMENTS,
+    PRODUCTS,
+    SHOPPERS,
+    STATES,
+    Dirt,
+    gen_dirty_orders,
+    gen_shop_orders,
+)
 from quillsift.sources.snapshots import path_exists
 from quillsift.workload import inputs
 from quillsift.workload.registry import query
@@ -441,3 +453,136 @@ _DAY_SQL = f"(DATE '2024-01-01' + CAST({_draw_sql(2, 366)} AS INTEGER))"
 )
 def _gen_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gen_dirty_orders(inputs.orders(spark, sf_dir))
+
+
+def _cased_sql(value: str, salt: int) -> str:
+    upper, lower, padded = (Dirt().odd_case * i // 3 for i in (1, 2, 3))
+    kind = _draw_sql(salt, 1000)
+    return f"""CASE WHEN {kind} < {upper} THEN upper({value}) WHEN {kind} < {lower} THEN lower({value})
+                    WHEN {kind} < {padded} THEN '  ' || {value} || ' ' ELSE {value} END"""
+
+
+def _shop_sql(batch: int) -> str:
+    """The rows of ``gen_shop_orders`` for the order ids of ``orders_in``."""
+    d = Dirt()
+    number, cents = f"({_draw_sql(1, 9)} + 1)", f"({_draw_sql(2, 200_000)} + 100)"
+    day = f"(DATE '2022-01-01' + CAST({_draw_sql(3, 1461)} AS INTEGER))"
+    shopper = _pick_sql(SHOPPERS, _draw_sql(4, len(SHOPPERS)))
+    spelling, sign = _draw_sql(5, 1000), _draw_sql(6, 1000)
+    price, total = f"CAST({cents} / 100.0 AS DECIMAL(12,2))", f"CAST({cents} * {number} / 100.0 AS DECIMAL(12,2))"
+    return f"""
+        SELECT order_id, {_cased_sql(shopper, 7)} AS customer_name,
+               CASE WHEN {_draw_sql(8, 1000)} >= {d.no_email}
+                    THEN lower(replace({shopper}, ' ', '.')) || '@example.org' END AS customer_email,
+               CASE WHEN {spelling} < {d.us_dates} THEN strftime({day}, '%m/%d/%Y')
+                    WHEN {spelling} < {d.us_dates + d.eu_dates} THEN strftime({day}, '%d-%m-%Y')
+                    ELSE strftime({day}, '%Y-%m-%d') END AS order_date,
+               {_cased_sql(_pick_sql(KINDS, _draw_sql(9, len(KINDS))), 10)} AS product_category,
+               {_pick_sql(GOODS, _draw_sql(11, len(GOODS)))} AS product_name,
+               {number} || CASE WHEN {_draw_sql(12, 1000)} < {d.units} THEN ' units' ELSE '' END
+                   AS quantity,
+               CAST(CASE WHEN {sign} < {d.negative_price} THEN -{price}
+                         WHEN {sign} < {d.negative_price + d.zero_price} THEN 0
+                         ELSE {price} END AS DOUBLE) AS unit_price,
+               CASE WHEN {_draw_sql(13, 1000)} < {d.dollars}
+                    THEN '$' || format('{{:,.2f}}', CAST({total} AS DOUBLE))
+                    ELSE CAST({total} AS VARCHAR) END AS amount,
+               CASE WHEN {_draw_sql(14, 1000)} >= {d.no_discount}
+                    THEN CAST({_draw_sql(15, 30)} AS DOUBLE) END AS discount_pct,
+               CASE WHEN {_draw_sql(16, 1000)} >= {d.no_coupon} THEN 'SAVE10' END AS coupon_code,
+               {_cased_sql(_pick_sql(PAYMENTS, _draw_sql(17, len(PAYMENTS))), 18)} AS payment_method,
+               CASE WHEN {_draw_sql(19, 1000)} >= {d.no_country}
+                    THEN {_cased_sql(_pick_sql(LANDS, _draw_sql(20, len(LANDS))), 21)} END
+                   AS shipping_country,
+               {_pick_sql(STATES, _draw_sql(500 + batch, len(STATES)))} AS order_status
+        FROM orders_in
+        JOIN (VALUES (0), (1)) AS v(copy)
+          ON copy = 0 OR {_draw_sql(100 + batch, 1000)} < {d.copies}"""
+
+
+@query("gen_shop_orders", f"{_shop_sql(0)} UNION ALL {_shop_sql(1)}", ["orders_in"])
+def _gen_shop_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of the same ids: the same orders, in other states and with other copies."""
+    ids = inputs.orders(spark, sf_dir).select("order_id")
+    return gen_shop_orders(ids).unionByName(gen_shop_orders(ids, batch=1))
+
+
+# --- JSON documents ----------------------------------------------------------------------------
+
+# Of 97 records one is no JSON, in the later documents only, and one has text in a column of numbers.
+_DOCUMENTS = 8
+_JSON_SQL = f"""(
+    SELECT order_id, customer_id, status,
+           CASE WHEN order_id % 97 = 5 AND order_id % {_DOCUMENTS} >= 4
+                THEN '{{{{"order_id":' || order_id || ',"customer_id":oops,"status":"' || status || '"}}}}'
+                WHEN order_id % 97 = 6
+                THEN '{{{{"order_id":' || order_id || ',"customer_id":"n/a","status":"' || status || '"}}}}'
+           END AS broken
+    FROM orders_in)""".replace("{{", "{").replace("}}", "}")
+
+_CHECKED_JSON_SQL = f"""SELECT CASE WHEN broken IS NULL THEN order_id END AS order_id,
+                               CASE WHEN broken IS NULL THEN customer_id END AS customer_id,
+                               CASE WHEN broken IS NULL THEN status END AS status,
+                               broken AS broken_line
+                        FROM {_JSON_SQL} AS written"""
+
+
+def _record_texts(orders: DataFrame) -> DataFrame:
+    """Each order as the text of a record, in the document its id says."""
+    key = F.col("order_id")
+    number = F.when((key % 97 == 5) & (key % _DOCUMENTS >= 4), "oops").when(key % 97 == 6, '"n/a"')
+    text = F.format_string(
+        '{"order_id":%d,"customer_id":%s,"status":"%s"}',
+        key,
+        F.coalesce(number, F.col("customer_id").cast("string")),
+        "status",
+    )
+    return orders.select((key % _DOCUMENTS).cast("int").alias("d"), text.alias("record"))
+
+
+def _write_documents(orders: DataFrame, path: str, start: str, end: str, between: str) -> None:
+    """One document per folder d=0 to d=7, its records between ``start`` and ``end``."""
+    records = _record_texts(orders).groupBy("d").agg(F.collect_list("record").alias("records"))
+    body = F.concat(F.lit(start), F.array_join("records", between), F.lit(end))
+    records.select("d", body.alias("value")).write.partitionBy("d").text(path)
+
+
+@query("read_json_array", _CHECKED_JSON_SQL, ["orders_in"])
+def _read_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that are arrays of records, some of them broken."""
+    path = run_folder(spark, "read_json_array")
+    _write_documents(inputs.orders(spark, sf_dir), path, "[", "]", ", ")
+    return readers.read_json_checked(spark, f"{path}/*", _RECORD).drop("source_file")
+
+
+@query("read_json_data_array", _CHECKED_JSON_SQL, ["orders_in"])
+def _read_json_data_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold their records under a key."""
+    path = run_folder(spark, "read_json_data_array")
+    _write_documents(
+        inputs.orders(spark, sf_dir), path, '{"source": "shop", "data": [\n', "\n]}", ",\n  "
+    )
+    return readers.read_json_checked(spark, f"{path}/*", _RECORD, key="data").drop("source_file")
+
+
+@query("read_json_split", _CHECKED_JSON_SQL, ["orders_in"])
+def _read_json_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Large arrays, a record a line, of which tasks read parts."""
+    path = run_folder(spark, "read_json_split")
+    _write_documents(inputs.orders(spark, sf_dir), path, "[\n ", "\n]\n", ",\n ")
+    return readers.read_json_split(spark, f"{path}/*", _RECORD, "},\n").drop("source_file")
+
+
+@query("read_json_array_strict", _RECORDS_SQL, ["orders_in"])
+def _read_json_array_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array documents, two records each, by the plain reader's default path."""
+    path = run_folder(spark, "read_json_array_strict")
+    orders = inputs.orders(spark, sf_dir)
+    number = F.pmod("order_id", F.lit(_DOCUMENTS)).cast("int").alias("d")
+    records = orders.unionByName(orders.withColumn("status", F.lit("created")))
+    texts = records.select(number, F.to_json(F.struct(*_RECORD.fieldNames())).alias("record"))
+    documents = texts.groupBy("d").agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("record"), ",\n"), F.lit("\n]")).alias("value")
+    )
+    documents.write.partitionBy("d").text(path)
+    return readers.read_json_records(spark, f"{path}/*", _RECORD)

@@ -6,8 +6,9 @@ import pytest
 from test_storage import HEADER, RUN1, RUN2, feed, put
 
 from quillsift.operators.quality import quantity_price_rules
-from quillsift.schemas import DOUBLE, INT, SALES_RAW, TEXT, schema
-from quillsift.sources import readers, snapshots
+from quillsift.plans.ecommerce import ecommerce
+from quillsift.schemas import DOUBLE, ECOMMERCE_RAW, INT, SALES_RAW, TEXT, schema
+from quillsift.sources import generate, readers, snapshots
 from quillsift.streaming import file_stream, ledger
 
 THREE = schema(id=INT, name=TEXT, price=DOUBLE)
@@ -155,3 +156,67 @@ def test_stream_batches_bounded_by_bytes(spark, folder):
     )
     assert len(snapshots._names(spark, f"{folder}/t/batch=*")) == 3
     assert ledger.read_loaded(spark, f"{folder}/t", SALES_RAW).count() == 15
+
+
+RECORD = schema(id=INT, name=TEXT)
+
+
+def test_broken_records_leave_the_others(spark, folder):
+    put(spark, f"{folder}/in/a.json", '[{"id": 1, "name": "a},{b"},\n {"id": oops}, {"id": 3}]')
+    put(spark, f"{folder}/in/b.json", '[{"id": 4, "name": {"x": [{"y": 1}, {"y": 2}]}}, {"id": "n/a"}, 7]')
+    put(spark, f"{folder}/in/c.json", " \n")
+    put(spark, f"{folder}/in/d.json", "[]")
+    put(spark, f"{folder}/in/e.json", "no records")
+    rows = readers.read_json_checked(spark, f"{folder}/in", RECORD).collect()
+    sound = {(r.source_file, r.id, r.name) for r in rows if r.broken_line is None}
+    # The second document is JSON as a whole, so nothing is cut; in the first one a text looks like
+    # an end of a record, and only its own record suffers.
+    assert ("b.json", 4, '{"x":[{"y":1},{"y":2}]}') in sound and ("a.json", 3, None) in sound
+    broken = {(r.source_file, r.broken_line) for r in rows if r.broken_line is not None}
+    assert {("a.json", '{"id": oops}'), ("b.json", '{"id":"n/a"}'), ("b.json", "7"), ("e.json", "no records")} <= broken
+    assert all(r.id is None and r.name is None for r in rows if r.broken_line is not None)
+
+
+def test_records_under_a_key_and_split(spark, folder):
+    put(spark, f"{folder}/k/a.json", '{"n": 2, "data": [{"id": 1}, {"id": 2, "name": "b"}], "more": [1]}')
+    put(spark, f"{folder}/k/b.json", '{"n": 2, "data": [{"id": 3}, {"id": x}]}')
+    rows = readers.read_json_checked(spark, f"{folder}/k", RECORD, key="data").collect()
+    assert sorted(r.id for r in rows if r.id) == [1, 2, 3]
+    assert [r.broken_line for r in rows if r.broken_line] == ['{"id": x}']
+    put(spark, f"{folder}/s/a.json", '[\n{"id": 1, "name": "}"},\n{"id": {}},\n{"id": 3}\n]\n')
+    put(spark, f"{folder}/s/b.json", '[{"id": 9}]')
+    rows = readers.read_json_split(spark, f"{folder}/s", RECORD).collect()
+    assert sorted((r.id, r.name) for r in rows if r.id) == [(1, "}"), (3, None), (9, None)]
+    assert [r.broken_line for r in rows if r.broken_line] == ['{"id": {}}']
+    with pytest.raises(ValueError):
+        readers.read_json_split(spark, f"{folder}/s", RECORD, "\n")
+
+
+def test_shop_recipe(spark, folder):
+    ids = spark.range(1, 20_001).withColumnRenamed("id", "order_id")
+    feed = generate.gen_shop_orders(ids)
+    assert feed.schema.fieldNames() == ECOMMERCE_RAW.fieldNames()
+    again = generate.gen_shop_orders(ids.repartition(7))
+    assert feed.exceptAll(again).count() == 0
+    n = feed.count()
+    assert 0.02 < n / 20_000 - 1 < 0.04
+    rates = feed.selectExpr(
+        "avg(int(customer_email IS NULL))", "avg(int(shipping_country IS NULL))",
+        "avg(int(unit_price < 0))", "avg(int(unit_price = 0))", "avg(int(amount LIKE '$%'))",
+        "avg(int(quantity LIKE '% units'))", "avg(int(order_date LIKE '____-%'))",
+    ).head()
+    want = (0.07, 0.03, 0.01, 0.005, 0.1, 0.05, 0.4)
+    assert all(abs(a - b) < 0.25 * b for a, b in zip(rates, want, strict=True))
+    other = generate.gen_shop_orders(ids, batch=1)
+    assert other.drop("order_status").distinct().exceptAll(feed.drop("order_status").distinct()).count() == 0
+    assert generate.gen_shop_orders(ids, seed=1).exceptAll(feed).count() > 15_000
+
+
+def test_three_days_of_the_shop(spark, folder):
+    stored = []
+    for day, (low, high) in enumerate([(1, 500), (401, 900), (801, 1500)]):
+        ids = spark.range(low, high + 1).withColumnRenamed("id", "order_id")
+        feed = generate.gen_shop_orders(ids, batch=day, dirt=generate.CLEAN)
+        result = ecommerce(spark, feed, f"{folder}/store", f"{folder}/stage{day}")
+        stored.append((result.summary.head().rows_loaded, result.skipped, result.clean.count()))
+    assert stored == [(500, 0, 500), (400, 100, 900), (600, 100, 1500)]
