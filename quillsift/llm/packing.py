@@ -10,8 +10,10 @@ blocks, level by level, until one block is left.
 
 from __future__ import annotations
 
+import json
 import os
 import random
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterable, Iterator
@@ -34,9 +36,12 @@ GENERATIONS = 8
 #: Bins with more room than this share of the capacity are packed again at the next level.
 OPEN_SHARE = 1 / 128
 WELL_FILLED = 0.995
-WORDS_KEPT = 300_000
+WORDS_KEPT, PARTS_KEPT = 450_000, 300_000
 JOINED_WORDS = 2_000
 BAR = "|"
+#: Signs that a tokenizer may set apart from letters before them; the apostrophe joins some.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+LETTERS_AND_SIGNS = re.compile(rf"([^\W\d_]+)([{re.escape(SIGNS)}]+)")
 MAX_LEVELS = 12
 
 PIECES = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
@@ -45,11 +50,39 @@ PLACED = f"{PIECES}, block LONG, island INT, bin INT, bins INT, fitness DOUBLE"
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 
 
+class Generations:
+    """What is known of words, in two generations: what was not met again while the younger one
+    filled up is forgotten."""
+
+    def __init__(self, kept: int):
+        self.kept = kept
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def unknown(self, words: set[str]) -> list[str]:
+        """The words that are to be learned; those met again are young again."""
+        # A set is compared with a dict word by word, and with a view of its keys key by key.
+        wanted = words.difference(self.young)
+        if len(self.young) + len(wanted) > self.kept:
+            self.old, self.young = self.young, {}
+            wanted = words
+        learned, old, young = [], self.old, self.young
+        for word in wanted:
+            ids = old.get(word)
+            if ids is None:
+                learned.append(word)
+            else:
+                young[word] = ids
+        return learned
+
+
 class WordTokens:
     """Ids of whole texts from the ids of their words, each word encoded once while it is known.
 
-    That holds for tokenizers that never join characters across white space. Words are known in
-    two generations: what was not met again while the younger one filled up is forgotten.
+    That holds for tokenizers that never join characters across white space. Where the tokenizer
+    ends words with a mark of its own, as the pieces' file says, runs of letters and of signs are
+    words to it, so a word is put together from its letters and the signs behind them; and where it
+    reads all letters as small ones, the small letters stand for both.
     """
 
     def __init__(self, path: str):
@@ -57,10 +90,21 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known, self.parts = Generations(WORDS_KEPT), Generations(PARTS_KEPT)
         bar = self._ids([BAR])[0]
         self.bar = int(bar[0]) if len(bar) == 1 else None
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        suffix = model.get("end_of_word_suffix")
+        self.last = None
+        if suffix:
+            self.last = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+            self.last[[i for t, i in model["vocab"].items() if t.endswith(suffix)]] = True
+        # Both are tried out rather than read from the file's rules.
+        self.splits = self.last is not None and all(
+            self._joined(["thin", "q" * 3], [mark, mark * 3]) for mark in SIGNS
+        )
+        self.folds = self._same(["Thin", "QX"], ["thin", "qx"])
 
     @staticmethod
     def words(text: str) -> list[str]:
@@ -72,36 +116,66 @@ class WordTokens:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4") for e in found]
 
+    def _same(self, one: list[str], other: list[str]) -> bool:
+        pairs = zip(self._ids(one), self._ids(other), strict=True)
+        return all(np.array_equal(a, b) for a, b in pairs)
+
+    def _joined(self, heads: list[str], tails: list[str]) -> bool:
+        """Whether letters with signs behind them have the ids of both, one after the other."""
+        whole = self._ids([h + t for h in heads for t in tails])
+        apart = [np.r_[h, t] for h in self._ids(heads) for t in self._ids(tails)]
+        return all(np.array_equal(a, b) for a, b in zip(whole, apart, strict=True))
+
+    def _keep(self, words: list[str], ids: np.ndarray, cuts: np.ndarray, skip: int) -> bool:
+        """Enter words whose ids end before (or at) the ``cuts``; False if their numbers differ."""
+        ends = [*cuts.tolist(), len(ids)] if skip else (cuts + 1).tolist()
+        if len(ends) != len(words):
+            return False
+        starts = [0, *(e + skip for e in ends[:-1])]
+        data, young = ids.tobytes(), self.parts.young
+        for word, a, b in zip(words, starts, ends, strict=True):
+            young[word] = data[4 * a : 4 * b]
+        return True
+
     def _learn(self, words: list[str]) -> None:
-        """Many words are encoded as one text with bars between them, which costs far less."""
-        alone = [w for w in words if self.bar is None or BAR in w]
-        rest = words if not alone else [w for w in words if self.bar is not None and BAR not in w]
+        """Many words are encoded as one text, which costs far less: runs of letters with spaces
+        between them, as each has one end mark, and others with bars."""
+        letters = [w for w in words if self.last is not None and w.isalpha()]
+        rest = [w for w in words if self.last is None or not w.isalpha()]
+        for first in range(0, len(letters), JOINED_WORDS):
+            part = letters[first : first + JOINED_WORDS]
+            ids = self._ids([" ".join(part)])[0]
+            if not self._keep(part, ids, np.flatnonzero(self.last[ids]), 0):
+                rest += part
+        alone = [w for w in rest if self.bar is None or BAR in w]
+        rest = rest if not alone else [w for w in rest if self.bar is not None and BAR not in w]
         for first in range(0, len(rest), JOINED_WORDS):
             part = rest[first : first + JOINED_WORDS]
             ids = self._ids([f" {BAR} ".join(part)])[0]
-            cuts = np.flatnonzero(ids == self.bar)
-            if len(cuts) != len(part) - 1:
+            if not self._keep(part, ids, np.flatnonzero(ids == self.bar), 1):
                 alone += part
-                continue
-            data = ids.tobytes()
-            starts = (np.r_[-1, cuts] + 1).tolist()
-            for word, a, b in zip(part, starts, [*cuts.tolist(), len(ids)], strict=True):
-                self.young[word] = data[4 * a : 4 * b]
         for word, ids in zip(alone, self._ids(alone), strict=True):
-            self.young[word] = ids.tobytes()
+            self.parts.young[word] = ids.tobytes()
+
+    def _apart(self, word: str) -> tuple[str, str]:
+        """The letters of a word and the signs behind them; a word of another form as a whole."""
+        found = LETTERS_AND_SIGNS.fullmatch(word) if self.splits else None
+        head, tail = found.groups() if found else (word, "")
+        if self.folds and head.isascii() and head.isalpha():
+            head = head.lower()
+        return head, tail
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         split = [self.words(t) for t in texts]
-        wanted = set().union(*split) - self.young.keys()
-        if len(self.young) + len(wanted) > WORDS_KEPT:
-            self.old, self.young = self.young, {}
-            wanted = set().union(*split)
-        again = wanted & self.old.keys()
-        self.young.update((w, self.old[w]) for w in again)
-        self._learn(sorted(wanted - again))
+        wanted = self.known.unknown(set().union(*split))
+        apart = [self._apart(w) for w in wanted]
+        self._learn(self.parts.unknown({p for pair in apart for p in pair if p}))
+        parts, known = self.parts.young, self.known.young
+        for word, (head, tail) in zip(wanted, apart, strict=True):
+            known[word] = parts[head] + parts[tail] if tail else parts[head]
         for words in split:
-            yield b"".join(map(self.young.__getitem__, words))
+            yield b"".join(map(known.__getitem__, words))
 
 
 _TOKENS: dict[str, WordTokens] = {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import random
 import zlib
 from collections import defaultdict
 
@@ -125,3 +126,24 @@ def test_children_hold_every_piece_once():
         assert sorted(i for b in child for i in b) == list(range(200))
         assert max(map(evolution.fill, child)) <= 4_096
     assert len(evolution.run([second])) <= len(first)
+
+
+def test_words_put_together_from_letters_and_signs(tmp_path):
+    """Letters, signs behind them, either case and odd words against whole-text encoding, also where
+    little is kept and words are forgotten and met again."""
+    tokens = packing.WordTokens(public_tokenizers.path("word_bpe_49k.json"))
+    assert tokens.splits and tokens.folds
+    tokens.known.kept, tokens.parts.kept = 40, 25
+    pick = random.Random(4)
+    stems = ["thing", "Thing", "THING", "é", "ÉTÉ", "İstanbul", "ΣΑΣ", "ﬁne", "x1", "don't", "it's", "'s", "ǅ",
+             "한글", "á", "́", "q" * 60, "naïve", "Straße", "1", "²", "٣", "_a", "a_b", "日本語"]
+    tails = ["", "", ".", ",", "...", "###", "$$$", "&&&", "!!", "|", "'", ".'", "%)", "–", "́", ".s"]
+    texts = [
+        " ".join(pick.choice(stems) + pick.choice(tails) for _ in range(pick.randrange(60)))
+        for _ in range(200)
+    ]
+    for first in range(0, len(texts), 7):
+        part = texts[first : first + 7]
+        for text, ids in zip(part, tokens.encode(part), strict=True):
+            whole = tokens.tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == whole, text
