@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 
 from quillsift.llm import topk
@@ -13,21 +15,21 @@ def brute(rows, every, k):
         for i, v in rows
         if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
     ]
-    out = set()
-    for q, a in ok:
+    out = Counter()
+    for own, (q, a) in enumerate(ok):
         if q % every == 0:
             scores = [
                 (-sum(x * y for x, y in zip(a, b, strict=True)), i)
-                for i, b in ok
-                if i != q and len(a) == len(b)
+                for other, (i, b) in enumerate(ok)
+                if other != own and len(a) == len(b)
             ]
-            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k])}
+            out.update((q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:k]))
     return out
 
 
 def check(spark, rows, every=5, k=5):
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id LONG, embedding ARRAY<DOUBLE>, v STRING")
-    got = {tuple(r) for r in topk.search_embeddings(df, every, k).collect()}
+    got = Counter(tuple(r) for r in topk.search_embeddings(df, every, k).collect())
     assert got == brute(rows, every, k)
 
 
@@ -47,6 +49,21 @@ def test_large_numbers_and_few_rows(spark):
     check(spark, [(1, [1.0, 2.0])])
 
 
+def test_repeated_ids_are_rows_of_their_own(spark, monkeypatch):
+    """One id holds a third of all rows, and rows repeat as a whole."""
+    random = np.random.default_rng(9)
+    rows = [(5, random.normal(size=4).round(1).tolist()) for _ in range(40)]
+    rows += [(i, random.normal(size=4).round(1).tolist()) for i in range(80)]
+    rows += [rows[0], rows[0], rows[50]]
+    monkeypatch.setattr(topk, "SHARD_ROWS", 30)
+    check(spark, rows)
+
+
+def test_empty_tables(spark):
+    check(spark, [])
+    check(spark, [(None, [1.0]), (5, None)])
+
+
 def test_pruned_search_is_exact():
     random = np.random.default_rng(5)
     vectors = np.floor(random.normal(size=(3_000, 32)) * 100).astype(np.int64)
