@@ -1,10 +1,10 @@
 """Shards by a hierarchical weighted hash tree.
 
-Rows descend region, rack and shard. At each level every child draws a number from the row's key
-and its own name, ``ln(u) / weight``, and the largest draw wins, so that children get rows in
-proportion to their weights. A changed weight changes one draw per level: rows move only into or
-out of the subtree whose weight changed. The tree is filled region by region, so a shard that is
-added when the regions are full stands in a region and a rack of its own and rows move only into it.
+Rows descend region, rack and shard. Every shard draws a number from the row's key and its own name,
+``ln(u) / weight``; the draw of a rack or region is the best of its shards, and at each level the best
+draw wins. So children get rows in proportion to the weights below them, and a changed weight changes
+one draw: rows move only into or out of the subtrees that hold the shard, and a shard that is added
+takes rows only into itself, wherever in the tree it stands.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quillsift.llm.staging import full_text
@@ -24,9 +23,7 @@ SHARDS_PER_RACK = 4
 ROWS_PER_BLOCK = 5_000
 MIN_BLOCKS = 8
 
-CHILDREN = T.ArrayType(
-    T.StructType([T.StructField("id", T.IntegerType()), T.StructField("weight", T.DoubleType())])
-)
+_DRAWS = "_draws"
 
 
 @dataclass(frozen=True)
@@ -63,33 +60,44 @@ def _unit(key: Column, level: str, child: Column) -> Column:
     return (F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
-def _winner(key: Column, level: str, children: Column) -> Column:
-    draws = F.transform(
-        children,
-        lambda c: F.struct(F.log(_unit(key, level, c["id"])) / c["weight"], c["id"].alias("id")),
+def shard_draws(key: Column, weights: Sequence[float]) -> Column:
+    """The draw of each shard for a row, as an array. A null key is a key as well."""
+    text = F.coalesce(key.cast("string"), F.lit("null"))
+    leaves = F.array(
+        *[F.struct(F.lit(i).alias("id"), F.lit(float(w)).alias("weight")) for i, w in enumerate(weights)]
     )
-    return F.array_max(draws)["id"]
+    return F.transform(leaves, lambda c: F.log(_unit(text, "shard", c["id"])) / c["weight"])
 
 
-def _children(groups: Sequence, position: Column | None = None) -> Column:
-    if position is None:
-        return _literal(groups)
-    return F.element_at(F.array(*[_literal(g) for g in groups]), position + 1)
+def _best(draws: Column, shards: Sequence[int]) -> Column:
+    return F.array_max(F.array(*[F.get(draws, F.lit(i)) for i in shards]))
 
 
-def _literal(children: Sequence[tuple[int, float]]) -> Column:
-    return F.array(
-        *[F.struct(F.lit(i).alias("id"), F.lit(float(w)).alias("weight")) for i, w in children]
-    ).cast(CHILDREN)
+def _winner(draws: Column, children: Sequence[tuple[int, Sequence[int]]]) -> Column:
+    """The child, given with its shards, whose best draw is the best."""
+    pairs = [F.struct(_best(draws, s).alias("draw"), F.lit(i).alias("id")) for i, s in children]
+    return F.array_max(F.array(*pairs))["id"]
 
 
-def assign(df: DataFrame, key: Column, tree: HashTree, prefix: str = "") -> DataFrame:
-    """Add ``{prefix}region``, ``{prefix}rack`` and ``{prefix}shard``. A null key is a key as well."""
-    text = F.coalesce(key.cast("string"), F.lit("null"))
+def descend(df: DataFrame, draws: str, tree: HashTree, prefix: str = "") -> DataFrame:
+    """Add ``{prefix}region``, ``{prefix}rack`` and ``{prefix}shard`` by the draws of the shards."""
     region, rack, shard = (f"{prefix}{name}" for name in ("region", "rack", "shard"))
-    df = df.withColumn(region, _winner(text, "region", _children(tree.regions)))
-    df = df.withColumn(rack, _winner(text, "rack", _children(tree.racks, F.col(region))))
-    return df.withColumn(shard, _winner(text, "shard", _children(tree.shards, F.col(rack))))
+    below = [[i for i, _ in s] for s in tree.shards]
+    racks = [[(k, below[k]) for k, _ in r] for r in tree.racks]
+    regions = [(r, [i for _, s in racks[r] for i in s]) for r, _ in tree.regions]
+    found = F.col(draws)
+    df = df.withColumn(region, _winner(found, regions))
+    of_region = F.array(*[_winner(found, r) for r in racks])
+    df = df.withColumn(rack, F.get(of_region, F.col(region)))
+    of_rack = F.array(*[_winner(found, [(i, [i]) for i in s]) for s in below])
+    return df.withColumn(shard, F.get(of_rack, F.col(rack)))
+
+
+def assign(df: DataFrame, key: Column, tree: HashTree, prefix: str = "") -> DataFrame:
+    """``df`` with the region, rack and shard of each row's key."""
+    weights = [w for s in tree.shards for _, w in s]
+    drawn = df.withColumn(_DRAWS, shard_draws(key, weights))
+    return descend(drawn, _DRAWS, tree, prefix).drop(_DRAWS)
 
 
 def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
@@ -118,7 +126,9 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
         (F.octet_length(body).cast("long") + 16).alias("size"),
         F.crc32(body).alias("text_crc32"),
     )
-    rows = assign(assign(rows, F.col("doc_id"), tree), F.col("doc_id"), grown, "grown_")
+    # The shards of both trees draw alike, but for the one that is added.
+    rows = rows.withColumn(_DRAWS, shard_draws(F.col("doc_id"), [1.0] * (n_shards + 1)))
+    rows = descend(descend(rows, _DRAWS, tree), _DRAWS, grown, "grown_").drop(_DRAWS)
     within = Window.partitionBy("shard", "block").orderBy("doc_id", "text_crc32", "size")
     rows = rows.withColumn("rank", F.row_number().over(within) - 1)
     return rows.join(starts, ["shard", "block"]).select(
@@ -134,33 +144,11 @@ def shard_documents(docs: DataFrame, n_shards: int = 40) -> DataFrame:
     )
 
 
-def _sql_level(level: str, children: str) -> str:
-    digest = f"md5('{level}' || c.id || ':' || k)"
-    unit = f"(('0x' || substr({digest}, 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656.0"
-    draws = f"list_transform({children}, lambda c: {{'d': ln({unit}) / c.weight, 'id': c.id}})"
-    return f"list_reverse_sort({draws})[1].id"
-
-
-def _sql_list(children: Sequence[tuple[int, float]]) -> str:
-    inner = ", ".join(f"{{'id': {i}, 'weight': {w}::DOUBLE}}" for i, w in children)
-    return f"[{inner}]"
-
-
-def _sql_tree(source: str, tree: HashTree, name: str) -> str:
-    racks = "[" + ", ".join(_sql_list(x) for x in tree.racks) + "]"
-    shards = "[" + ", ".join(_sql_list(x) for x in tree.shards) + "]"
-    return f"""
-{name}_a AS (SELECT *, {_sql_level("region", _sql_list(tree.regions))} AS {name}region
-    FROM {source}),
-{name}_b AS (SELECT *, {_sql_level("rack", f"({racks})[{name}region + 1]")} AS {name}rack
-    FROM {name}_a),
-{name}_c AS (SELECT *, {_sql_level("shard", f"({shards})[{name}rack + 1]")} AS {name}shard
-    FROM {name}_b)"""
-
-
 def oracle_sql(n_shards: int = 40) -> str:
-    """The same rows in DuckDB's SQL, but for the CRC, which DuckDB lacks: see ``queries``."""
-    tree, grown = HashTree.of([1.0] * n_shards), HashTree.of([1.0] * (n_shards + 1))
+    """The same rows in DuckDB's SQL, but for the CRC, which DuckDB lacks: see ``queries``. The best of
+    all draws is found at once here, and racks and regions follow from its shard."""
+    unit = "(('0x' || substr(md5('shard' || i || ':' || k), 1, 12))::BIGINT::DOUBLE + 0.5)"
+    draws = f"list_transform(range({{0}}), lambda i: ln({unit} / 281474976710656.0))"
     return f"""
 WITH base AS (
     SELECT doc_id, coalesce(text, '') AS body, coalesce(doc_id::VARCHAR, 'null') AS k,
@@ -168,9 +156,14 @@ WITH base AS (
             % (SELECT greatest({MIN_BLOCKS}, count(*) // {n_shards * ROWS_PER_BLOCK})
                FROM documents) AS block
     FROM documents),
-{_sql_tree("base", tree, "own_")},
-{_sql_tree("own__c", grown, "grown_")}
-SELECT doc_id, octet_length(encode(body)) + 16 AS size, 'key' AS law, own_shard AS shard,
-    row_number() OVER (PARTITION BY own_shard ORDER BY block, doc_id) - 1 AS slot,
-    grown_shard, own_region AS region, own_rack AS rack
-FROM grown__c"""
+drawn AS (
+    SELECT *, {draws.format(n_shards)} AS own, {draws.format(n_shards + 1)} AS more FROM base),
+placed AS (
+    SELECT *, list_position(own, list_max(own)) - 1 AS shard,
+        list_position(more, list_max(more)) - 1 AS grown_shard FROM drawn)
+SELECT doc_id, octet_length(encode(body)) + 16 AS size, 'key' AS law, shard::INTEGER AS shard,
+    row_number() OVER (PARTITION BY shard ORDER BY block, doc_id) - 1 AS slot,
+    grown_shard::INTEGER AS grown_shard,
+    (shard // {SHARDS_PER_RACK * RACKS_PER_REGION})::INTEGER AS region,
+    (shard // {SHARDS_PER_RACK})::INTEGER AS rack
+FROM placed"""

@@ -41,6 +41,28 @@ def test_one_more_shard_takes_rows_only_into_itself(spark):
     assert 300 < len(moved) < 700
 
 
+@pytest.mark.parametrize("n", [1, 7, 10, 41])
+def test_the_law_holds_for_any_number_of_shards(spark, n):
+    docs = spark.range(5_000).select(F.col("id").alias("doc_id"), F.lit("").alias("text"))
+    rows = sharding.shard_documents(docs, n).collect()
+    moved = [r for r in rows if r["shard"] != r.grown_shard]
+    assert {r.grown_shard for r in moved} == {n}
+    assert 0.7 < len(moved) * (n + 1) / 5_000 < 1.3
+    assert {r["shard"] for r in rows} == set(range(n))
+    assert all(r.rack == r["shard"] // 4 and r.region == r.rack // 2 for r in rows)
+
+
+def test_a_weight_moves_rows_of_its_subtree_only(spark):
+    docs = spark.range(8_000).select(F.col("id").alias("doc_id"))
+    heavier = [1.0] * 20
+    heavier[9] = 3.0
+    trees = sharding.HashTree.of([1.0] * 20), sharding.HashTree.of(heavier)
+    rows = sharding.assign(docs, F.col("doc_id"), trees[0])
+    rows = sharding.assign(rows, F.col("doc_id"), trees[1], "new_")
+    moved = rows.where("shard <> new_shard").collect()
+    assert {r.new_shard for r in moved} == {9} and len(moved) > 400
+
+
 def test_weights_set_the_shares(spark):
     weights = [1.0] * 7 + [5.0]
     tree = sharding.HashTree.of(weights)
