@@ -13,7 +13,6 @@ from __future__ import annotations
 import json
 import os
 import random
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterable, Iterator
@@ -37,11 +36,10 @@ GENERATIONS = 8
 OPEN_SHARE = 1 / 128
 WELL_FILLED = 0.995
 WORDS_KEPT, PARTS_KEPT = 450_000, 300_000
-JOINED_WORDS = 2_000
+JOINED_WORDS = 200
 BAR = "|"
 #: Signs that a tokenizer may set apart from letters before them; the apostrophe joins some.
 SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-LETTERS_AND_SIGNS = re.compile(rf"([^\W\d_]+)([{re.escape(SIGNS)}]+)")
 MAX_LEVELS = 12
 
 PIECES = "doc_id LONG, piece INT, start LONG, length LONG, ids_crc32 LONG"
@@ -59,9 +57,10 @@ class Generations:
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def unknown(self, words: set[str]) -> list[str]:
-        """The words that are to be learned; those met again are young again."""
+    def unknown(self, lists: list[list[str]]) -> list[str]:
+        """The words of some lists that are to be learned; those met again are young again."""
         # A set is compared with a dict word by word, and with a view of its keys key by key.
+        words = set().union(*lists)
         wanted = words.difference(self.young)
         if len(self.young) + len(wanted) > self.kept:
             self.old, self.young = self.young, {}
@@ -159,8 +158,12 @@ class WordTokens:
 
     def _apart(self, word: str) -> tuple[str, str]:
         """The letters of a word and the signs behind them; a word of another form as a whole."""
-        found = LETTERS_AND_SIGNS.fullmatch(word) if self.splits else None
-        head, tail = found.groups() if found else (word, "")
+        head, tail = word, ""
+        if self.splits and not word.isalpha():
+            head = word.rstrip(SIGNS)
+            if not head.isalpha():
+                return word, ""
+            tail = word[len(head) :]
         if self.folds and head.isascii() and head.isalpha():
             head = head.lower()
         return head, tail
@@ -168,9 +171,10 @@ class WordTokens:
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         split = [self.words(t) for t in texts]
-        wanted = self.known.unknown(set().union(*split))
+        wanted = self.known.unknown(split)
         apart = [self._apart(w) for w in wanted]
-        self._learn(self.parts.unknown({p for pair in apart for p in pair if p}))
+        heads, tails = zip(*apart, strict=True) if apart else ((), ())
+        self._learn([p for p in self.parts.unknown([heads, tails]) if p])
         parts, known = self.parts.young, self.known.young
         for word, (head, tail) in zip(wanted, apart, strict=True):
             known[word] = parts[head] + parts[tail] if tail else parts[head]
