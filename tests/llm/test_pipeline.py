@@ -36,5 +36,5 @@ def test_decisions_take_effect(spark, sf_dir):
 
 def test_every_operator_has_a_query():
     names = wiring.queries().keys()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert "pipeline" in names
