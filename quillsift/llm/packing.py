@@ -35,7 +35,7 @@ GENERATIONS = 8
 #: Bins with more room than this share of the capacity are packed again at the next level.
 OPEN_SHARE = 1 / 128
 WELL_FILLED = 0.995
-WORDS_KEPT, PARTS_KEPT = 450_000, 300_000
+WORDS_KEPT, PARTS_KEPT = 350_000, 250_000
 JOINED_WORDS = 200
 BAR = "|"
 #: Signs that a tokenizer may set apart from letters before them; the apostrophe joins some.
@@ -156,6 +156,9 @@ class WordTokens:
         for word, ids in zip(alone, self._ids(alone), strict=True):
             self.parts.young[word] = ids.tobytes()
 
+    def forget_old(self) -> None:
+        self.known.old, self.parts.old = {}, {}
+
     def _apart(self, word: str) -> tuple[str, str]:
         """The letters of a word and the signs behind them; a word of another form as a whole."""
         head, tail = word, ""
@@ -206,6 +209,8 @@ def _piece_rows(path: str, capacity: int, end_id: int):
                         part = data[at : at + 4 * capacity]
                         rows.append((doc, piece, at // 4, len(part) // 4, zlib.crc32(part)))
             yield _batch(rows)
+        # The worker lives on, also for other stages, which need the memory.
+        tokens.forget_old()
 
     return run
 
