@@ -197,22 +197,29 @@ def stage_upsert(
     touched = placed.select(partition_name).distinct()
     stored = read_stored(spark, path, placed.schema)
     current = stored.join(touched, partition_name, "left_semi").select(*placed.columns)
-    merged = upsert_replace(current, placed, key, latest)
+    # The rows of a partition come together before they are written: a task writes whole partitions,
+    # and not a file for each partition it happens to hold rows of. A heavy one can still be split.
+    merged = upsert_replace(current, placed, key, latest).hint("rebalance", partition_name)
     merged.write.mode("errorifexists").partitionBy(partition_name).parquet(stage)
 
 
 def install_stage(
     spark: SparkSession, path: str, stage: str, schema: T.StructType, partition_name: str
 ) -> None:
-    """Put staged partitions in place of the stored ones; may be repeated after a crash."""
-    (
-        spark.read.schema(schema)
-        .parquet(stage)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_name)
-        .parquet(path)
-    )
+    """Move staged partitions into the place of the stored ones.
+
+    May be repeated after a crash: what was moved has left the stage, and the rest follows. Rows are
+    written once, by the stage, so ``schema`` is not needed to move them.
+    """
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    root = jvm(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(root)
+    for folder in _names(spark, f"{stage}/{partition_name}=*"):
+        target = jvm(f"{path}/{folder.rsplit('/', 1)[1]}")
+        system.delete(target, True)
+        if not system.rename(jvm(folder), target):
+            raise OSError(f"{folder} could not be moved to {target}")
 
 
 def upsert_partitions(

@@ -130,6 +130,22 @@ def test_partition_upsert_rewrites_touched_partitions_only(spark, folder):
     assert spark.read.parquet(table).count() == 1050
 
 
+def test_partition_upsert_writes_a_file_per_partition(spark, folder):
+    """Files go with the partitions touched, not with partitions times tasks, and are written once."""
+    table, ranges = f"{folder}/table", F.expr("k div 100")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, False)  # as many tasks write as with large tables
+    try:
+        for n in range(2):
+            rows = spark.range(2000).select(F.col("id").alias("k"), F.lit(n).alias("v"))
+            snapshots.upsert_partitions(spark, table, rows, ["k"], ["v"], ranges, f"{folder}/s{n}")
+            stored = spark.read.parquet(table)
+            assert stored.select("_metadata.file_path").distinct().count() == 20
+            assert stored.where(F.col("v") == n).count() == stored.count() == 2000
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_generated_orders_depend_on_ids_alone(spark):
     once = gen_dirty_orders(order_ids(spark, 2000))
     again = gen_dirty_orders(order_ids(spark, 2000).repartition(5))
