@@ -116,6 +116,9 @@ def chunked_load(
     flagged = judged.withColumn(STATUS, validity_status()).drop(OK)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # Both kinds of rows are written as they come, by a writer each, and not sorted before. The
+        # session is the stream's own.
+        batch.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", 2)
         seen = Observation()
         valid = F.count_if(F.col(STATUS) == "valid")
         observed = batch.observe(seen, F.count(F.lit(1)).alias("rows"), valid.alias("valid"))

@@ -426,13 +426,13 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.product_sales_raw(spark, sf_dir).select(*SALES_RAW.fieldNames())
 
 
-#: The feed as files: one folder and file per remainder of the order id, so that what is in a file
-#: does not depend on the cluster.
+#: The feed as files: one file per remainder of the order id, so that what is in a file does not
+#: depend on the cluster.
 _FILES = 8
 
 
 def _as_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """The feed as CSV files of the sales schema, in folders f=0 to f=7; some lines are broken: those of
+    """The feed as CSV files of the sales schema, part-00000 to part-00007; some lines are broken: those of
     order ids that leave 5 by 97 have lost their last field, and those that leave 9 have one more."""
     number = F.pmod("order_id", F.lit(_FILES)).cast("int")
     columns = [F.col(c).cast("string") for c in SALES_RAW.fieldNames()]
@@ -440,15 +440,15 @@ def _as_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
     kept = F.array(*[F.coalesce(c, F.lit("")) for c in columns])
     fields = F.when(rest == 5, F.slice(kept, 1, len(columns) - 1))
     fields = fields.when(rest == 9, F.concat(kept, F.array(F.lit("LOST")))).otherwise(kept)
-    lines = _feed(spark, sf_dir).select(
-        number.alias("f"), F.lit(1).alias("place"), F.array_join(fields, ",").alias("line")
-    )
-    header = F.lit(",".join(SALES_RAW.fieldNames()))
-    headers = spark.range(_FILES).select(
-        F.col("id").cast("int").alias("f"), F.lit(0).alias("place"), header.alias("line")
-    )
-    files = lines.unionByName(headers).repartition(_FILES, "f").sortWithinPartitions("f", "place")
-    files.select("f", "line").write.partitionBy("f").text(folder)
+    header = ",".join(SALES_RAW.fieldNames())
+    lines = _feed(spark, sf_dir).select(number.alias("f"), F.array_join(fields, ",").alias(header))
+    # Each task writes the lines of one file as they arrive: nothing is sorted, so a task needs no
+    # more memory for a larger file. A line is one field without quotes, and its name is the header.
+    files = lines.repartitionById(_FILES, F.col("f")).drop("f")
+    files.write.csv(
+        folder, header=True, sep="\x01", quote="", escape="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
 
 
 _FILE_SQL = f"""(
@@ -469,8 +469,8 @@ def _feed_totals(loaded: DataFrame) -> DataFrame:
 
 
 def _file_number() -> Column:
-    """The number of an entry's file, from the folder it lies in."""
-    return F.regexp_extract("file_path", "/f=([0-9]+)/", 1)
+    """The number of an entry's file, from its name."""
+    return F.regexp_extract("file_path", "/part-0*([0-9]+)-[^/]*$", 1)
 
 
 @query(
@@ -486,7 +486,7 @@ def _file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five files, then all eight, of which five are skipped: what each file's entry says."""
     folder = run_folder(spark, "file_ledger")
     _as_files(spark, sf_dir, f"{folder}/in")
-    first = [f"{folder}/in/f={n}" for n in range(5)]
+    first = [f"{folder}/in/part-{n:05d}*" for n in range(5)]
     arguments = (SALES_RAW, f"{folder}/table", f"{folder}/ledger")
     file_ledger(spark, first, *arguments, RUN)
     second = file_ledger(spark, f"{folder}/in", *arguments, NEXT_RUN).count()
@@ -517,7 +517,7 @@ def _file_ledger_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     _as_files(spark, sf_dir, f"{folder}/in")
     paths = (f"{folder}/table", f"{folder}/checkpoint")
     for _ in range(2):
-        file_ledger_stream(spark, f"{folder}/in/*", SALES_RAW, *paths, _FILES // 2)
+        file_ledger_stream(spark, f"{folder}/in", SALES_RAW, *paths, _FILES // 2)
     return _shown(read_loaded(spark, f"{folder}/table", SALES_RAW))
 
 
@@ -540,7 +540,7 @@ def _chunked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in ("[0-4]", "[5-7]", "[5-7]"):
         chunked_load(
             spark,
-            f"{folder}/all/f={part}",
+            f"{folder}/all/part-0000{part}*",
             SALES_RAW,
             quantity_price_rules(),
             f"{folder}/table",
@@ -569,7 +569,7 @@ def _chunked_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _as_files(spark, sf_dir, f"{folder}/in")
     loaded = chunked_load(
         spark,
-        f"{folder}/in/*",
+        f"{folder}/in",
         SALES_RAW,
         quantity_price_rules(),
         f"{folder}/table",

@@ -3,6 +3,8 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 from test_storage import HEADER, RUN1, RUN2, feed, put
 
 from quillsift.operators.quality import quantity_price_rules
@@ -220,3 +222,46 @@ def test_three_days_of_the_shop(spark, folder):
         result = ecommerce(spark, feed, f"{folder}/store", f"{folder}/stage{day}")
         stored.append((result.summary.head().rows_loaded, result.skipped, result.clean.count()))
     assert stored == [(500, 0, 500), (400, 100, 900), (600, 100, 1500)]
+
+
+def test_feed_files_are_written_without_gathering_or_sorting(spark, sf_dir, folder):
+    """A file per remainder, each with one header, its first line, and only its own orders."""
+    from quillsift.workload.flows import _FILES, _as_files
+
+    _as_files(spark, sf_dir, folder)
+    lines = spark.read.text(folder).selectExpr("value", "_metadata.file_name AS name")
+    header = ",".join(SALES_RAW.fieldNames())
+    number = "cast(regexp_extract(name, 'part-0*([0-9]+)-', 1) AS int)"
+    found = lines.groupBy(F.expr(number).alias("f")).agg(
+        F.count_if(F.col("value") == header).alias("headers"),
+        F.count_if((F.col("value") != header) & F.expr(f"split(value, ',')[0] % {_FILES} <> {number}")),
+        F.count_distinct("name"),
+    )
+    assert sorted(tuple(r) for r in found.collect()) == [(f, 1, 0, 1) for f in range(_FILES)]
+    first = spark.read.text(folder, wholetext=True)
+    assert first.where(~F.col("value").startswith(f"{header}\n")).count() == 0
+    assert first.where(F.col("value").contains('"')).count() == 0
+
+
+def test_chunks_write_both_parts_without_sorting(spark, folder):
+    put(spark, f"{folder}/in/a.csv", feed(1, 8))
+    sorts = []
+    plain = DataFrameWriter.parquet
+
+    def watched(self, path, *args, **kwargs):
+        if "batch_id=" in path:
+            sorts.append(self._spark.conf.get("spark.sql.maxConcurrentOutputFileWriters"))
+        return plain(self, path, *args, **kwargs)
+
+    DataFrameWriter.parquet = watched
+    try:
+        loaded = file_stream.chunked_load(
+            spark, f"{folder}/in", SALES_RAW, quantity_price_rules(), f"{folder}/t", f"{folder}/c"
+        )
+    finally:
+        DataFrameWriter.parquet = plain
+    assert sorts == ["2"]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    assert {r[0]: r[1] for r in loaded.groupBy("row_status").count().collect()} == {
+        "valid": 4, "rejected": 4
+    }
