@@ -24,6 +24,10 @@ from pyspark.sql.window import Window
 _VALUE, _COUNT, _SLICE = "_value", "_copies", "_slice"
 _SLICE_COUNT, _BELOW, _TOTAL = "_slice_copies", "_below", "_total"
 
+# A group of up to so many different values is ranked whole, by one window, and not cut into slices.
+WHOLE = 1_000_000
+_VALUES = "_values"
+
 # Decimal digits that one level of slices tells apart.
 _DIGITS = 6
 
@@ -120,8 +124,15 @@ def _slice_starts(
     """Per finest slice: rows below it in its key, and all rows of its key.
 
     ``wanted`` keeps, level by level, only the slices that matter. With few groups these are a
-    handful, and rows outside them are passed over before the next level is counted.
+    handful, and rows outside them are passed over before the next level is counted. Otherwise the
+    finest slices are counted from the rows, and each coarser level from the one below it.
     """
+    counted = {}
+    if not few_groups:
+        finer = rows.select("*", F.col(_COUNT).alias(_SLICE_COUNT))
+        for level in reversed(range(len(slices))):
+            groups = finer.groupBy(*keys, *slices[: level + 1])
+            finer = counted[level] = groups.agg(F.sum(_SLICE_COUNT).alias(_SLICE_COUNT))
     starts = None
     for level, column in enumerate(slices):
         parent = [*keys, *slices[:level]]
@@ -129,9 +140,12 @@ def _slice_starts(
         within = Window.partitionBy(*(parent or [F.lit(0)]))
         lower = within.orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
         before = F.coalesce(F.sum(_SLICE_COUNT).over(lower), F.lit(0))
-        if starts is not None and few_groups:
-            rows = rows.join(F.broadcast(starts.select(*parent)), parent, "left_semi")
-        sums = rows.groupBy(*parent, column).agg(F.sum(_COUNT).alias(_SLICE_COUNT))
+        if few_groups:
+            if starts is not None:
+                rows = rows.join(F.broadcast(starts.select(*parent)), parent, "left_semi")
+            sums = rows.groupBy(*parent, column).agg(F.sum(_COUNT).alias(_SLICE_COUNT))
+        else:
+            sums = counted[level]
         if starts is None:
             total = F.sum(_SLICE_COUNT).over(within)
             starts = sums.withColumns({_BELOW: before, _TOTAL: total})
@@ -154,6 +168,36 @@ def _rank_bounds(keys: Sequence[str], slices: Sequence[str]) -> tuple[Column, Co
     return last - F.col(_COUNT) + 1, last
 
 
+def _ranked(
+    rows: DataFrame, keys: Sequence[str], slices: Sequence[str], wanted: Column | None = None
+) -> DataFrame:
+    """Keys, different values with their copies, copies in the group, and first and last rank.
+
+    Only groups of more than WHOLE different values are sliced: where there is none, Spark finds the
+    list of such groups empty while it runs, and drops all levels of slices from the plan.
+    """
+
+    def bounded(near: DataFrame, within: Sequence[str]) -> DataFrame:
+        first, last = _rank_bounds(keys, within)
+        ends = first.alias("_first"), last.alias("_last")
+        return near.select(*keys, _VALUE, _COUNT, _TOTAL, *ends)
+
+    def cut(part: DataFrame) -> DataFrame:
+        starts = _slice_starts(part, keys, slices, wanted)
+        return bounded(part.join(starts, [*keys, *slices]), slices)
+
+    if not keys:
+        return cut(rows)
+    sizes = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(_VALUES), F.sum(_COUNT).alias(_TOTAL)
+    )
+    fits = F.col(_VALUES) <= WHOLE
+    whole = rows.join(sizes.where(fits).select(*keys, _TOTAL), keys)
+    whole = whole.withColumn(_BELOW, F.lit(0).cast("bigint"))
+    large = rows.join(sizes.where(~fits).select(*keys), keys, "left_semi")
+    return bounded(whole, []).unionByName(cut(large))
+
+
 def _position(share: float) -> tuple[Column, Column, Column]:
     """Lower rank, upper rank and the weight of the upper one for a percentile."""
     if share == 0.5:  # integer arithmetic: exact for any row count
@@ -190,17 +234,17 @@ def exact_percentiles(
         low, high, _ = _position(share)
         wanted = wanted | inside(low) | inside(high)
     # At most two slices per share and key go on to the value-level ranks.
-    starts = _slice_starts(rows, keys, slices, wanted, few)
     if few:
+        starts = _slice_starts(rows, keys, slices, wanted, few)
         near = (
             rows.join(F.broadcast(starts), [*keys, *slices])
             .groupBy(*keys, *slices, _VALUE, _BELOW, _TOTAL)
             .agg(F.sum(_COUNT).alias(_COUNT))
         )
+        first, last = _rank_bounds(keys, slices)
+        ranked = near.withColumns({"_first": first, "_last": last})
     else:
-        near = rows.join(starts, [*keys, *slices])
-    first, last = _rank_bounds(keys, slices)
-    ranked = near.withColumns({"_first": first, "_last": last})
+        ranked = _ranked(rows, keys, slices, wanted)
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when(rank.between(F.col("_first"), F.col("_last")), F.col(_VALUE)))
@@ -253,8 +297,6 @@ def window_rank_avg(
     """
     keys = list(keys)
     counted, slices = _sliced(df, keys, column, count_first=True)
-    placed = counted.join(_slice_starts(counted, keys, slices), [*keys, *slices])
-    first, last = _rank_bounds(keys, slices)
-    average = ((first + last) / 2 + 1).cast("double")
-    ranks = placed.select(*keys, F.col(_VALUE).alias(column), average.alias(name))
+    average = ((F.col("_first") + F.col("_last")) / 2 + 1).cast("double")
+    ranks = _ranked(counted, keys, slices).select(*keys, F.col(_VALUE).alias(column), average.alias(name))
     return df.join(ranks, [*keys, column], "left").select(*df.columns, name)

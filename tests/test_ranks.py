@@ -167,3 +167,28 @@ def test_ranks_of_stamps_without_zone(spark):
     )
     got = ranks.window_rank_avg(df, ["k"], "v").toPandas()
     assert got["rank"].tolist() == got["v"].rank().tolist()
+
+
+@pytest.mark.parametrize("whole", [0, 300, 10**6])
+def test_groups_ranked_whole_and_in_slices_agree(spark, monkeypatch, whole):
+    """All groups in slices, some of them, and none."""
+    monkeypatch.setattr(ranks, "WHOLE", whole)
+    frame = _sample(5)
+    df = _to_spark(spark, frame, "double")
+    got = {r.id: r["rank"] for r in window_rank_avg(df, ["g"], "v").collect()}
+    want = frame.groupby("g")["v"].rank(method="average")
+    assert len(got) == len(frame)
+    for i, rank in want.items():
+        assert got[i] is None if pd.isna(rank) else got[i] == rank
+    medians = {r.g: r["median"] for r in agg_median(df, ["g"], "v").collect()}
+    assert medians["d"] is None
+    for group, value in frame.groupby("g")["v"].median().dropna().items():
+        assert medians[group] == pytest.approx(value, rel=1e-12)
+
+
+def test_slices_leave_the_plan_where_no_group_is_large(spark):
+    df = spark.range(2000).selectExpr("id % 7 AS g", "id / 3.0D AS v")
+    ranked = window_rank_avg(df, ["g"], "v")
+    ranked.collect()
+    final = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Window" in final and "_slice_2" not in final
