@@ -1,34 +1,42 @@
-"""SentencePiece encoding and decoding over a relational lattice.
-
-Texts fall into words at places that no piece can cross. Each different word is encoded once: its
-substrings up to the longest piece are exploded and joined to the piece table, the matches (edges)
-are grouped by word, and a higher-order aggregate folds them into the word's ids. For a unigram
-model that is Viterbi: the best-scored path to each place. For a BPE model the edges are folded in
-merge order instead, since its own segmentation is not the best-scored path: an edge that spans
-exactly two neighbouring parts merges them. Words that occur often are sent to every executor, as
-many as a parameter allows; the ids of all others are joined to the texts that hold them.
+"""SentencePiece encoding and decoding over a lattice.
+
+Texts fall into words at places that no piece can cross. A task encodes each different word it meets
+once: all substrings of a block of words are walked through the pieces at the same time, what is a
+piece is an edge of the word's lattice, and the edges of all words are folded side by side, the first
+edge of every word, then the second, and so on. For a unigram model the fold is Viterbi: the
+best-scored path to each place. For a BPE model edges come in merge order instead, since its own
+segmentation is not the best-scored path: an edge that spans exactly two neighbouring parts merges
+them. Nothing is shuffled or sent to the driver; a task holds one block of words with its edges and
+the ids of as many words as a parameter allows. ``lattice`` and ``viterbi_fold`` are the same lattice
+and the same path as a table and a column.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsift.llm.staging import full_text, staged
+from quillsift.llm.staging import full_text
 
 SPACE = "▁"
-#: So many of the most frequent words are sent to every executor.
+#: A task keeps the ids of so many words; when there are more, it starts anew.
 COMMON_WORDS = 400_000
-#: Longer words are folded over an array of bounds instead of the bits of one number.
-BITS = 60
+#: Longer words are encoded again by each part of the texts that holds them.
+KEPT_LENGTH = 32
+#: Characters of the words whose lattices are folded together.
+BLOCK = 1 << 17
+#: Rows and characters of the texts that are encoded together; a longer text is on its own.
+PART_ROWS, PART_LENGTH = 500, 1 << 20
+#: Bits of a character in a step of the trie.
+CHARACTER = 21
 BREAKS = "\n\t\r"
 
 
@@ -76,17 +84,6 @@ class Model:
         return f"{SPACE}*[^{SPACE}{cuts}]+|{SPACE}+{cut}"
 
 
-def marked(text: Column) -> Column:
-    """The text as pieces see it: spaces as marks, and one before it unless it is empty."""
-    return F.when(text == "", text).otherwise(
-        F.concat(F.lit(SPACE), F.translate(text, " ", SPACE))
-    )
-
-
-def words_of(text: Column, model: Model) -> Column:
-    return F.regexp_extract_all(marked(text), F.lit(f"({model.word_pattern})"), F.lit(0))
-
-
 def _parts(words: DataFrame, model: Model, pieces: DataFrame) -> DataFrame:
     """Substrings of each word up to the longest piece that are pieces or single characters.
 
@@ -117,56 +114,6 @@ def lattice(words: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
     )
 
 
-@dataclass(frozen=True)
-class PackedEdges:
-    """Edges as whole numbers that sort by rank, then start: rank, start, length, id.
-
-    The rank of a piece is its place by falling score. A character that is no piece has the rank
-    and the id ``none``. Starts have what is left of 63 bits, 28 for a model of 32,000 pieces.
-    """
-
-    bits: int
-    none: int
-
-    @classmethod
-    def of(cls, model: Model) -> PackedEdges:
-        none = len(model.pieces)
-        return cls(none.bit_length(), none)
-
-    def table(self, spark: SparkSession, model: Model) -> DataFrame:
-        ids = [i for i, ok in enumerate(model.plain) if ok]
-        order = sorted(ids, key=lambda i: (-model.scores[i], i))
-        rows = [(model.pieces[i], i, rank) for rank, i in enumerate(order)]
-        return spark.createDataFrame(rows, "piece STRING, id INT, rank INT")
-
-    def pack(self) -> Column:
-        edge = F.coalesce("rank", F.lit(self.none)).cast("long")
-        edge = edge * (1 << (58 - 2 * self.bits)) + F.col("start")
-        edge = edge * 32 + F.col("length")
-        return edge * (1 << self.bits) + F.coalesce("id", F.lit(self.none))
-
-    def id(self, edge: Column) -> Column:
-        return edge.bitwiseAND((1 << self.bits) - 1)
-
-    def length(self, edge: Column) -> Column:
-        return F.shiftright(edge, self.bits).bitwiseAND(31).cast("int")
-
-    def start(self, edge: Column) -> Column:
-        mask = (1 << (58 - 2 * self.bits)) - 1
-        return F.shiftright(edge, self.bits + 5).bitwiseAND(mask).cast("int")
-
-
-def packed_lattice(words: DataFrame, model: Model, spark: SparkSession) -> DataFrame:
-    """word, n and edges of each distinct word, see :class:`PackedEdges`."""
-    if model.longest > 31:
-        raise ValueError("pieces are longer than an edge can be")
-    packed = PackedEdges.of(model)
-    parts = _parts(words, model, packed.table(spark, model))
-    return parts.groupBy("word").agg(
-        F.max("n").alias("n"), F.collect_list(packed.pack()).alias("edges")
-    )
-
-
 def _bytes(part: Column, model: Model) -> Column:
     """The ids of a character's UTF-8 bytes."""
     code = F.hex(F.encode(part, "UTF-8"))
@@ -188,86 +135,6 @@ def _ids(path: Column, model: Model) -> Column:
     )
 
 
-def merge_fold(model: Model) -> Column:
-    """Ids of a word under a BPE model, from its packed ``edges``.
-
-    Edges come by falling score, leftmost first. A piece's parts always precede it in that order,
-    so one pass makes the merges of the model in their order. The bounds between parts are the bits
-    of a number, or of an array for long words.
-    """
-    packed = PackedEdges.of(model)
-    order = F.sort_array(F.filter("edges", lambda e: packed.length(e) > 1))
-    one = F.lit(1).cast("long")
-
-    def left(x: Column, n: Column) -> Column:
-        return F.call_function("shiftleft", x, n)
-
-    def inside(bounds: Column, e: Column) -> Column:
-        """The bounds strictly within an edge that starts and ends at bounds, else all ones."""
-        start, end = packed.start(e), packed.start(e) + packed.length(e)
-        ends = left(one, start).bitwiseOR(left(one, end))
-        between = left(one, end) - left(one, start + 1)
-        return F.when(bounds.bitwiseAND(ends) == ends, bounds.bitwiseAND(between)).otherwise(
-            F.lit(-1).cast("long")
-        )
-
-    def merge(bounds: Column, e: Column) -> Column:
-        within = inside(bounds, e)
-        return F.when(F.bit_count(within) == 1, bounds.bitwiseXOR(within)).otherwise(bounds)
-
-    size = F.length("word")
-    every = left(one, size + 1) - 1
-    short = F.aggregate(
-        order, every, merge, lambda x: F.filter("edges", lambda e: inside(x, e) == 0)
-    )
-
-    def place(bounds: Column, e: Column) -> Column:
-        return F.array_position(bounds, packed.start(e)).cast("int")
-
-    def follows(bounds: Column, e: Column, steps: int) -> Column:
-        at = place(bounds, e)
-        end = packed.start(e) + packed.length(e)
-        return F.coalesce((at > 0) & (F.get(bounds, at + steps - 1) == end), F.lit(False))
-
-    def merge_long(bounds: Column, e: Column) -> Column:
-        at = place(bounds, e)
-        rest = F.slice(bounds, at + 2, F.size(bounds))
-        shorter = F.concat(F.slice(bounds, F.lit(1), at), rest)
-        return F.when(follows(bounds, e, 2), shorter).otherwise(bounds)
-
-    long = F.aggregate(
-        order,
-        F.sequence(F.lit(0), size),
-        merge_long,
-        lambda x: F.filter("edges", lambda e: follows(x, e, 1)),
-    )
-    path = F.sort_array(
-        F.transform(
-            F.when(size <= BITS, short).otherwise(long),
-            lambda e: packed.start(e).cast("long") * (1 << packed.bits) + packed.id(e),
-        )
-    )
-
-    def known(x: Column) -> Column:
-        return packed.id(x) != packed.none
-
-    ids = F.transform(path, lambda x: packed.id(x).cast("int"))
-    spelled = F.flatten(
-        F.transform(
-            path,
-            lambda x: F.when(known(x), F.array(packed.id(x).cast("int"))).otherwise(
-                _bytes(
-                    F.substring(
-                        F.col("word"), F.shiftright(x, packed.bits).cast("int") + 1, F.lit(1)
-                    ),
-                    model,
-                )
-            ),
-        )
-    )
-    return F.when(F.forall(path, known), ids).otherwise(spelled)
-
-
 def viterbi_fold(model: Model) -> Column:
     """Ids of a word under a unigram model, from its ``edges``: for each place in turn the best
     path to it. Characters that are no piece score ten below the worst piece, as the library has
@@ -327,76 +194,253 @@ def viterbi_fold(model: Model) -> Column:
     return _ids(trace(F.aggregate(order, start, step, lambda s: s["back"])), model)
 
 
-FOLDS = {"bpe": (packed_lattice, merge_fold), "unigram": (lattice, viterbi_fold)}
+class Trie:
+    """The pieces as steps from a state by a character to the next state; a word begins at 0."""
+
+    def __init__(self, model: Model):
+        known: dict[int, int] = {}
+        piece = {}
+        for i, (text, ok) in enumerate(zip(model.pieces, model.plain, strict=True)):
+            if ok:
+                state = 0
+                for c in text:
+                    state = known.setdefault(state << CHARACTER | ord(c), len(known) + 1)
+                piece[state] = i
+        steps = np.array([*known, (1 << 63) - 1], dtype=np.uint64)
+        order = np.argsort(steps)
+        self.steps = steps[order]
+        self.states = np.array([*known.values(), 0], dtype=np.uint64)[order]
+        #: The piece that ends in a state, or -1.
+        self.piece = np.full(len(known) + 1, -1, dtype=np.int32)
+        self.piece[list(piece)] = list(piece.values())
+        # Most steps lead nowhere, which this table tells of nearly all of them.
+        self.maybe = np.zeros(1 << 22, dtype=bool)
+        self.maybe[self._slot(self.steps)] = True
+
+    @staticmethod
+    def _slot(steps: np.ndarray) -> np.ndarray:
+        return steps * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(42)
+
+    def walk(self, states: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the states have a step by their character, and the states it leads to."""
+        steps = states << np.uint64(CHARACTER) | codes
+        near = np.flatnonzero(self.maybe[self._slot(steps)])
+        at = np.searchsorted(self.steps, steps[near])
+        found = self.steps[at] == steps[near]
+        return near[found], self.states[at[found]]
 
 
-def encoded_words(
-    spark: SparkSession, docs: DataFrame, model: Model, kind: str = "bpe"
-) -> DataFrame:
-    """word, n (its occurrences in all texts) and ids of every different word of ``docs``."""
-    words = docs.select(F.explode(words_of(full_text(), model)).alias("word"))
-    counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    edges, fold = FOLDS[kind]
-    return edges(counted, model, spark).select("word", "n", fold(model).alias("ids"))
+@dataclass(frozen=True)
+class Edges:
+    """The lattices of some words, as arrays. Places count through the characters of all words.
 
+    ``codes`` and ``word`` are the character and the word of a place, ``sizes`` the length of a word;
+    an edge goes from ``start`` to ``end`` and has the piece ``id``. Edges of one piece ascend by
+    start, those of one start by length.
+    """
 
-def _text_key() -> Column:
-    return F.unhex(F.md5(F.encode(full_text(), "UTF-8")))
+    codes: np.ndarray
+    sizes: np.ndarray
+    word: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+    id: np.ndarray
 
+    @classmethod
+    def of(cls, words: list[str], trie: Trie, longest: int) -> Edges:
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        word = np.repeat(np.arange(len(words)), sizes)
+        stop = np.cumsum(sizes)[word]
+        at, state = np.arange(len(codes)), np.zeros(len(codes), dtype=np.uint64)
+        found = []
+        for length in range(1, longest + 1):
+            inside = at + length <= stop[at]
+            at, state = at[inside], state[inside]
+            led, state = trie.walk(state, codes[at + length - 1])
+            at = at[led]
+            ids = trie.piece[state.astype(np.int64)]
+            piece = ids >= 0
+            found.append((at[piece], at[piece] + length, ids[piece]))
+        start, end, ids = (np.concatenate(x) for x in zip(*found, strict=True))
+        return cls(codes, sizes, word, start, end, ids)
+
+
+def _rounds(word: np.ndarray) -> Iterator[np.ndarray]:
+    """Places of the first row of every word, then of the second, and so on; words come in runs."""
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    count = np.diff(first, append=len(word))
+    most = np.argsort(-count, kind="stable")
+    first, count = first[most], count[most]
+    for k in range(count[0] if len(count) else 0):
+        first = first[: np.searchsorted(-count, -k)]
+        yield first + k
+
+
+def merged_parts(edges: Edges, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Where the parts of the words start under a BPE model, and their pieces (-1: none).
 
-def _packed_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    squeeze = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        texts = [squeeze.compress(t.encode()) for t in batch.column(2).to_pylist()]
-        yield pa.record_batch(
-            [batch.column(0), batch.column(1), pa.array(texts, pa.binary())],
-            names=["doc_id", "text_key", "packed"],
-        )
+    Edges come by falling score, leftmost first. A piece's parts always precede it in that order,
+    so one pass makes the merges of the model in their order.
+    """
+    rank = np.empty(len(model.scores), dtype=np.int64)
+    rank[np.argsort(-np.array(model.scores), kind="stable")] = np.arange(len(rank))
+    size = len(edges.codes)
+    part = np.full(size, -1, dtype=np.int32)
+    long = edges.end - edges.start > 1
+    part[edges.start[~long]] = edges.id[~long]
+    start, end, ids = edges.start[long], edges.end[long], edges.id[long]
+    word = edges.word[start]
+    order = np.argsort(word * len(rank) + rank[ids], kind="stable")
+    start, end, ids = start[order], end[order], ids[order]
+    # The end of the part that starts at a place, -1 where none does.
+    follow = np.append(np.arange(1, size + 1), -2)
+    for i in _rounds(word[order]):
+        middle = follow[start[i]]
+        fits = follow[middle] == end[i]
+        i, middle = i[fits], middle[fits]
+        follow[start[i]] = end[i]
+        follow[middle] = -1
+        part[start[i]] = ids[i]
+    places = np.flatnonzero(follow[:-1] > 0)
+    return places, part[places]
+
+
+def best_parts(edges: Edges, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Where the parts of the words start on the path with the best sum of scores, and their pieces
+    (-1: none).
+
+    Characters that are no piece score ten below the worst piece, as the library has it; of equal
+    paths the one with the longer last piece is taken.
+    """
+    scores = np.array(model.scores)
+    worst = scores[np.array(model.plain)].min() - 10.0
+    lone = np.ones(len(edges.codes), dtype=bool)
+    lone[edges.start[edges.end - edges.start == 1]] = False
+    lone = np.flatnonzero(lone)
+    start, end = np.append(edges.start, lone), np.append(edges.end, lone + 1)
+    ids = np.append(edges.id, np.full(len(lone), -1, dtype=np.int32))
+    word = edges.word[start]
+    order = np.lexsort((start, end, word))
+    start, end, ids, word = start[order], end[order], ids[order], word[order]
+    score = np.where(ids < 0, worst, scores[ids])
+    # Each word has one place more than characters, its end.
+    left, right = start + word, end + word
+    stops = np.cumsum(edges.sizes + 1) - 1
+    total = np.full(len(edges.codes) + len(edges.sizes), -np.inf)
+    total[stops - edges.sizes] = 0.0
+    last = np.full(len(total), -1)
+    for i in _rounds(word):
+        ahead = total[left[i]] + score[i]
+        better = ahead > total[right[i]]
+        i = i[better]
+        total[right[i]], last[right[i]] = ahead[better], i
+    chosen, at = [], stops
+    while len(at):
+        edge = last[at]
+        edge = edge[edge >= 0]
+        chosen.append(edge)
+        at = left[edge]
+    path = np.concatenate(chosen)
+    path = path[np.argsort(start[path])]
+    return start[path], ids[path]
+
+
+Fold = Callable[[Edges, Model], tuple[np.ndarray, np.ndarray]]
+FOLDS: dict[str, Fold] = {"bpe": merged_parts, "unigram": best_parts}
+
+
+def _encoded_block(words: list[str], model: Model, trie: Trie, fold: Fold) -> Iterator[bytes]:
+    edges = Edges.of(words, trie, model.longest)
+    places, ids = fold(edges, model)
+    spelled = {
+        k: np.frombuffer(chr(edges.codes[places[k]]).encode(), dtype=np.uint8).astype("<u4")
+        + np.uint32(model.first_byte)
+        for k in np.flatnonzero(ids < 0).tolist()
+    }
+    counts = np.ones(len(ids), dtype=np.int64)
+    counts[list(spelled)] = [len(x) for x in spelled.values()]
+    flat = np.repeat(ids, counts).astype("<u4")
+    first = np.cumsum(counts) - counts
+    for k, own in spelled.items():
+        flat[first[k] : first[k] + len(own)] = own
+    sizes = np.bincount(edges.word[places], weights=counts, minlength=len(words)).astype(np.int64)
+    ends = (4 * np.cumsum(sizes)).tolist()
+    data = flat.tobytes()
+    for begin, end in zip([0, *ends], ends, strict=False):
+        yield data[begin:end]
+
+
+def _blocks(items: list, sizes: Iterable[int], rows: int, length: int) -> Iterator[list]:
+    """Runs of at most so many items and so much size; an item that is larger is on its own."""
+    block, filled = [], 0
+    for item, size in zip(items, sizes, strict=True):
+        if block and (len(block) == rows or filled + size > length):
+            yield block
+            block, filled = [], 0
+        block.append(item)
+        filled += size
+    if block:
+        yield block
 
 
 class WordIds:
-    """Ids of the common words, as bytes of unsigned 32-bit numbers."""
-
-    def __init__(self, words: list[str], ids: list[np.ndarray]):
-        self.known = {w: np.asarray(i, dtype="<u4").tobytes() for w, i in zip(words, ids, strict=True)}
+    """Ids of words, as bytes of unsigned 32-bit numbers; each is encoded when it is first met."""
+
+    def __init__(self, model: Model, kind: str, kept: int):
+        self.model, self.trie, self.fold = model, Trie(model), FOLDS[kind]
+        self.kept, self.known = kept, {}
+
+    def encode(self, words: Iterable[str]) -> dict[str, bytes]:
+        fresh = list(words)
+        found: dict[str, bytes] = {}
+        for block in _blocks(fresh, map(len, fresh), BLOCK, BLOCK):
+            ids = _encoded_block(block, self.model, self.trie, self.fold)
+            found.update(zip(block, ids, strict=True))
+        return found
+
+    def texts(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of texts that are given as their words."""
+        met = set().union(*texts)
+        if len(self.known) + len(met) > self.kept:
+            self.known = {}
+        fresh = self.encode(met - self.known.keys())
+        self.known.update(fresh)
+        found = [b"".join(map(self.known.__getitem__, words)) for words in texts]
+        for word in fresh:
+            if len(word) > KEPT_LENGTH:
+                del self.known[word]
+        return found
 
 
 ENCODED = "doc_id LONG, n_words LONG, ids ARRAY<INT>, round_trip BOOLEAN"
 
 
-def _joined_rows(shared, model: Model):
+def _encoded_rows(model: Model, kind: str, kept: int):
     pattern = re.compile(model.word_pattern)
 
+    def words(text: str) -> list[str]:
+        return pattern.findall(f"{SPACE}{text.replace(' ', SPACE)}") if text else []
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, open_ = shared.value.known, zstandard.ZstdDecompressor()
+        shared = WordIds(model, kind, kept)
         for batch in batches:
-            for first in range(0, batch.num_rows, 500):
-                part = batch.slice(first, 500)
-                counts, offsets, flat, trips = [], [0], [], []
-                for packed, rare in zip(part.column(1), part.column(2), strict=True):
-                    text = open_.decompress(packed.as_py()).decode()
-                    own = {
-                        r["word"]: np.asarray(r["ids"], dtype="<u4").tobytes()
-                        for r in rare.as_py() or ()
-                    }
-                    seen = f"{SPACE}{text.replace(' ', SPACE)}" if text else ""
-                    words = pattern.findall(seen)
-                    data = b"".join(common.get(w) or own[w] for w in words)
-                    ids = np.frombuffer(data, dtype="<i4")
-                    counts.append(len(words))
-                    flat.append(ids)
-                    offsets.append(offsets[-1] + len(ids))
-                    trips.append(decode_ids(ids.tolist(), model) == text)
+            sizes = pc.utf8_length(batch.column(1)).to_pylist()
+            for rows in _blocks(range(batch.num_rows), sizes, PART_ROWS, PART_LENGTH):
+                part = batch.slice(rows[0], len(rows))
+                texts = part.column(1).to_pylist()
+                cut = [words(t) for t in texts]
+                ids = [np.frombuffer(d, dtype="<i4") for d in shared.texts(cut)]
+                offsets = np.cumsum([0, *map(len, ids)])
                 lists = pa.ListArray.from_arrays(
-                    pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat), pa.int32())
+                    pa.array(offsets, pa.int32()), pa.array(np.concatenate(ids), pa.int32())
                 )
+                trips = [
+                    decode_ids(i.tolist(), model) == t for i, t in zip(ids, texts, strict=True)
+                ]
+                counts = pa.array([len(c) for c in cut], pa.int64())
                 yield pa.record_batch(
-                    [
-                        part.column(0),
-                        pa.array(counts, pa.int64()),
-                        lists,
-                        pa.array(trips, pa.bool_()),
-                    ],
+                    [part.column(0), counts, lists, pa.array(trips, pa.bool_())],
                     names=["doc_id", "n_words", "ids", "round_trip"],
                 )
 
@@ -433,26 +477,7 @@ def encode_documents(
     """
     model = Model.load(model_path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), full_text().alias("text"))
-    words = staged(spark, encoded_words(spark, rows, model, kind), "sentencepiece-words")
-    top = words.orderBy(F.desc("n"), "word").limit(common_words).select("word", "ids").toPandas()
-    shared = spark.sparkContext.broadcast(WordIds(top["word"].tolist(), top["ids"].tolist()))
-    common = spark.createDataFrame(top[["word"]], "word STRING")
-
-    held = rows.select(
-        _text_key().alias("text_key"),
-        F.explode(F.array_distinct(words_of(F.col("text"), model))).alias("word"),
-    )
-    rare = held.join(F.broadcast(common), "word", "left_anti").distinct()
-    rare = (
-        rare.join(words.select("word", "ids"), "word")
-        .groupBy("text_key")
-        .agg(F.collect_list(F.struct("word", "ids")).alias("rare"))
-    )
-    packed = rows.select("doc_id", _text_key().alias("text_key"), "text").mapInArrow(
-        _packed_rows, "doc_id LONG, text_key BINARY, packed BINARY"
-    )
-    joined = packed.join(rare, "text_key", "left").select("doc_id", "packed", "rare")
-    return joined.mapInArrow(_joined_rows(shared, model), ENCODED)
+    return rows.mapInArrow(_encoded_rows(model, kind, common_words), ENCODED)
 
 
 def decode(df: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:

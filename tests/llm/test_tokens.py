@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -74,6 +75,50 @@ def test_viterbi_finds_the_best_path(spark):
         assert abs(sum(known.get(p, worst) for p in text) - total) < 1e-9, (word, text, parts)
 
 
+def test_words_stay_off_the_driver(spark, odd_docs, monkeypatch):
+    def refused(*_):
+        raise AssertionError("rows go through the driver")
+
+    for name in ("toPandas", "collect", "toArrow"):
+        monkeypatch.setattr(type(odd_docs), name, refused)
+    rows = lattice.encode_documents(spark, odd_docs, MODEL)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert rows.count() == odd_docs.count()
+
+
+def test_folded_together_words_have_the_ids_of_the_library():
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    chance = random.Random(4)
+    letters = ["abcdeinrst", "aàéñößüaeio", "ab 12.,;(){}", "жшя漢字😀ab", "a"]
+    texts = ["".join(chance.choices(s, k=n)) for s in letters for n in (1, 2, 5, 9, 40, 3_000)]
+    model = lattice.Model.load(MODEL)
+    pattern = re.compile(model.word_pattern)
+    cut = [pattern.findall(f"▁{t.replace(' ', '▁')}") for t in texts]
+    # Kept words are given up between texts, kept, or never kept.
+    for kept in (0, 20, 1_000_000):
+        ids = lattice.WordIds(model, "bpe", kept)
+        for _ in range(2):
+            for text, words in zip(texts, cut, strict=True):
+                found = np.frombuffer(ids.texts([words])[0], dtype="<i4").tolist()
+                assert found == sp.encode(text), text[:60]
+        assert len(ids.known) <= max(kept, max(map(len, map(set, cut))))
+        assert max(map(len, ids.known), default=0) <= lattice.KEPT_LENGTH
+
+
+def test_both_viterbi_folds_agree(spark):
+    chance = random.Random(5)
+    parts = {"".join(chance.choices("abc", k=n)) for n in (1, 1, 2, 2, 3, 3, 4) for _ in range(6)}
+    pieces = tuple(sorted(parts - {"c"}))
+    scores = tuple(round(-chance.uniform(1, 9), 3) for _ in pieces)
+    model = lattice.Model(pieces, scores, (True,) * len(pieces), 1_000, 4)
+    words = sorted({"".join(chance.choices("abcdé", k=n)) for n in range(1, 30) for _ in range(9)})
+    found = lattice.WordIds(model, "unigram", 9).encode(words)
+    df = spark.createDataFrame([(w, 1) for w in words], "word STRING, n LONG")
+    rows = lattice.lattice(df, model, spark).select("word", lattice.viterbi_fold(model).alias("ids"))
+    for word, ids in rows.collect():
+        assert np.frombuffer(found[word], dtype="<i4").tolist() == ids, word
+
+
 def packed(rows):
     bins = defaultdict(list)
     for r in rows:
