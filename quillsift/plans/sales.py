@@ -46,10 +46,12 @@ TYPED = {"order_id": to_int, "quantity": to_number, "unit_price": _to_price}
 
 
 def flagged_sales(raw: DataFrame) -> DataFrame:
-    """Sales rows, typed, with their failed rules, their status, and the row as it came in ``raw``."""
+    """Sales rows, typed, with their failed rules, their status, and rejected rows as they came in
+    ``raw``."""
     typed = [TYPED[c](F.col(c)).alias(c) if c in TYPED else F.col(c) for c in raw.columns]
     rows = raw.select(*typed, F.struct(*raw.columns).alias(RAW))
-    return flag_valid(rows, sales_rules()).withColumn(STATUS, validity_status()).drop(OK)
+    judged = flag_valid(rows, sales_rules()).withColumn(STATUS, validity_status())
+    return judged.withColumn(RAW, F.when(~F.col(OK), F.col(RAW))).drop(OK)
 
 
 def rejected_sales(staged: DataFrame) -> DataFrame:

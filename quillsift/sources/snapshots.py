@@ -22,6 +22,8 @@ from quillsift.sources.readers import empty_table
 _VERSION = "version="
 LOAD, REJECT_LOAD = "load", "reject_load"
 CONTENT, COPIES = "content_key", "copies"
+# Spark leaves folders out that begin with an underscore.
+_UNNAMED = "_unnamed"
 
 
 def _names(spark: SparkSession, pattern: str) -> list[str]:
@@ -69,6 +71,15 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _move(spark: SparkSession, folder: str, target: str) -> None:
+    """Put a folder in the place of another."""
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    system = jvm(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.delete(jvm(target), True)
+    if not system.rename(jvm(folder), jvm(target)):
+        raise OSError(f"{folder} could not be moved to {target}")
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(_names(spark, path))
 
@@ -127,14 +138,18 @@ def append_distinct(
         .groupBy(*rows.columns, CONTENT)
         .agg(F.count(F.lit(1)).alias(COPIES))
     )
+    # Grouped and written once, where readers of the table do not look; what it holds is read from there.
+    fresh = f"{path}/{_UNNAMED}/{uuid.uuid4().hex}"
+    counted.write.mode("errorifexists").parquet(fresh)
+    written = spark.read.schema(counted.schema).parquet(fresh)
+    # A sum over hashes is the same in any order; two of them leave no room for chance.
+    parts = [F.xxhash64(CONTENT, COPIES, F.lit(salt)).cast("decimal(38,0)") for salt in (1, 2)]
+    sums = [F.sum(p) for p in parts] if load_id is None else []
+    found = written.agg(F.count(F.lit(1)), *sums).first()
     if load_id is None:
-        # A sum over hashes is the same in any order; two of them leave no room for chance.
-        parts = [F.xxhash64(CONTENT, COPIES, F.lit(salt)).cast("decimal(38,0)") for salt in (1, 2)]
-        found = counted.agg(F.count(F.lit(1)), *[F.sum(p) for p in parts]).first()
         load_id = "-".join(str(v) for v in found)
-    folder = f"{path}/{REJECT_LOAD}={hashlib.md5(load_id.encode()).hexdigest()}"
-    counted.write.mode("overwrite").parquet(folder)
-    return spark.read.schema(counted.schema).parquet(folder).count()
+    _move(spark, fresh, f"{path}/{REJECT_LOAD}={hashlib.md5(load_id.encode()).hexdigest()}")
+    return found[0]
 
 
 def read_distinct(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -211,15 +226,10 @@ def install_stage(
     May be repeated after a crash: what was moved has left the stage, and the rest follows. Rows are
     written once, by the stage, so ``schema`` is not needed to move them.
     """
-    jvm = spark._jvm.org.apache.hadoop.fs.Path
-    root = jvm(path)
-    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    system.mkdirs(root)
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(root)
     for folder in _names(spark, f"{stage}/{partition_name}=*"):
-        target = jvm(f"{path}/{folder.rsplit('/', 1)[1]}")
-        system.delete(target, True)
-        if not system.rename(jvm(folder), target):
-            raise OSError(f"{folder} could not be moved to {target}")
+        _move(spark, folder, f"{path}/{folder.rsplit('/', 1)[1]}")
 
 
 def upsert_partitions(

@@ -303,6 +303,17 @@ def test_ecommerce_three_days(spark, folder):
     assert row.amount == "$1,050.00"
 
 
+def test_only_rejected_sales_are_staged_as_they_came(spark):
+    texts = ["1", "north", "pen", "2", "3.50", "2024-01-05"]
+    names = ["order_id", "customer", "product", "quantity", "unit_price", "order_date"]
+    rows = [texts, ["2", "south", "pen", "none", " 3.50", None]]
+    raw = spark.createDataFrame(rows, ", ".join(f"{n} STRING" for n in names))
+    found = {r.order_id: r for r in sales.flagged_sales(raw).collect()}
+    assert (found[1].row_status, found[1].raw) == ("valid", None)
+    assert found[2].row_status == "rejected"
+    assert list(found[2].raw) == rows[1]
+
+
 def test_sales_report_twice(spark, folder):
     """Reports, stored rejects, and a second run that adds nothing."""
 

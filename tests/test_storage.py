@@ -250,3 +250,21 @@ def test_chunked_load_counts(spark, folder):
     bad = loaded.where("row_status = 'rejected'").head()
     assert bad.failed_rules == ["quantity is not positive"]
     assert bad.unit_price == Decimal("2.50")
+
+
+def test_rejects_are_computed_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(100).selectExpr("id % 10 AS id").mapInArrow(counted, "id LONG")
+    for load_id in (None, None, "other"):
+        before = seen.value
+        assert snapshots.append_distinct(spark, f"{folder}/rejected", rows, load_id) == 10
+        assert seen.value == before + 100
+    stored = snapshots.read_distinct(spark, f"{folder}/rejected", rows.schema).collect()
+    # The second load is the first one again.
+    assert sorted((r.id, r.copies) for r in stored) == [(i, 20) for i in range(10)]
