@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 
 #: Words that make a block, and the bits of a hash. Two of 4e9 different pairs share one in 0.4%.
 BLOCK, KEY_BITS = 2_200_000, 40
+#: Texts of a block are scored together up to so many words; a longer one is on its own.
+SLICE = 1 << 18
 #: Ids of blocks lie above those of partitions; so many blocks at most come from one task.
 HOMES, PER_TASK = 1 << 32, 1 << 20
 #: How hard letters are pressed, and the least discount.
@@ -140,10 +142,6 @@ class Block:
         gap, counts, ranks, sizes = np.split(found[2:], np.cumsum([n, n, m]))
         return cls(np.cumsum(gap), np.argsort(-counts, kind="stable")[ranks], sizes)
 
-    @cached_property
-    def text(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.sizes)), self.sizes)
-
     @cached_property
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of the different pairs by key: keys, places of both words, counts; and each word's pair."""
@@ -309,8 +307,23 @@ def log_sums(block: Block, total: np.ndarray, words: np.ndarray, pair_stats, wor
     what is left for unseen pairs is held above 0. ``total``: counts of the block's pairs; ``words``: for each of its words how often it is
     followed, by how many words once, twice and more often, and how many precede it.
     """
+    ends = np.concatenate([[0], np.cumsum(block.sizes)])
+    sums, texts, first = np.zeros(len(block.sizes)), len(block.sizes), 0
+    while first < texts:
+        last = int(np.searchsorted(ends, ends[first] + SLICE, side="right")) - 1
+        last = max(last, first + 1)
+        sums[first:last] = _slice_sums(block, first, last, total, words, pair_stats, word_stats)
+        first = last
+    return sums
+
+
+def _slice_sums(block: Block, first: int, last: int, total, words, pair_stats, word_stats):
+    """``log_sums`` of the texts from ``first`` to before ``last``."""
     _, left, right, _, places = block.pairs
-    size, texts = len(block.words), len(block.sizes)
+    begin, end = block.sizes[:first].sum(), block.sizes[:last].sum()
+    places = places[begin:end]
+    size, texts = len(block.words), last - first
+    texts_of = np.repeat(np.arange(texts), block.sizes[first:last])
     upper, lower = discounts(pair_stats[:4]), discounts(word_stats[:4])
     n_one, n_two, _, _, n_more, n_words, n_pairs = word_stats
     n_words = max(n_words, 1)
@@ -323,7 +336,7 @@ def log_sums(block: Block, total: np.ndarray, words: np.ndarray, pair_stats, wor
 
     bits = max(len(total), size).bit_length()
     mask = (1 << bits) - 1
-    where, codes, _ = numbered((block.text << bits) | places)
+    where, codes, _ = numbered((texts_of << bits) | places)
     own = np.bincount(where, minlength=len(codes))
     text, pair = codes >> bits, codes & mask
     count, rest = total[pair], total[pair] - own

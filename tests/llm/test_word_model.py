@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from quillsift.llm import ngram_quality, word_model
@@ -101,3 +103,26 @@ def test_packed_blocks_come_back():
     assert again.words.tolist() == block.words.tolist()
     assert again.places.tolist() == block.places.tolist() and again.sizes.tolist() == [3, 0, 3]
     assert block.pairs[3].tolist() == again.pairs[3].tolist() and block.pairs[3].sum() == 6
+
+
+def test_a_block_is_scored_in_slices(monkeypatch):
+    pick = np.random.default_rng(3)
+    sizes = [0, 5, *[500] * 600, 40_000, 0, 0, 7]
+    keys = [pick.zipf(1.3, n) % 50_000 + 1 for n in sizes]
+    block = word_model.Block.of(keys)
+    total = block.pairs[3] + 1
+    words = np.ones((5, len(block.words)), dtype=np.int64)
+    stats = [90, 80, 70, 60, 300, 1_000, 5_000]
+
+    def measured(size):
+        monkeypatch.setattr(word_model, "SLICE", size)
+        tracemalloc.start()
+        sums = word_model.log_sums(block, total, words, stats, stats)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return sums, peak
+
+    whole, large = measured(1 << 40)
+    found, small = measured(1 << 12)
+    assert np.array_equal(whole, found)
+    assert small < large / 4
