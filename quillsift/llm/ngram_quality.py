@@ -282,7 +282,9 @@ def rated(spark: SparkSession, docs: DataFrame, model: KneserNey) -> DataFrame:
         "doc_id", F.coalesce("lang", F.lit("")).alias("lang"), full_text().alias("text")
     )
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return word_model.scored(rows, _rate_rows(shared), f"doc_id {kind}, lang STRING, {RATED}")
+    common = word_model.common_words(docs, full_text())
+    schema = f"doc_id {kind}, lang STRING, {RATED}"
+    return word_model.scored(rows, _rate_rows(shared), schema, common)
 
 
 def base_failed():

@@ -126,3 +126,76 @@ def test_a_block_is_scored_in_slices(monkeypatch):
     found, small = measured(1 << 12)
     assert np.array_equal(whole, found)
     assert small < large / 4
+
+
+def test_frequent_words_make_letters_shorter():
+    pick = np.random.default_rng(4)
+    names = pick.integers(1, 1 << word_model.KEY_BITS, 60_000)
+    keys = [names[(pick.zipf(1.2, 1_000) - 1) % 60_000] for _ in range(200)]
+    # All but every third word have ranks, in the order of how frequent they are.
+    common = word_model.Common(names[np.arange(60_000) % 3 < 2])
+    plain, block = word_model.Block.of(keys), word_model.Block.of(keys, common)
+
+    again = word_model.Block.unpacked(block.packed(), common)
+    assert again.words.tolist() == plain.words.tolist()
+    assert again.places.tolist() == plain.places.tolist()
+    assert len(block.packed()) < len(plain.packed())
+
+    pairs, left, right, n, _ = block.pairs
+    assert len(set(pairs.tolist())) == len(pairs) == len(plain.pairs[0])
+    ranks = common.ranks(block.words)
+    assert ((pairs & 1) == ((ranks[left] == 0) | (ranks[right] == 0))).all()
+
+    def letters(own):
+        dealt = word_model._dealt(
+            own.pairs[0], [own.pairs[3]], 1, 3, word_model.PAIR_BITS, word_model.pair_letter
+        )
+        return [packed for _, _, _, packed, _ in dealt]
+
+    found = [word_model.unpack(x, 2) for x in letters(block)]
+    read = [(k, c) for x in found for k, c in zip(word_model.read_pairs(x[0]), x[1], strict=True)]
+    assert sorted(read) == list(zip(pairs, n, strict=True))
+    # An even part for each, and much shorter than hashes.
+    assert max(x.shape[1] for x in found) < 1.05 * len(pairs) / 3
+    assert sum(map(len, letters(block))) < 0.8 * sum(map(len, letters(plain)))
+
+
+def test_the_ends_of_ranks_have_keys_of_their_own():
+    some = np.r_[1:70, (1 << word_model.RANK_BITS) - np.arange(1, 70), 1 << np.arange(8, 18)]
+    left, right = np.repeat(some, len(some)), np.tile(some, len(some))
+    keys = np.unique(word_model._ranked_keys(left, right))
+    assert len(keys) == len(np.unique(some)) ** 2 and keys[-1] < 1 << word_model.PAIR_BITS
+    order, steps = word_model.pair_letter(keys)
+    assert word_model.read_pairs(steps).tolist() == keys[order].tolist()
+    order, steps = word_model.pair_letter(np.zeros(0, dtype=np.int64))
+    assert len(order) == len(word_model.read_pairs(steps)) == 0
+
+
+def test_scores_do_not_depend_on_the_frequent_words(spark, monkeypatch):
+    rows = [(i, t, "en") for i, t in enumerate(random_texts(2, 40))]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING, lang STRING").repartition(3)
+
+    def scores():
+        return {r.doc_id: r.perplexity for r in ngram_quality.judged(spark, docs).collect()}
+
+    found = scores()
+    words = word_model.word_keys(b" ".join(b"w%d" % i for i in range(0, 40, 2)))
+    for common in (word_model.NONE, word_model.Common(words)):
+        monkeypatch.setattr(word_model, "common_words", lambda *_, c=common: c)
+        assert scores() == pytest.approx(found, abs=1e-12)
+
+
+def test_answers_about_pairs_are_written_once(spark):
+    docs = spark.createDataFrame([(1, "a b", "en")], "doc_id LONG, text STRING, lang STRING")
+    rows = docs.select("doc_id", "lang", "text")
+
+    def read(batch):
+        yield batch.select(["doc_id"]), [word_model.word_keys(b"a b")] * batch.num_rows
+
+    scored = word_model.scored(rows, read, "doc_id LONG")
+    assert scored.count() == 1
+    frame = scored._jdf.queryExecution()
+    frame.executedPlan().execute().count()
+    plan = frame.executedPlan().toString().split("== Initial Plan ==")[0]
+    # Letters of blocks, of pairs and of words, and answers about words: nothing is dealt twice.
+    assert len([x for x in plan.splitlines() if "Exchange hash" in x and "Reused" not in x]) == 4
