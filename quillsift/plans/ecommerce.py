@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quillsift.functions import clean_amount, clean_quantity, clean_text, parse_mixed_dates
 from quillsift.operators.aggregates import report_category_clean
-from quillsift.operators.dedup import dedup_keep_first
-from quillsift.operators.joins import splittable
-from quillsift.operators.loads import COPIES, KNOWN, keys_of_load
+from quillsift.operators.dedup import first_with_copies
+from quillsift.operators.joins import join_left_flag, matched_keys
+from quillsift.operators.loads import COPIES, KNOWN
 from quillsift.operators.projections import project_ordered
 from quillsift.operators.quality import (
     FAILED,
@@ -59,32 +59,27 @@ def transform_ecommerce(valid: DataFrame) -> DataFrame:
     return project_ordered(normal, ECOMMERCE_CLEAN.fieldNames())
 
 
-def batch_order(df: DataFrame) -> list[Column]:
-    """An order that settles which copy of an order id counts as the first."""
-    return [F.asc_nulls_last(c) for c in df.columns if c != "order_id"]
-
-
 def routed_orders(batch: DataFrame, stored: DataFrame) -> DataFrame:
     """One row per order id of the batch, with its status: known (stored already), valid or
     rejected; and its copies in the batch.
 
-    The first copy of an order counts. A known order keeps its id only. Rows without an id are no
-    copies of each other: each of them is judged, and rejected.
+    The first copy of an order counts, by all other columns. A known order keeps its id only. Rows
+    without an id are no copies of each other: each of them is judged, and rejected.
     """
     has_id = F.col("order_id").isNotNull()
     with_id = batch.where(has_id)
     # Copies go first: a resent order with very many copies then joins as one row.
-    unique = dedup_keep_first(with_id, ["order_id"], batch_order(batch))
-    keys = keys_of_load(stored, with_id.select("order_id"), ["order_id"])
-    marked = unique.join(splittable(keys), "order_id")
+    unique = first_with_copies(with_id, ["order_id"], COPIES)
+    known = matched_keys(with_id, stored, ["order_id"]).distinct()
+    marked = join_left_flag(unique, known, ["order_id"], KNOWN)
     alone = {COPIES: F.lit(1).cast("bigint"), KNOWN: F.lit(False)}
     rows = marked.unionByName(batch.where(~has_id).withColumns(alone))
-    judged = flag_valid(clean_numbers(rows), ecommerce_rules())
+    # Known orders are emptied first, so that nothing of them is cleaned.
+    kept = {c: F.when(~F.col(KNOWN), F.col(c)) for c in batch.columns if c != "order_id"}
+    judged = flag_valid(clean_numbers(rows.withColumns(kept)), ecommerce_rules())
+    judged = judged.withColumn(FAILED, F.when(~F.col(KNOWN), F.col(FAILED)))
     status = F.when(F.col(KNOWN), "known").otherwise(validity_status())
-    kept = {
-        c: F.when(~F.col(KNOWN), F.col(c)) for c in [*batch.columns, FAILED] if c != "order_id"
-    }
-    return judged.withColumns(kept).withColumn(STATUS, status).drop(OK, KNOWN)
+    return judged.withColumn(STATUS, status).drop(OK, KNOWN)
 
 
 def batch_counts(staged: DataFrame) -> Row:

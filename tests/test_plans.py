@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as wiring
 from quillsift.operators import loads, quality
-from quillsift.operators.dedup import dedup_keep_first
+from quillsift.operators.dedup import dedup_keep_first, first_with_copies
 from quillsift.operators.joins import anti_join_new, join_left_flag, semi_join_skipped
 from quillsift.operators.loads import upsert_replace
 from quillsift.operators.windows import group_filter_size, window_group_mean, window_rank_avg
+from quillsift.plans.ecommerce import routed_orders
+from quillsift.schemas import ECOMMERCE_RAW
 from quillsift.sources.readers import read_parquet
 
 QUERIES = wiring.queries()
@@ -38,6 +40,44 @@ def test_dedup_reduces_before_the_shuffle(spark):
     assert shuffle < partial  # the tree is printed from the result down
 
 
+def test_first_with_copies_is_the_first_row_of_each_key(spark):
+    values = [None, "", "a", "b", "a"]
+    rows = [
+        (k if k else None, values[(k * i) % 5], None if i % 3 else i * 0.5, float("nan") if i % 4 else 1.0)
+        for k in range(7) for i in range(k + 3)
+    ]
+    df = spark.createDataFrame(rows, "k INT, a STRING, `b c` DOUBLE, d DOUBLE")
+    found = first_with_copies(df, ["k"], "n")
+    plan = plan_of(found)
+    assert plan.count("Exchange hash") == 1 and "partial_min" in plan and "Window" not in plan
+    order = [F.asc_nulls_last(c) for c in ("a", "`b c`", "d")]
+    want = dedup_keep_first(df, ["k"], order).join(
+        df.groupBy("k").agg(F.count("*").alias("n")).withColumnRenamed("k", "key"),
+        F.col("k").eqNullSafe(F.col("key")),
+    )
+    assert found.columns == ["k", "a", "b c", "d", "n"]
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.drop("key").collect()))
+
+
+def test_orders_of_a_batch_are_shuffled_once(spark, folder):
+    orders = spark.range(500).selectExpr(
+        *(f"CAST(id % 400 AS {f.dataType.simpleString()}) AS {f.name}" for f in ECOMMERCE_RAW.fields)
+    )
+    orders.write.parquet(f"{folder}/batch")
+    batch = spark.read.schema(ECOMMERCE_RAW).parquet(f"{folder}/batch")
+    first = routed_orders(batch, batch.limit(0))
+    assert plan_of(first).count("Exchange hash") == 1
+    assert first.groupBy("row_status").agg(F.sum("key_copies")).count() >= 1
+
+    stored = batch.where("order_id < 100").select("order_id").distinct()
+    routed = routed_orders(batch, stored)
+    known = routed.where("row_status = 'known'")
+    assert known.count() == 100 and known.where("customer_name IS NOT NULL").count() == 0
+    assert known.where("failed_rules IS NOT NULL").count() == 0
+    total = routed.agg(F.sum("key_copies"), F.count("*")).head()
+    assert tuple(total) == (500, 400)
+
+
 def test_group_value_uses_no_window(spark):
     df = spark.range(100).withColumn("k", F.col("id") % 3)
     plan = plan_of(window_group_mean(df, ["k"], "id"))
