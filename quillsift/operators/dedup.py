@@ -34,24 +34,6 @@ def dedup_keep_first(
     return numbered.where(F.col(_RANK) == 1).drop(_RANK)
 
 
-def first_with_copies(df: DataFrame, key: Sequence[str], copies: str) -> DataFrame:
-    """One row per key, the first by all other columns with missing values last, and its ``copies``.
-
-    An aggregate sees each row once: a task folds the rows of a key to one before the shuffle, and
-    rows and copies need neither a second shuffle nor a join.
-    """
-    others = [c for c in df.columns if c not in key]
-    # Structs compare field by field, and a missing field would come first.
-    fields = [
-        x
-        for i, c in enumerate(others)
-        for x in (F.col(c).isNull().alias(f"missing_{i}"), F.col(c).alias(f"value_{i}"))
-    ]
-    found = df.groupBy(*key).agg(F.min(F.struct(*fields)).alias(_RANK), F.count("*").alias(copies))
-    values = {c: F.col(_RANK)[f"value_{i}"].alias(c) for i, c in enumerate(others)}
-    return found.select(*[values.get(c, F.col(c)) for c in df.columns], copies)
-
-
 def dedup_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
     return dedup_keep_first(df, [key], order)
 
